@@ -13,9 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plexus.functions.porter import stem_sql
 from plexus.operators import graph as G
+from plexus.operators import text as T
 from plexus.plans import rank_sql
-from plexus.sources.bindings import Bindings, with_views
+from plexus.sources.bindings import SQL_VIEWS, Bindings, with_views
 
 
 @dataclass
@@ -189,6 +191,115 @@ def q_mutual_friends(spark, sf):
     return G.mutual_friends(Bindings(spark, sf).friends)
 
 
+# ------------------------------------------------------------------- text
+
+_STOP_SQL = "('a', 'all', 'any', 'but', 'the')"
+# raw (doc, token) rows: letter runs of the three text fields, ASCII words
+# that are not stop words (checked before lowercasing), lowercased
+_TOKENS_SQL = with_views("news") + f""",
+runs AS (SELECT headline, link, unnest(regexp_extract_all(
+    coalesce(headline, '') || ' ' || coalesce(authors, '') || ' ' || coalesce(short_description, ''),
+    '(\\p{{L}}+)', 1)) AS t FROM news),
+toks AS (SELECT DISTINCT headline, link, lower(t) AS token FROM runs
+         WHERE regexp_full_match(t, '[a-zA-Z]+') AND t NOT IN {_STOP_SQL})"""
+_STEMMED_SQL = _TOKENS_SQL + f""",
+stems AS ({stem_sql("SELECT DISTINCT token AS word FROM toks")}),
+idx AS (SELECT DISTINCT s.stem AS keyword, t.headline, t.link AS url FROM toks t JOIN stems s ON t.token = s.word)"""
+_RAW_IDX_SQL = _TOKENS_SQL + """,
+idx AS (SELECT DISTINCT token AS keyword, headline, link AS url FROM toks)"""
+
+
+def _queries_sql(stem: bool) -> str:
+    words = """,
+qsplit AS (SELECT query_id, string_split(query, ' ') AS l FROM search_queries),
+qwords AS (SELECT query_id, pos, lower(raw) AS token FROM (
+    SELECT query_id, unnest(range(len(l))) AS pos, unnest(l) AS raw FROM qsplit) WHERE raw <> '')"""
+    if stem:
+        words += f""",
+qstems AS ({stem_sql("SELECT DISTINCT token AS word FROM qwords")}),
+kw AS (SELECT query_id, s.stem AS keyword, min(pos) AS pos FROM qwords q JOIN qstems s ON q.token = s.word
+       GROUP BY query_id, s.stem)"""
+    else:
+        words += """,
+kw AS (SELECT query_id, token AS keyword, min(pos) AS pos FROM qwords GROUP BY query_id, token)"""
+    return words
+
+
+def _search_sql(stem: bool) -> str:
+    base = (_STEMMED_SQL if stem else _RAW_IDX_SQL).replace("WITH news AS", "WITH search_queries AS ("
+                                                           + SQL_VIEWS["search_queries"] + "),\nnews AS", 1)
+    return base + _queries_sql(stem) + """,
+hits AS (SELECT k.query_id, k.pos, i.headline, i.url FROM kw k JOIN idx i USING (keyword)),
+firsts AS (SELECT query_id, headline, url, min(pos) AS pos FROM hits GROUP BY query_id, headline, url),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos, headline) AS rk FROM firsts)
+SELECT query_id, CAST(rk AS INTEGER) AS rank, headline, url FROM ranked WHERE rk <= 15"""
+
+
+@register("news_table", with_views("news") + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY headline, date ORDER BY seq DESC) AS rn
+  FROM news WHERE headline IS NOT NULL) WHERE rn = 1""")
+def q_news_table(spark, sf):
+    return T.news_table(Bindings(spark, sf).news)
+
+
+@register("keyword_tokens", _TOKENS_SQL + "\nSELECT headline, token AS keyword FROM toks")
+def q_keyword_tokens(spark, sf):
+    return T.document_tokens(Bindings(spark, sf).news, stem=False).select("headline", "keyword").distinct()
+
+
+@register("keyword_index_raw", _RAW_IDX_SQL + "\nSELECT keyword, headline, url FROM idx")
+def q_keyword_index_raw(spark, sf):
+    return T.build_keyword_index(Bindings(spark, sf).news, stem=False)
+
+
+@register("keyword_index", _STEMMED_SQL + "\nSELECT keyword, headline, url FROM idx")
+def q_keyword_index(spark, sf):
+    return T.build_keyword_index(Bindings(spark, sf).news, stem=True)
+
+
+@register("query_keywords", with_views("search_queries").rstrip() + _queries_sql(True)
+          + "\nSELECT query_id, CAST(pos AS BIGINT) AS pos, keyword FROM kw")
+def q_query_keywords(spark, sf):
+    return T.parse_queries(Bindings(spark, sf).search_queries, stem=True) \
+        .select("query_id", F.col("pos").cast("bigint").alias("pos"), "keyword")
+
+
+@register("search_news_raw", _search_sql(False))
+def q_search_news_raw(spark, sf):
+    b = Bindings(spark, sf)
+    return T.search_news(b.search_queries, T.build_keyword_index(b.news, stem=False), stem=False)
+
+
+@register("search_news", _search_sql(True))
+def q_search_news(spark, sf):
+    b = Bindings(spark, sf)
+    return T.search_news(b.search_queries, T.build_keyword_index(b.news, stem=True), stem=True)
+
+
+_PREFIX_SQL = with_views("accounts", "user_searches") + """,
+pidx AS (SELECT DISTINCT substr(lower(username), 1, n) AS prefix, userID FROM (
+    SELECT userID, username, unnest(range(1, length(username) + 1)) AS n FROM accounts
+    WHERE length(username) > 0))
+"""
+
+
+@register("prefix_index", _PREFIX_SQL + "SELECT prefix, userID FROM pidx")
+def q_prefix_index(spark, sf):
+    return T.build_prefix_index(Bindings(spark, sf).accounts)
+
+
+@register("prefix_sizes", _PREFIX_SQL + "SELECT prefix, count(*) AS n_users FROM pidx GROUP BY prefix")
+def q_prefix_sizes(spark, sf):
+    return T.prefix_sizes(T.build_prefix_index(Bindings(spark, sf).accounts))
+
+
+@register("user_search", _PREFIX_SQL + """SELECT q.query_id, p.userID, a.username
+FROM user_searches q JOIN pidx p ON lower(q.query) = p.prefix JOIN accounts a ON a.userID = p.userID""")
+def q_user_search(spark, sf):
+    b = Bindings(spark, sf)
+    return T.search_users(b.user_searches, T.build_prefix_index(b.accounts), b.accounts)
+
+
 # ------------------------------------------------------------ public API
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
