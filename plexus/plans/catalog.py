@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from plexus.functions.porter import stem_sql
 from plexus.operators import graph as G
+from plexus.operators import social as S
 from plexus.operators import text as T
 from plexus.plans import rank_sql
 from plexus.sources.bindings import SQL_VIEWS, Bindings, with_views
@@ -300,6 +301,195 @@ def q_user_search(spark, sf):
     return T.search_users(b.user_searches, T.build_prefix_index(b.accounts), b.accounts)
 
 
+# ----------------------------------------------------------------- social
+
+@register("resolve_users", with_views("accounts") + """
+SELECT n.username, a.userID FROM (SELECT c_name AS username FROM customer UNION ALL
+  SELECT s_name FROM supplier) n LEFT JOIN accounts a USING (username)""")
+def q_resolve_users(spark, sf):
+    b = Bindings(spark, sf)
+    names = b.table("customer").select(F.col("c_name").alias("username")).unionByName(
+        b.table("supplier").select(F.col("s_name").alias("username")))
+    return S.resolve_users(names, b.accounts)
+
+
+def _signups(b: Bindings) -> DataFrame:
+    """Sign-ups from the tables: every supplier (new names), every customer
+    again (names taken) and every part under its brand (claimed many times
+    in one batch)."""
+    sup = b.table("supplier").select(F.col("s_name").alias("username"), F.lit("Supplier").alias("firstName"),
+                                     F.substring("s_name", 10, 1 << 20).alias("lastName"),
+                                     F.col("s_suppkey").alias("seq"))
+    cus = b.table("customer").select(F.col("c_name").alias("username"), F.lit("Customer").alias("firstName"),
+                                     F.substring("c_name", 10, 1 << 20).alias("lastName"),
+                                     (F.col("c_custkey") + 1000000000).alias("seq"))
+    par = b.table("part").select(F.col("p_brand").alias("username"), F.col("p_type").alias("firstName"),
+                                 F.col("p_name").alias("lastName"), (F.col("p_partkey") + 2000000000).alias("seq"))
+    return sup.unionByName(cus).unionByName(par)
+
+
+@register("register_accounts", with_views("accounts") + """,
+signups AS (
+  SELECT s_name AS username, 'Supplier' AS firstName, substr(s_name, 10) AS lastName, s_suppkey AS seq FROM supplier
+  UNION ALL SELECT c_name, 'Customer', substr(c_name, 10), c_custkey + 1000000000 FROM customer
+  UNION ALL SELECT p_brand, p_type, p_name, p_partkey + 2000000000 FROM part),
+chk AS (SELECT *, list_filter([CASE WHEN coalesce(trim(username), '') = '' THEN 'username' END,
+                               CASE WHEN coalesce(trim(firstName), '') = '' THEN 'firstName' END,
+                               CASE WHEN coalesce(trim(lastName), '') = '' THEN 'lastName' END],
+                              lambda x: x IS NOT NULL) AS miss FROM signups),
+valid AS (SELECT * FROM chk WHERE len(miss) = 0),
+free AS (SELECT * FROM valid WHERE username NOT IN (SELECT username FROM accounts)),
+firsts AS (SELECT username, min(seq) AS f FROM free GROUP BY username)
+SELECT seq, username, CASE WHEN seq = f THEN 'accepted' ELSE 'duplicate_in_batch' END AS status
+  FROM free JOIN firsts USING (username)
+UNION ALL SELECT seq, username, 'username_taken' FROM valid WHERE username IN (SELECT username FROM accounts)
+UNION ALL SELECT seq, username, 'missing:' || array_to_string(miss, ',') FROM chk WHERE len(miss) > 0""")
+def q_register_accounts(spark, sf):
+    b = Bindings(spark, sf)
+    return S.register_accounts(_signups(b), b.accounts).select("seq", "username", "status")
+
+
+_FAN_SQL = with_views("posts") + """,
+fan AS (SELECT userID AS owner, * FROM posts UNION ALL
+        SELECT creatorID AS owner, * FROM posts WHERE creatorID <> userID)
+"""
+_POST_COLS = ["owner", "postID", "userID", "creatorID", "content", "ts"]
+
+
+@register("fan_out_posts", _FAN_SQL + "SELECT owner, postID, userID, creatorID, content, ts FROM fan")
+def q_fan_out_posts(spark, sf):
+    return S.fan_out_posts(Bindings(spark, sf).posts).select(*_POST_COLS)
+
+
+def _names(alias: str, prefix: str) -> str:
+    return ", ".join(f"{alias}.{f} AS {prefix}{f}" for f in ("username", "firstName", "lastName"))
+
+
+@register("wall_feed", with_views("accounts").rstrip() + _FAN_SQL.replace("WITH posts AS", ",\nposts AS", 1) + f"""
+SELECT t.owner, t.postID, t.userID, t.creatorID, t.content, t.ts, {_names("o", "owner_")}, {_names("c", "creator_")}
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY ts DESC, postID) AS rn FROM fan)
+      WHERE rn <= 20) t
+LEFT JOIN accounts o ON o.userID = t.userID LEFT JOIN accounts c ON c.userID = t.creatorID""")
+def q_wall_feed(spark, sf):
+    b = Bindings(spark, sf)
+    return S.wall_feed(b.posts, b.accounts, k=20)
+
+
+@register("home_feed", with_views("accounts", "friends", "posts") + f"""
+SELECT t.viewer, t.postID, t.userID, t.creatorID, t.content, t.ts, {_names("c", "creator_")}
+FROM (SELECT * FROM (SELECT f.followerID AS viewer, p.*,
+        row_number() OVER (PARTITION BY f.followerID ORDER BY p.ts DESC, p.postID) AS rn
+      FROM posts p JOIN friends f ON f.followedID = p.creatorID) WHERE rn <= 20) t
+LEFT JOIN accounts c ON c.userID = t.creatorID""")
+def q_home_feed(spark, sf):
+    b = Bindings(spark, sf)
+    return S.home_feed(b.posts, b.friends, b.accounts, k=20).select(
+        "viewer", "postID", "userID", "creatorID", "content", "ts",
+        "creator_username", "creator_firstName", "creator_lastName")
+
+
+@register("comment_threads", with_views("accounts", "comments") + f"""
+SELECT m.postID, m.commentID, m.creatorID, m.content, m.ts, {_names("a", "author_")}
+FROM comments m LEFT JOIN accounts a ON a.userID = m.creatorID""")
+def q_comment_threads(spark, sf):
+    b = Bindings(spark, sf)
+    return S.comment_threads(b.comments, b.accounts)
+
+
+_LIKES_SQL = with_views("like_log") + """,
+cur AS (SELECT postID, userID, ts FROM (SELECT *, row_number() OVER (PARTITION BY postID, userID ORDER BY seq DESC) AS rn
+        FROM like_log) WHERE rn = 1 AND op <> 'delete')
+"""
+
+
+@register("current_likes", _LIKES_SQL + "SELECT postID, userID, ts FROM cur")
+def q_current_likes(spark, sf):
+    return S.apply_changes(Bindings(spark, sf).like_log, ["postID", "userID"], "seq")
+
+
+@register("like_summary", _LIKES_SQL + """,
+views AS (SELECT DISTINCT userID AS viewerID, postID FROM like_log),
+cnt AS (SELECT postID, count(DISTINCT userID) AS n FROM cur GROUP BY postID)
+SELECT v.viewerID, v.postID, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_likes,
+  EXISTS (SELECT 1 FROM cur c WHERE c.postID = v.postID AND c.userID = v.viewerID) AS liked
+FROM views v LEFT JOIN cnt USING (postID)""")
+def q_like_summary(spark, sf):
+    b = Bindings(spark, sf)
+    cur = S.apply_changes(b.like_log, ["postID", "userID"], "seq")
+    views = b.like_log.select(F.col("userID").alias("viewerID"), "postID").distinct()
+    return S.like_summary(cur, views)
+
+
+@register("friend_requests", with_views("friends", "notifications") + """
+SELECT n.*, CASE WHEN EXISTS (SELECT 1 FROM friends f WHERE f.followerID = n.senderID AND f.followedID = n.recipientID)
+  THEN 'already_friends'
+  WHEN n.seq <> (SELECT min(m.seq) FROM notifications m WHERE m.recipientID = n.recipientID AND m.senderID = n.senderID)
+  THEN 'pending' ELSE 'sent' END AS status
+FROM notifications n""")
+def q_friend_requests(spark, sf):
+    b = Bindings(spark, sf)
+    return S.friend_requests(b.notifications, b.friends)
+
+
+@register("accept_requests", with_views("friends", "notifications") + """
+SELECT followerID, followedID FROM friends UNION
+SELECT recipientID, senderID FROM notifications UNION
+SELECT senderID, recipientID FROM notifications""")
+def q_accept_requests(spark, sf):
+    b = Bindings(spark, sf)
+    return S.accept_requests(b.notifications, b.notifications, b.friends)[0]
+
+
+@register("notification_feed", with_views("accounts", "notifications") + """
+SELECT n.*, a.username AS sender_username FROM notifications n LEFT JOIN accounts a ON a.userID = n.senderID""")
+def q_notification_feed(spark, sf):
+    b = Bindings(spark, sf)
+    return S.notification_feed(b.notifications, b.accounts)
+
+
+_ROSTER_SQL = with_views("accounts", "memberships") + """,
+roster AS (SELECT m.chatID, m.userID, a.firstName || ' ' || a.lastName AS label
+           FROM memberships m LEFT JOIN accounts a USING (userID))
+"""
+
+
+@register("chat_roster", _ROSTER_SQL + "SELECT chatID, userID, label FROM roster")
+def q_chat_roster(spark, sf):
+    b = Bindings(spark, sf)
+    return S.chat_roster(b.memberships, b.accounts)
+
+
+@register("chat_directory", _ROSTER_SQL + """
+SELECT r.userID, r.chatID, s.n AS n_members, 'you' AS self_label
+FROM roster r JOIN (SELECT chatID, count(*) AS n FROM roster GROUP BY chatID) s USING (chatID)""")
+def q_chat_directory(spark, sf):
+    b = Bindings(spark, sf)
+    return S.chat_directory(b.memberships, b.accounts)
+
+
+@register("chat_transcripts", with_views("memberships", "messages") + """
+SELECT g.chatID, g.message_id, g.userID, g.message, g.ts,
+  CASE WHEN CAST(g.ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)
+       THEN 'Today at ' || strftime(g.ts, '%-I:%M %p') ELSE strftime(g.ts, '%-m/%-d/%Y') END AS time_label
+FROM messages g WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.chatID = g.chatID AND m.userID = g.userID)""")
+def q_chat_transcripts(spark, sf):
+    b = Bindings(spark, sf)
+    as_of = b.table("events").agg(F.to_date(F.max("ts"))).scalar()
+    return S.chat_transcripts(b.messages, b.memberships, as_of, "UTC")
+
+
+@register("create_chat_rows", """
+SELECT event_id AS chatID, user_id AS userID, event_id AS seq, 'put' AS op FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT), event_id, 'put' FROM events
+WHERE event_type = 'purchase'""")
+def q_create_chat_rows(spark, sf):
+    e = Bindings(spark, sf)._events_k().where(F.col("event_type") == "purchase")
+    new = e.select(F.col("event_id").alias("chatID"), F.col("user_id").alias("creatorID"),
+                   F.col("k").alias("inviteeID"), F.col("event_id").alias("seq"))
+    return S.create_chat_rows(new)
+
+
 # ------------------------------------------------------------ public API
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

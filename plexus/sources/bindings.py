@@ -101,7 +101,8 @@ class Bindings:
     def notifications(self) -> DataFrame:
         e = self._events_k().where(F.col("event_type") == "signup")
         return e.select(F.col("user_id").alias("recipientID"), F.col("k").alias("senderID"),
-                        F.lit("friendRequest").alias("notificationType"), "ts")
+                        F.lit("friendRequest").alias("notificationType"), "ts",
+                        F.col("event_id").alias("seq"))
 
     @property
     def memberships(self) -> DataFrame:
@@ -173,7 +174,7 @@ SQL_VIEWS: dict[str, str] = {
     "like_log": """SELECT event_id AS seq, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'put' END AS op,
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS postID, user_id AS userID, ts FROM events""",
     "notifications": """SELECT user_id AS recipientID, CAST(json_extract_string(props, '$.k') AS BIGINT) AS senderID,
-        'friendRequest' AS notificationType, ts FROM events WHERE event_type = 'signup'""",
+        'friendRequest' AS notificationType, ts, event_id AS seq FROM events WHERE event_type = 'signup'""",
     "memberships": """SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS BIGINT) AS chatID,
         user_id AS userID FROM events WHERE event_type <> 'error'""",
     "messages": """SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS chatID, event_id AS message_id,
