@@ -18,6 +18,7 @@ from plexus.operators import graph as G
 from plexus.operators import social as S
 from plexus.operators import text as T
 from plexus.plans import rank_sql
+from plexus.streaming import jobs as X
 from plexus.sources.bindings import SQL_VIEWS, Bindings, with_views
 
 
@@ -490,6 +491,35 @@ def q_create_chat_rows(spark, sf):
     return S.create_chat_rows(new)
 
 
+# -------------------------------------------------------------- streaming
+# Each runs a Structured Streaming query over the table files (availableNow)
+# and returns what its sink holds; the SQL is the batch result it must equal.
+
+@register("stream_message_log", with_views("accounts", "messages") + """
+SELECT m.chatID, m.message_id, m.userID, m.message, m.ts, a.firstName, a.lastName
+FROM messages m LEFT JOIN accounts a USING (userID) WHERE coalesce(trim(m.message), '') <> ''""")
+def q_stream_message_log(spark, sf):
+    b = Bindings(spark, sf)
+    return X.run_message_log(spark, sf, b.accounts).select(
+        "chatID", "message_id", "userID", "message", "ts", "firstName", "lastName")
+
+
+@register("stream_like_state", _LIKES_SQL + "SELECT postID, userID, ts FROM cur")
+def q_stream_like_state(spark, sf):
+    return X.run_like_state(spark, sf).select("postID", "userID", "ts")
+
+
+@register("stream_friend_requests", with_views("notifications") +
+          "SELECT DISTINCT recipientID, senderID FROM notifications")
+def q_stream_friend_requests(spark, sf):
+    return X.run_friend_requests(spark, sf).select("recipientID", "senderID")
+
+
+@register("stream_keyword_index", _RAW_IDX_SQL + "\nSELECT keyword, headline, url FROM idx")
+def q_stream_keyword_index(spark, sf):
+    return X.run_keyword_index(spark, sf, stem=False).select("keyword", "headline", "url")
+
+
 # ------------------------------------------------------------ public API
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
