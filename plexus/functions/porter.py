@@ -82,12 +82,24 @@ class _Dialect:
         return f"(length({s}) >= 2 AND right({s}, 1) = left(right({s}, 2), 1) AND right({ms}, 1) = 'C')"
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+LETTER_MASK = "VCCCVCCCVCCCCCVCCCCCVCCCCC"  # a e i o u -> V; y never occurs in rule text
+
+
 def _stages(d: _Dialect) -> list[list[tuple[str, str]]]:
-    """Projections over (w, m[, x, suf]); the mask m of w is recomputed
-    after every stage that changes w.  Each stage is [(column, expr)]."""
+    """Projections over (w, m[, x, suf]), each a list of (column, expr).
+
+    The mask m is computed with regexes once; afterwards every stage keeps
+    it in step with plain string operations: a stage either truncates w
+    (the new mask is a prefix of the old one) or replaces a suffix by rule
+    text, whose letters never include y, so their mask is a fixed
+    per-letter translation."""
     cut, ends, rl = d.cut, d.ends, d.rl
     w, m = "w", "m"
-    MASK = [("w", w), ("m", d.mask(w))]
+
+    def trunc(expr: str, extra=()):
+        """Stage that only shortens w: [(w', m, extras)], then m' = prefix."""
+        return [[("w", expr), ("m", m), *extra], [("w", w), ("m", f"left({m}, length({w}))"), *[(c, c) for c, _ in extra]]]
 
     step1a = ("CASE " + f"WHEN {ends(w, 'sses')} THEN {cut(w, 2)} "
               f"WHEN {ends(w, 'ies')} THEN {cut(w, 2)} "
@@ -102,14 +114,19 @@ def _stages(d: _Dialect) -> list[list[tuple[str, str]]]:
                   f"WHEN {ends(w, 'at')} OR {ends(w, 'bl')} OR {ends(w, 'iz')} THEN {w} || 'e' "
                   f"WHEN {d.doublec(w, m)} THEN CASE WHEN {d.last_in(w, 'lsz')} THEN {w} ELSE {cut(w, 1)} END "
                   f"WHEN {rl(m, M_EQ1)} AND {d.cvc(w, m)} THEN {w} || 'e' ELSE {w} END")
+    fix_mask = [("w", "w2"), ("m", f"CASE WHEN length(w2) > length(w) THEN {m} || 'V' ELSE left({m}, length(w2)) END")]
     step1c = f"CASE WHEN {ends(w, 'y')} AND {rl(cut(m, 1), 'V')} THEN {cut(w, 1)} || 'i' ELSE {w} END"
+    c_mask = [("w", "w2"), ("m", f"CASE WHEN w2 = w THEN {m} ELSE {cut(m, 1)} || 'V' END")]
 
     def replace_stage(rules, cond):
         find = [("w", w), ("m", m), ("suf", d.longest_suffix(w, [s for s, _ in rules]))]
         repl = "CASE suf " + " ".join(f"WHEN '{s}' THEN '{r}'" for s, r in rules) + " END"
         n = "length(suf)"
-        apply = (f"CASE WHEN suf <> '' AND {rl(cut(m, n), cond)} THEN {cut(w, n)} || {repl} ELSE {w} END")
-        return [find, [("w", apply)]]
+        apply = [("w", w), ("m", m), ("suf", "suf"),
+                 ("w2", f"CASE WHEN suf <> '' AND {rl(cut(m, n), cond)} THEN {cut(w, n)} || {repl} ELSE {w} END")]
+        new_tail = f"translate(substring(w2, length(w) - {n} + 1), '{LETTERS}', '{LETTER_MASK}')"
+        mask = [("w", "w2"), ("m", f"CASE WHEN w2 = w THEN {m} ELSE {cut(m, n)} || {new_tail} END")]
+        return [find, apply, mask]
 
     n = "length(suf)"
     step4_find = [("w", w), ("m", m), ("suf", d.longest_suffix(w, STEP4))]
@@ -120,14 +137,16 @@ def _stages(d: _Dialect) -> list[list[tuple[str, str]]]:
               f"THEN {s5} ELSE {w} END")
     step5b = f"CASE WHEN {ends(w, 'll')} AND {rl(m, M_GT1)} THEN {cut(w, 1)} ELSE {w} END"
     return [
-        MASK, [("w", step1a)], MASK,
-        [("w", step1b_strip), ("x", f"({ed} OR {ing})")], [("w", w), ("x", "x"), ("m", d.mask(w))],
-        [("w", step1b_fix)], MASK,
-        [("w", step1c)], MASK,
-        *replace_stage(STEP2, M_GT0), MASK,
-        *replace_stage(STEP3, M_GT0), MASK,
-        step4_find, [("w", step4)], MASK,
-        [("w", step5a)], MASK,
+        [("w", w), ("m", d.mask(w))],
+        *trunc(step1a),
+        [("w", step1b_strip), ("m", m), ("x", f"({ed} OR {ing})")],
+        [("w", w), ("m", f"left({m}, length({w}))"), ("x", "x")],
+        [("w", w), ("m", m), ("w2", step1b_fix)], fix_mask,
+        [("w", w), ("m", m), ("w2", step1c)], c_mask,
+        *replace_stage(STEP2, M_GT0),
+        *replace_stage(STEP3, M_GT0),
+        step4_find, [("w", step4), ("m", m)], [("w", w), ("m", f"left({m}, length({w}))")],
+        *trunc(step5a),
         [("w", step5b)],
     ]
 

@@ -93,8 +93,8 @@ class RankResult:
 def _prepare(edges: DataFrame, chunk: int):
     """Weighted edges keyed for the rank join, persisted once.
 
-    Returns (wedges, fanout, salted).  When no source has more than ``chunk``
-    out-edges the edges are hash-partitioned on ``src`` -- the same
+    Returns (wedges, fanout, init, deg).  When no source has more than
+    ``chunk`` out-edges the edges are hash-partitioned on ``src`` -- the same
     partitioning the per-round aggregate produces on ``node`` -- so the
     rank/edge join needs no exchange on the edge side.  Otherwise each hot
     source is split over ``nsalt`` buckets by a hash of dst, and the (small)
@@ -104,6 +104,7 @@ def _prepare(edges: DataFrame, chunk: int):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     deg = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
     deg = deg.withColumn("nsalt", F.ceil(F.col("out_degree") / F.lit(chunk)).cast("int"))
+    deg = deg.persist(StorageLevel.MEMORY_AND_DISK)
     max_salt = deg.agg(F.max("nsalt")).first()[0] or 1
     w = edges.join(deg, "src").select(
         "src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"),
@@ -117,11 +118,11 @@ def _prepare(edges: DataFrame, chunk: int):
         fanout = None
     wedges = wedges.persist(StorageLevel.MEMORY_AND_DISK)
     init = deg.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-    return wedges, fanout, init
+    return wedges, fanout, init, deg
 
 
 def _round(ranks: DataFrame, wedges: DataFrame, fanout: DataFrame | None, d: float,
-           keep_sourceless: bool, parts: int) -> DataFrame:
+           keep_sourceless: bool) -> DataFrame:
     if fanout is None:
         contrib = wedges.join(ranks.withColumnRenamed("node", "src"), "src")
     else:
@@ -142,7 +143,8 @@ def _round(ranks: DataFrame, wedges: DataFrame, fanout: DataFrame | None, d: flo
 def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
                     delta: float | None = 30.0, back_links: bool = True,
                     keep_sourceless: bool = False, return_latest: bool = False,
-                    keep_history: bool = False, fanout_chunk: int = DEFAULT_FANOUT_CHUNK) -> RankResult:
+                    keep_history: bool = False, fanout_chunk: int = DEFAULT_FANOUT_CHUNK,
+                    checkpoint_interval: int = 1) -> RankResult:
     """The iterative rank with early stop.
 
     Each round: rank(node) = d + (1 - d) * sum over in-edges (rank(src) * w).
@@ -151,28 +153,43 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
     most ``delta`` and then returns the *previous* vector (D4) unless
     ``return_latest``; ``delta=None`` runs exactly ``max_iters`` rounds.
 
-    Every round's vector is checkpointed to the session's reliable
-    checkpoint directory, so lineage stays one round long and a lost
-    executor costs one round, not the whole job.
+    Every ``checkpoint_interval``-th round (default: every round) and the
+    returned vector are checkpointed to the session's reliable checkpoint
+    folder, other rounds are persisted: lineage never spans more than that
+    many rounds, so a lost executor costs at most that many rounds.  (A
+    persisted round keeps its whole plan, so plans grow with the interval;
+    the rank vector is small next to the edges, so writing it every round is
+    the cheaper choice.)  With ``delta`` each round runs one job, which
+    materializes the new vector and evaluates the stop test.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    g = add_back_links(edges) if back_links else edges.select("src", "dst")
-    wedges, fanout, ranks = _prepare(g, fanout_chunk)
-    ranks = ranks.checkpoint(eager=True)
+    # the input is read by back-links, sinks, degrees and weights: once
+    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+    g = add_back_links(edges) if back_links else edges
+    wedges, fanout, ranks, deg = _prepare(g, fanout_chunk)
+    ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
+    held = [ranks]                      # persisted vectors still referenced
     history = []
     converged = False
     done = 0
+    checkpointed = False
     for i in range(1, max_iters + 1):
-        new = _round(ranks, wedges, fanout, d, keep_sourceless, parts).checkpoint(eager=True)
+        new = _round(ranks, wedges, fanout, d, keep_sourceless)
+        if keep_history or i % checkpoint_interval == 0:
+            new = new.checkpoint(eager=True)
+            checkpointed = True
+        else:
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+            checkpointed = False
+        held.append(new)
         done = i
         if delta is not None:
-            row = (ranks.join(new.withColumnRenamed("rank", "r2"), "node")
-                   .agg(F.max(F.abs(F.col("rank") - F.col("r2"))).alias("m"),
-                        F.count("*").alias("c"))).first()
-            new_empty = new.isEmpty()
-            if new_empty:           # D6: nothing left to propagate
+            both = F.col("rank").isNotNull() & F.col("r2").isNotNull()
+            row = (ranks.join(new.withColumnRenamed("rank", "r2"), "node", "full_outer")
+                   .agg(F.max(F.when(both, F.abs(F.col("rank") - F.col("r2")))).alias("m"),
+                        F.count_if(both).alias("c"), F.count("r2").alias("n_new"))).first()
+            if row["n_new"] == 0:        # D6: nothing left to propagate
                 converged = True
                 break
             if row["c"] > 0 and row["m"] <= delta:
@@ -185,15 +202,22 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
         ranks = new
         if keep_history:
             history.append(new.withColumn("round", F.lit(i)))
+        # the vector two rounds back is no longer needed
+        if delta is not None and len(held) > 2:
+            held.pop(0).unpersist()
+    if not (checkpointed and ranks is held[-1]):
+        ranks = ranks.checkpoint(eager=True)
     hist = None
     if keep_history:
         hist = history[0] if history else spark.createDataFrame([], "node bigint, rank double, round int")
         for h in history[1:]:
             hist = hist.unionByName(h)
         hist = hist.select("round", "node", "rank")
-    wedges.unpersist()
-    if fanout is not None:
-        fanout.unpersist()
+    for h in held:
+        h.unpersist()
+    for df in (wedges, fanout, deg, edges):
+        if df is not None:
+            df.unpersist()
     return RankResult(ranks=ranks, rounds=done, converged=converged, history=hist)
 
 

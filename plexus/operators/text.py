@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.functions.porter import stem_column
+from plexus.operators.common import spread
 from plexus.session import ensure_checkpoint_dir
 
 # ---- fixed values: the reference's stop words and fields ----------------
@@ -62,20 +63,31 @@ def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keywor
     return words.join(stems, words[word_col] == stems["_w"]).drop("_w").withColumnRenamed("_stem", out_col)
 
 
-def document_tokens(news: DataFrame, stem: bool = True, **kw) -> DataFrame:
-    """(headline, link, keyword): one row per distinct keyword of an article."""
-    toks = tokenize(news, **kw).select("headline", "link", F.explode("tokens").alias("token"))
+def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
+                    case_sensitive_stopwords: bool = True) -> DataFrame:
+    """(headline, link, keyword): one row per distinct keyword of an article.
+
+    Same tokens as ``tokenize`` but exploded first, so the ASCII and
+    stop-word tests and lowercasing run as plain (code-generated) column
+    expressions instead of per-element lambdas.  Fields are joined by a
+    space, which no letter run crosses."""
+    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
+    runs = spread(news).select("headline", "link",
+                               F.explode(F.regexp_extract_all(text, F.lit(LETTER_RUN), 1)).alias("t"))
+    probe = F.col("t") if case_sensitive_stopwords else F.lower("t")
+    toks = (runs.where(F.col("t").rlike(ASCII_WORD) & ~probe.isin(*stopwords))
+            .select("headline", "link", F.lower("t").alias("token")).distinct())
     if not stem:
         return toks.withColumnRenamed("token", "keyword")
-    return stem_words(toks.select("headline", "link", "token").distinct()) \
-        .select("headline", "link", "keyword")
+    return stem_words(toks).select("headline", "link", "keyword")
 
 
 def build_keyword_index(news: DataFrame, stem: bool = True, **kw) -> DataFrame:
     """T5: (keyword, headline, url), distinct; every keyword is indexed
     (no batch-size loss)."""
-    return (document_tokens(news, stem=stem, **kw)
-            .select("keyword", "headline", F.col("link").alias("url")).distinct())
+    rows = document_tokens(news, stem=stem, **kw).select("keyword", "headline", F.col("link").alias("url"))
+    # unstemmed rows are already distinct; stemming can map two tokens to one keyword
+    return rows.distinct() if stem else rows
 
 
 def write_keyword_index(index: DataFrame, path: str, buckets: int | None = None) -> None:
@@ -98,7 +110,7 @@ def parse_queries(queries: DataFrame, stem: bool = True, letters_only: bool = Fa
     """(query_id, pos, keyword): split on one space, lowercase, stem;
     duplicates after stemming keep their first position.  ``letters_only``
     applies the search box's letters-and-spaces check (rejecting the query)."""
-    q = queries
+    q = spread(queries)
     if letters_only:
         q = q.where(F.col("query").rlike("^[A-Za-z ]+$"))
     words = (q.select("query_id", F.posexplode(F.split(F.col("query"), " ")).alias("pos", "raw"))

@@ -97,3 +97,19 @@ def test_news_table_later_put_wins(spark):
                                  "headline string, date string, seq int, short_description string")
     out = T.news_table(news).collect()
     assert [(r.headline, r.short_description) for r in out] == [("h", "new")]
+
+
+def test_stemmer_matches_reference_on_whole_vocabulary(spark):
+    """Every distinct index token and query word of the small tables, against
+    a direct loop implementation of the published algorithm."""
+    from tests.porter_ref import porter_ref
+
+    b = Bindings(spark, SF_SMALL)
+    toks = T.document_tokens(b.news, stem=False).select(F.col("keyword").alias("word"))
+    qwords = b.search_queries.select(F.explode(F.split(F.lower("query"), " ")).alias("word")) \
+        .where(F.col("word").rlike("^[a-z]+[^a-z]?$"))
+    vocab = toks.unionByName(qwords).distinct()
+    got = {r.word: r.stem for r in stem_column(vocab, "word").collect()}
+    assert len(got) > 5000
+    bad = {w: (s, porter_ref(w)) for w, s in got.items() if s != porter_ref(w)}
+    assert not bad, list(bad.items())[:10]
