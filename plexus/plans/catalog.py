@@ -18,6 +18,10 @@ from plexus.operators import graph as G
 from plexus.operators import social as S
 from plexus.operators import text as T
 from plexus.plans import rank_sql
+from plexus.session import scratch_path
+from plexus.sources.edges import read_edge_list
+from plexus.sources.news import read_news
+from plexus.sources.sinks import write_edge_list, write_news_json, write_report
 from plexus.streaming import jobs as X
 from plexus.sources.bindings import SQL_VIEWS, Bindings, with_views
 
@@ -491,6 +495,91 @@ def q_create_chat_rows(spark, sf):
     return S.create_chat_rows(new)
 
 
+# ---------------------------------------------------------- sources / sinks
+# Round trips through the text formats the reference reads: data Spark
+# derives from the given tables is written, then read back by the reader.
+
+@register("read_edge_list", with_views("edges") + "SELECT src, dst FROM edges")
+def q_read_edge_list(spark, sf):
+    path = scratch_path(spark, "edge-list")
+    write_edge_list(Bindings(spark, sf).edges, path)
+    return read_edge_list(spark, path)
+
+
+@register("read_news", with_views("news") +
+          "SELECT DISTINCT authors, category, date, headline, link, short_description FROM news")
+def q_read_news(spark, sf):
+    path = scratch_path(spark, "news-json")
+    write_news_json(Bindings(spark, sf).news, path)
+    return read_news(spark, path)
+
+
+@register("top_report", rank_sql.top_sql(RANK_ROUNDS, TOP_K, True))
+def q_top_report(spark, sf):
+    path = scratch_path(spark, "top-report")
+    write_report(q_top_ranked(spark, sf), path)
+    return spark.read.schema("node bigint, rank double").json(path)
+
+
+def _account_changes(b: Bindings) -> DataFrame:
+    """Profile edits from the tables: every customer types their nation as
+    affiliation (other fields blank); every supplier's account tries to take
+    the next customer's name (already taken)."""
+    c, n = b.table("customer"), b.table("nation")
+    aff = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("userID"), F.lit("").alias("username"),
+        F.col("n_name").alias("affiliation"), F.col("c_custkey").alias("seq"))
+    s = b.table("supplier")
+    ren = s.join(c, c.c_custkey == s.s_suppkey + 1).select(
+        F.col("s_suppkey").alias("userID"), F.col("c_name").alias("username"),
+        F.lit(None).cast("string").alias("affiliation"), (F.col("s_suppkey") + 1000000000).alias("seq"))
+    return aff.unionByName(ren)
+
+
+_UPDATE_SQL = with_views("accounts") + """,
+changes AS (
+  SELECT c.c_custkey AS userID, '' AS username, n.n_name AS affiliation, c.c_custkey AS seq
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  UNION ALL
+  SELECT s.s_suppkey, c.c_name, CAST(NULL AS VARCHAR), s.s_suppkey + 1000000000
+    FROM supplier s JOIN customer c ON c.c_custkey = s.s_suppkey + 1),
+ch AS (SELECT x.userID, x.seq, x.affiliation AS typed_aff, a.username AS old_username,
+         coalesce(nullif(trim(x.username), ''), a.username) AS new_username,
+         coalesce(nullif(trim(x.affiliation), ''), a.affiliation) AS new_aff
+       FROM changes x JOIN accounts a USING (userID)),
+firsts AS (SELECT new_username, min(seq) AS f FROM ch WHERE new_username <> old_username GROUP BY new_username),
+st AS (SELECT ch.*, CASE WHEN new_username <> old_username AND (
+          EXISTS (SELECT 1 FROM accounts o WHERE o.username = ch.new_username AND o.userID <> ch.userID)
+          OR seq <> (SELECT f FROM firsts WHERE firsts.new_username = ch.new_username))
+        THEN 'username_taken' ELSE 'updated' END AS status FROM ch)
+"""
+
+
+@register("update_status", _UPDATE_SQL + "SELECT userID, seq, status FROM st")
+def q_update_status(spark, sf):
+    b = Bindings(spark, sf)
+    return S.update_accounts(_account_changes(b), b.accounts)[1]
+
+
+@register("update_accounts", _UPDATE_SQL + """,
+last AS (SELECT userID, arg_max(new_username, seq) AS u, arg_max(new_aff, seq) AS f
+         FROM st WHERE status = 'updated' GROUP BY userID)
+SELECT a.userID, coalesce(last.u, a.username) AS username, a.firstName, a.lastName,
+       coalesce(last.f, a.affiliation) AS affiliation
+FROM accounts a LEFT JOIN last USING (userID)""")
+def q_update_accounts(spark, sf):
+    b = Bindings(spark, sf)
+    return S.update_accounts(_account_changes(b), b.accounts)[0]
+
+
+@register("status_posts", _UPDATE_SQL + """
+SELECT userID, userID AS creatorID, seq AS postID, 'is now affiliated with ' || new_aff AS content
+FROM st WHERE status = 'updated' AND nullif(trim(typed_aff), '') IS NOT NULL""")
+def q_status_posts(spark, sf):
+    b = Bindings(spark, sf)
+    return S.update_accounts(_account_changes(b), b.accounts)[2]
+
+
 # -------------------------------------------------------------- streaming
 # Each runs a Structured Streaming query over the table files (availableNow)
 # and returns what its sink holds; the SQL is the batch result it must equal.
