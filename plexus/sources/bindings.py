@@ -62,9 +62,11 @@ class Bindings:
                  .select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % n).alias("b"),
                          F.col("o_orderdate").alias("ts"))
                  .where(F.col("a") != F.col("b")))
-        both = pairs.select(F.col("a").alias("followerID"), F.col("b").alias("followedID"), "ts") \
-            .unionByName(pairs.select(F.col("b").alias("followerID"), F.col("a").alias("followedID"), "ts"))
-        return both.groupBy("followerID", "followedID").agg(F.min("ts").alias("ts"))
+        # both directions from one scan
+        both = pairs.select(F.explode(F.array(
+            F.struct(F.col("a").alias("followerID"), F.col("b").alias("followedID"), "ts"),
+            F.struct(F.col("b").alias("followerID"), F.col("a").alias("followedID"), "ts"))).alias("p"))
+        return both.select("p.*").groupBy("followerID", "followedID").agg(F.min("ts").alias("ts"))
 
     @property
     def posts(self) -> DataFrame:
