@@ -164,15 +164,26 @@ def comment_threads(comments: DataFrame, accounts: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ likes / S10
 
 
+def last_operations(log: DataFrame, keys, seq: str = "seq", op_col: str = "op") -> DataFrame:
+    """One row per key: the operation with the highest ``seq`` (deletes kept
+    as tombstones), with its ``seq``, op and payload.  Merging two such
+    tables is the same call on their union, in any order of arrival.
+
+    ``max_by`` aggregates partially before the shuffle, so a key with many
+    operations costs one row per map task."""
+    keys = list(keys)
+    payload = [c for c in log.columns if c not in keys and c not in (seq, op_col)]
+    last = log.groupBy(*keys).agg(
+        F.max_by(F.struct(F.col(seq).alias(seq), F.col(op_col).alias(op_col), *payload), F.col(seq)).alias("_l"))
+    return last.select(*keys, *[F.col("_l." + c).alias(c) for c in (seq, op_col, *payload)])
+
+
 def apply_changes(log: DataFrame, keys, seq: str = "seq", op_col: str = "op",
                   base: DataFrame | None = None) -> DataFrame:
     """Last writer wins over an append-only log of put / delete
     operations.  ``base`` rows (current state) count as puts older than
     every log entry.  Returns the key columns plus the payload of the last
-    put, for keys whose last operation is not a delete.
-
-    ``max_by`` aggregates partially before the shuffle, so a key with many
-    operations costs one row per map task."""
+    put, for keys whose last operation is not a delete."""
     keys = list(keys)
     payload = [c for c in log.columns if c not in keys and c not in (seq, op_col)]
     entries = log.select(*keys, F.struct(F.lit(1).alias("l"), F.col(seq).alias("s")).alias("_seq"),
@@ -182,9 +193,8 @@ def apply_changes(log: DataFrame, keys, seq: str = "seq", op_col: str = "op",
         b = base.select(*keys, older.alias("_seq"), F.lit("put").alias("_op"),
                         *[F.col(c) if c in base.columns else F.lit(None).alias(c) for c in payload])
         entries = b.unionByName(entries)
-    last = entries.groupBy(*keys).agg(
-        F.max_by(F.struct(F.col("_op").alias("_op"), *payload), F.col("_seq")).alias("_last"))
-    return last.where(F.col("_last._op") != "delete").select(*keys, *[F.col("_last." + c).alias(c) for c in payload])
+    last = last_operations(entries, keys, "_seq", "_op")
+    return last.where(F.col("_op") != "delete").select(*keys, *payload)
 
 
 def like_summary(likes: DataFrame, views: DataFrame | None = None) -> DataFrame:

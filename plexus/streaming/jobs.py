@@ -22,8 +22,9 @@ from plexus.session import scratch_path
 def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
     """Stream the parquet files ``{table}*.parquet`` of a folder (schema from
     the files' footer, never inferred per batch)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
+    glob = f"{table}*.parquet"
+    schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(folder)
@@ -59,23 +60,29 @@ def stream_message_log(messages: DataFrame, accounts: DataFrame, sink: str, chec
 # ------------------------------------------------------------------ X2
 
 class LikeState:
-    """Current likes kept as a versioned table; every micro-batch of the
-    put/delete log is merged with last-writer-wins (S10), then the next
-    version is written and becomes current."""
+    """The last operation per (postID, userID), tombstones included, kept
+    as a versioned table; every micro-batch of the put/delete log is merged
+    by last-writer-wins on ``seq`` (so late, older operations lose), the
+    next version is written and becomes current."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.version = -1
 
-    def current(self) -> DataFrame | None:
+    def state(self) -> DataFrame | None:
         if self.version < 0:
             return None
         return self.spark.read.parquet(f"{self.root}/v={self.version}")
 
+    def current(self) -> DataFrame | None:
+        st = self.state()
+        return None if st is None else st.where(F.col("op") != "delete").drop("seq", "op")
+
     def merge(self, batch: DataFrame, epoch: int) -> None:
-        base = self.current()
-        state = S.apply_changes(batch, ["postID", "userID"], "seq", base=base)
+        prev = self.state()
+        log = batch if prev is None else prev.unionByName(batch)
+        state = S.last_operations(log, ["postID", "userID"], "seq", "op")
         nxt = self.version + 1
         state.write.mode("overwrite").parquet(f"{self.root}/v={nxt}")
         self.version = nxt
