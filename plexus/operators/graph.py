@@ -174,12 +174,14 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
     done = 0
     checkpointed = False
     for i in range(1, max_iters + 1):
-        new = _round(ranks, wedges, fanout, d, keep_sourceless)
+        new = _round(ranks, wedges, fanout, d, keep_sourceless).persist(StorageLevel.MEMORY_AND_DISK)
         if keep_history or i % checkpoint_interval == 0:
-            new = new.checkpoint(eager=True)
+            # persisted first, so writing the checkpoint reads the cache
+            # instead of recomputing the round
+            cached, new = new, new.checkpoint(eager=True)
+            cached.unpersist()
             checkpointed = True
         else:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
             checkpointed = False
         held.append(new)
         done = i
@@ -205,6 +207,8 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
         if delta is not None and len(held) > 2:
             held.pop(0).unpersist()
     if not (checkpointed and ranks is held[-1]):
+        ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(ranks)
         ranks = ranks.checkpoint(eager=True)
     hist = None
     if keep_history:
