@@ -136,3 +136,12 @@ def test_expand_network_small(spark):
     assert sorted((r.id, r.label) for r in nodes.collect()) == [(3, "C c")]
     # 2 -> 3 and, since 3 is friends with shown node 5, 5 -> 3
     assert sorted((r.src, r.dst) for r in edges.collect()) == [(2, 3), (5, 3)]
+
+
+def test_keep_sourceless_keeps_floor_value(demo, spark):
+    # node 5 only points into the graph: it has no in-edge, so it drops out
+    # after round 1 by default (D2) and stays at d with keep_sourceless
+    e = demo.unionByName(spark.createDataFrame([(5, 1)], "src bigint, dst bigint"))
+    default = ranks(G.social_rank(e, max_iters=2, delta=None))
+    kept = ranks(G.social_rank(e, max_iters=2, delta=None, keep_sourceless=True))
+    assert 5 not in default and kept[5] == pytest.approx(0.15)

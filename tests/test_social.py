@@ -100,3 +100,14 @@ def test_like_summary_flags(spark):
     views = spark.createDataFrame([(10, 1), (12, 1), (12, 3)], "viewerID long, postID long")
     out = {(r.viewerID, r.postID): (r.n_likes, r.liked) for r in S.like_summary(likes, views).collect()}
     assert out == {(10, 1): (2, True), (12, 1): (2, False), (12, 3): (0, False)}
+
+
+def test_notification_feed_cap(spark):
+    acc = spark.createDataFrame([(1, "ann"), (2, "bob")], "userID long, username string")
+    n = spark.createDataFrame(
+        [(9, 1, "friendRequest", dt.datetime(2024, 1, d)) for d in range(1, 6)]
+        + [(9, 2, "friendRequest", dt.datetime(2024, 1, 9))],
+        "recipientID long, senderID long, notificationType string, ts timestamp_ntz")
+    assert S.notification_feed(n, acc).count() == 6            # no cap by default (D16)
+    top = S.notification_feed(n, acc, k=2).orderBy("pos").collect()
+    assert [(r.pos, r.sender_username) for r in top] == [(1, "bob"), (2, "ann")]
