@@ -280,13 +280,18 @@ def chat_title(roster: DataFrame, viewer, chat) -> DataFrame:
                  .alias("title")))
 
 
-def chat_transcripts(messages: DataFrame, members: DataFrame, as_of: Column, tz: str = "UTC") -> DataFrame:
-    """Messages whose author is a member of the chat, oldest first,
-    with a display-time label relative to the ``as_of`` date."""
-    m = members.select("chatID", "userID").distinct()
-    msgs = messages.join(m, ["chatID", "userID"], "left_semi")
-    return (msgs.withColumn("time_label", chat_time_label(F.col("ts"), as_of, tz))
-            .orderBy("chatID", "ts", "message_id"))
+def chat_transcripts(messages: DataFrame, members: DataFrame | None, as_of: Column | None = None,
+                     tz: str = "UTC", order=("chatID", "ts", "message_id")) -> DataFrame:
+    """Messages whose author is a member of the chat (when ``members``
+    is given), oldest first, with a display-time label relative to the
+    ``as_of`` date (when given; needs a ``ts`` column)."""
+    msgs = messages
+    if members is not None:
+        m = members.select("chatID", "userID").distinct()
+        msgs = msgs.join(m, ["chatID", "userID"], "left_semi")
+    if as_of is not None:
+        msgs = msgs.withColumn("time_label", chat_time_label(F.col("ts"), as_of, tz))
+    return msgs.orderBy(*order)
 
 
 def create_chat_rows(new: DataFrame) -> DataFrame:

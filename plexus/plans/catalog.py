@@ -483,6 +483,12 @@ def q_chat_transcripts(spark, sf):
     return S.chat_transcripts(b.messages, b.memberships, as_of, "UTC")
 
 
+@register("chat_transcripts_text", with_views("messages_text") +
+          "SELECT chatID, message_id, author, message FROM messages_text")
+def q_chat_transcripts_text(spark, sf):
+    return S.chat_transcripts(Bindings(spark, sf).messages_text, None, order=("chatID", "message_id"))
+
+
 @register("create_chat_rows", """
 SELECT event_id AS chatID, user_id AS userID, event_id AS seq, 'put' AS op FROM events WHERE event_type = 'purchase'
 UNION ALL

@@ -29,3 +29,8 @@ def write_news_json(news: DataFrame, path: str) -> None:
     """Articles as JSON lines with the six news fields (the format T1 reads)."""
     news.select("authors", "category", "date", "headline", "link", "short_description") \
         .write.mode("overwrite").json(path)
+
+
+def json_rows(df: DataFrame, col: str = "json") -> DataFrame:
+    """Each row as one JSON object string (the web tier's response shape)."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(col))

@@ -111,3 +111,12 @@ def test_notification_feed_cap(spark):
     assert S.notification_feed(n, acc).count() == 6            # no cap by default (D16)
     top = S.notification_feed(n, acc, k=2).orderBy("pos").collect()
     assert [(r.pos, r.sender_username) for r in top] == [(1, "bob"), (2, "ann")]
+
+
+def test_json_rows_export(spark):
+    import json
+
+    from plexus.sources.sinks import json_rows
+
+    df = spark.createDataFrame([(1, "a b")], "id long, text string")
+    assert json.loads(json_rows(df).first().json) == {"id": 1, "text": "a b"}

@@ -113,3 +113,13 @@ def test_stemmer_matches_reference_on_whole_vocabulary(spark):
     assert len(got) > 5000
     bad = {w: (s, porter_ref(w)) for w, s in got.items() if s != porter_ref(w)}
     assert not bad, list(bad.items())[:10]
+
+
+def test_keyword_index_sink_round_trip(spark, tmp_path):
+    b = Bindings(spark, SF_SMALL)
+    idx = T.build_keyword_index(b.news, stem=False)
+    T.write_keyword_index(idx, str(tmp_path / "idx"))
+    back = spark.read.parquet(str(tmp_path / "idx"))
+    one = back.where((F.col("k0") == "c") & (F.col("keyword") == "cat"))
+    assert "PartitionFilters: [isnotnull(k0" in one._jdf.queryExecution().executedPlan().toString()
+    assert back.drop("k0").exceptAll(idx).count() == 0 and idx.exceptAll(back.drop("k0")).count() == 0
