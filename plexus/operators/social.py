@@ -270,14 +270,18 @@ def chat_directory(members: DataFrame, accounts: DataFrame) -> DataFrame:
             .select(F.col("userID"), "chatID", "n_members", F.lit("you").alias("self_label")))
 
 
-def chat_title(roster: DataFrame, viewer, chat) -> DataFrame:
-    """S14 render step for one (viewer, chat): member labels sorted, the
-    viewer as "you", joined by ", ".  Gathers one chat only."""
-    one = roster.where(F.col("chatID") == F.lit(chat))
-    lab = F.when(F.col("userID") == F.lit(viewer), F.lit("you")).otherwise(F.col("label"))
-    return (one.select(F.struct(F.col("label"), F.col("userID"), lab.alias("l")).alias("s"))
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["l"]), ", ")
-                 .alias("title")))
+def chat_title_parts(roster: DataFrame, viewers: DataFrame) -> DataFrame:
+    """S14 title for ``viewers(userID)``: for every chat of each viewer, its
+    member labels as rows in display order (``pos``), the viewer as "you";
+    the UI joins them with ", ".  Rows, not one gathered string per chat:
+    the work and each output row stay bounded however large a chat is.
+    Ordered by a global sort, so a huge chat spreads over many tasks."""
+    mine = roster.join(viewers.select(F.col("userID").alias("viewer")),
+                       roster.userID == F.col("viewer"), "inner").select("chatID", "viewer")
+    parts = roster.join(mine, "chatID")
+    lab = F.when(F.col("userID") == F.col("viewer"), F.lit("you")).otherwise(F.col("label"))
+    return (parts.select("viewer", "chatID", "userID", lab.alias("label"), F.col("label").alias("_sort"))
+            .orderBy("viewer", "chatID", "_sort", "userID").drop("_sort"))
 
 
 def chat_transcripts(messages: DataFrame, members: DataFrame | None, as_of: Column | None = None,

@@ -120,3 +120,12 @@ def test_json_rows_export(spark):
 
     df = spark.createDataFrame([(1, "a b")], "id long, text string")
     assert json.loads(json_rows(df).first().json) == {"id": 1, "text": "a b"}
+
+
+def test_chat_title_parts(spark):
+    acc = spark.createDataFrame([(1, "Ann", "Lee"), (2, "Bob", "Ray"), (3, "Cy", "Fox")],
+                                "userID long, firstName string, lastName string")
+    members = spark.createDataFrame([(7, 1), (7, 2), (7, 3), (8, 2)], "chatID long, userID long")
+    roster = S.chat_roster(members, acc)
+    parts = S.chat_title_parts(roster, spark.createDataFrame([(2,)], "userID long")).collect()
+    assert [(r.chatID, r.label) for r in parts] == [(7, "Ann Lee"), (7, "you"), (7, "Cy Fox"), (8, "you")]
