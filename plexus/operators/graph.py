@@ -143,7 +143,7 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
                     delta: float | None = 30.0, back_links: bool = True,
                     keep_sourceless: bool = False, return_latest: bool = False,
                     keep_history: bool = False, fanout_chunk: int = DEFAULT_FANOUT_CHUNK,
-                    checkpoint_interval: int = 1) -> RankResult:
+                    checkpoint_interval: int | None = None) -> RankResult:
     """The iterative rank with early stop.
 
     Each round: rank(node) = d + (1 - d) * sum over in-edges (rank(src) * w).
@@ -152,20 +152,23 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
     most ``delta`` and then returns the *previous* vector (D4) unless
     ``return_latest``; ``delta=None`` runs exactly ``max_iters`` rounds.
 
-    Every ``checkpoint_interval``-th round (default: every round) and the
-    returned vector are checkpointed to the session's reliable checkpoint
-    folder, other rounds are persisted: lineage never spans more than that
-    many rounds, so a lost executor costs at most that many rounds.  (A
-    persisted round keeps its whole plan, so plans grow with the interval;
-    the rank vector is small next to the edges, so writing it every round is
-    the cheaper choice.)  With ``delta`` each round runs one job, which
-    materializes the new vector and evaluates the stop test.
+    Every ``checkpoint_interval``-th round and the returned vector are
+    checkpointed to the session's reliable checkpoint folder, so lineage
+    never spans more than that many rounds and a lost executor costs at most
+    that many.  Default interval: 1 when a stop test runs (each round needs
+    a job anyway, and a persisted, un-checkpointed round would drag its whole
+    plan into the next), 5 for fixed rounds, whose rounds are simply chained
+    (each references the previous once, so the plan stays linear).  The
+    stop test is one job per round.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     # the input is read by back-links, sinks, degrees and weights: once
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     g = add_back_links(edges) if back_links else edges
+    if checkpoint_interval is None:
+        chained = delta is None and not keep_history and not keep_sourceless
+        checkpoint_interval = 5 if chained else 1
     wedges, fanout, ranks, deg = _prepare(g, fanout_chunk)
     ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
     held = [ranks]                      # persisted vectors still referenced
@@ -174,15 +177,19 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
     done = 0
     checkpointed = False
     for i in range(1, max_iters + 1):
-        new = _round(ranks, wedges, fanout, d, keep_sourceless).persist(StorageLevel.MEMORY_AND_DISK)
+        new = _round(ranks, wedges, fanout, d, keep_sourceless)
         if keep_history or i % checkpoint_interval == 0:
             # persisted first, so writing the checkpoint reads the cache
             # instead of recomputing the round
-            cached, new = new, new.checkpoint(eager=True)
+            cached = new.persist(StorageLevel.MEMORY_AND_DISK)
+            new = cached.checkpoint(eager=True)
             cached.unpersist()
             checkpointed = True
-        else:
+        elif delta is not None:
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
             checkpointed = False
+        else:
+            checkpointed = False   # chained: evaluated once, by the next checkpoint
         held.append(new)
         done = i
         if delta is not None:
