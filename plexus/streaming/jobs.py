@@ -61,32 +61,55 @@ def stream_message_log(messages: DataFrame, accounts: DataFrame, sink: str, chec
 # ------------------------------------------------------------------ X2
 
 class LikeState:
-    """The last operation per (postID, userID), tombstones included, kept
-    as a versioned table; every micro-batch of the put/delete log is merged
-    by last-writer-wins on ``seq`` (so late, older operations lose), the
-    next version is written and becomes current."""
+    """The last operation per (postID, userID), tombstones included,
+    kept as a table split into ``buckets`` (one file each) by a hash of the
+    key.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Each micro-batch rewrites only the buckets it touches: the previous
+    version of those buckets and the batch are merged by last-writer-wins
+    on ``seq`` (so a late, older operation loses) and written as version
+    ``epoch`` (a replayed epoch overwrites its own version).  The manifest,
+    bucket -> current path, has at most ``buckets`` entries and is written
+    next to each version."""
+
+    KEYS = ["postID", "userID"]
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.version = -1
+        # default: as many buckets as the session has shuffle partitions
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.manifest: dict[int, str] = {}
+
+    def _bucket(self) -> F.Column:
+        return F.pmod(F.xxhash64(*self.KEYS), F.lit(self.buckets)).cast("int")
 
     def state(self) -> DataFrame | None:
-        if self.version < 0:
+        if not self.manifest:
             return None
-        return self.spark.read.parquet(f"{self.root}/v={self.version}")
+        return self.spark.read.parquet(*sorted(self.manifest.values()))
 
     def current(self) -> DataFrame | None:
         st = self.state()
         return None if st is None else st.where(F.col("op") != "delete").drop("seq", "op")
 
     def merge(self, batch: DataFrame, epoch: int) -> None:
-        prev = self.state()
-        log = batch if prev is None else prev.unionByName(batch)
-        state = S.last_operations(log, ["postID", "userID"], "seq", "op")
-        nxt = self.version + 1
-        state.write.mode("overwrite").parquet(f"{self.root}/v={nxt}")
-        self.version = nxt
+        # the batch is read twice (touched buckets, merge): compute it once
+        keyed = batch.withColumn("bucket", self._bucket()).persist()
+        touched = [r[0] for r in keyed.select("bucket").distinct().collect()]  # <= buckets values
+        prev = [self.manifest[b] for b in touched if b in self.manifest]
+        log = keyed.drop("bucket")
+        if prev:
+            log = self.spark.read.parquet(*prev).unionByName(log)
+        out = S.last_operations(log, self.KEYS, "seq", "op").withColumn("bucket", self._bucket())
+        vpath = f"{self.root}/v={epoch}"
+        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(vpath)
+        for b in touched:
+            self.manifest[b] = f"{vpath}/bucket={b}"
+        keyed.unpersist()
+        rows = sorted(self.manifest.items())
+        self.spark.createDataFrame(rows, "bucket int, path string").coalesce(1) \
+            .write.mode("overwrite").json(f"{self.root}/manifest/v={epoch}")
 
 
 def stream_like_state(like_log: DataFrame, state: LikeState, checkpoint: str) -> StreamingQuery:
