@@ -1,6 +1,5 @@
 """Tokenizer, Porter stemmer, keyword index and capped search."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from plexus.functions.porter import stem_column
