@@ -9,7 +9,6 @@ Ids are BIGINT here; the library functions do not assume string ids.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
