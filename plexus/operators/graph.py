@@ -139,6 +139,18 @@ def _round(ranks: DataFrame, wedges: DataFrame, fanout: DataFrame | None, d: flo
     return new
 
 
+def _stop_test(old: DataFrame, new: DataFrame):
+    """Largest |new - old| over nodes in both vectors, how many such nodes,
+    and the size of the new vector: one shuffle on node (a union and a
+    group-by, not a join), then a one-row aggregate."""
+    sides = old.select("node", (-F.col("rank")).alias("v"), F.lit(1).alias("o"), F.lit(0).alias("n")) \
+        .unionByName(new.select("node", F.col("rank").alias("v"), F.lit(0).alias("o"), F.lit(1).alias("n")))
+    per = sides.groupBy("node").agg(F.sum("v").alias("d"), F.max("o").alias("o"), F.max("n").alias("n"))
+    both = (F.col("o") == 1) & (F.col("n") == 1)
+    return per.agg(F.max(F.when(both, F.abs("d"))).alias("m"), F.count_if(both).alias("c"),
+                   F.sum("n").alias("n_new")).first()
+
+
 def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
                     delta: float | None = 30.0, back_links: bool = True,
                     keep_sourceless: bool = False, return_latest: bool = False,
@@ -193,10 +205,7 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
         held.append(new)
         done = i
         if delta is not None:
-            both = F.col("rank").isNotNull() & F.col("r2").isNotNull()
-            row = (ranks.join(new.withColumnRenamed("rank", "r2"), "node", "full_outer")
-                   .agg(F.max(F.when(both, F.abs(F.col("rank") - F.col("r2")))).alias("m"),
-                        F.count_if(both).alias("c"), F.count("r2").alias("n_new"))).first()
+            row = _stop_test(ranks, new)
             if row["n_new"] == 0:        # D6: nothing left to propagate
                 converged = True
                 break
