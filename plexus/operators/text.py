@@ -63,6 +63,22 @@ def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keywor
     return words.join(stems, words[word_col] == stems["_w"]).drop("_w").withColumnRenamed("_stem", out_col)
 
 
+def stem_tokens(df: DataFrame, key: str = "headline", tokens_col: str = "tokens",
+                out: str = "stems") -> DataFrame:
+    """T4 array form: add ``out`` = the Porter stems of ``tokens_col``,
+    duplicates removed keeping first occurrence.  Stems come from the
+    distinct-vocabulary join; each article's array is rebuilt in position
+    order (bounded by the article, which is already one row).  ``key``
+    must identify a row."""
+    pos = df.select(key, F.posexplode(tokens_col).alias("pos", "token"))
+    stemmed = stem_words(pos)
+    arrays = (stemmed.groupBy(key)
+              .agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("pos", "keyword"))),
+                                                lambda x: x["keyword"])).alias(out)))
+    return (df.join(arrays, key, "left")
+            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>"))))
+
+
 def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
                     case_sensitive_stopwords: bool = True) -> DataFrame:
     """(headline, link, keyword): one row per distinct keyword of an article.

@@ -122,3 +122,11 @@ def test_keyword_index_sink_round_trip(spark, tmp_path):
     one = back.where((F.col("k0") == "c") & (F.col("keyword") == "cat"))
     assert "PartitionFilters: [isnotnull(k0" in one._jdf.queryExecution().executedPlan().toString()
     assert back.drop("k0").exceptAll(idx).count() == 0 and idx.exceptAll(back.drop("k0")).count() == 0
+
+
+def test_stem_tokens_keeps_first_occurrence_order(spark):
+    df = spark.createDataFrame(
+        [("1", "Running runs cats", "", "", "u"), ("2", "", "", "", "u")],
+        "headline string, authors string, short_description string, category string, link string")
+    out = {r.headline: r.stems for r in T.stem_tokens(T.tokenize(df)).collect()}
+    assert out == {"1": ["run", "cat"], "2": []}  # digit-only headlines give no tokens
