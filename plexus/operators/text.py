@@ -55,11 +55,20 @@ def stem_vocabulary(words: DataFrame, word_col: str = "token") -> DataFrame:
     return stem_column(vocab, "_w", "_stem").checkpoint(eager=True)
 
 
-def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keyword") -> DataFrame:
+# A stem table this small (about 60 MB at most) is broadcast for the join back.
+VOCAB_BROADCAST_ROWS = 1_000_000
+
+
+def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keyword",
+               broadcast_rows: int = VOCAB_BROADCAST_ROWS) -> DataFrame:
     """T4: stem a column of words: the distinct vocabulary is stemmed once
-    (JVM expressions) and joined back.  AQE broadcasts the vocabulary only
-    when its measured size is under the broadcast threshold."""
+    (JVM expressions) and joined back.  The word -> stem table is broadcast
+    only when its counted size is within ``broadcast_rows``; a larger
+    vocabulary is joined by shuffle (a checkpointed table carries no size
+    statistics, so the check is explicit)."""
     stems = stem_vocabulary(words, word_col)
+    if stems.count() <= broadcast_rows:
+        stems = F.broadcast(stems)
     return words.join(stems, words[word_col] == stems["_w"]).drop("_w").withColumnRenamed("_stem", out_col)
 
 
@@ -95,6 +104,9 @@ def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, s
             .select("headline", "link", F.lower("t").alias("token")).distinct())
     if not stem:
         return toks.withColumnRenamed("token", "keyword")
+    # read twice (vocabulary, join back): written once instead of tokenizing twice
+    ensure_checkpoint_dir(news.sparkSession)
+    toks = toks.checkpoint(eager=True)
     return stem_words(toks).select("headline", "link", "keyword")
 
 
