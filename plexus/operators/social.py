@@ -16,6 +16,10 @@ from plexus.functions.timefmt import chat_time_label
 
 ACCOUNT_FIELDS = ("username", "firstName", "lastName", "affiliation")
 
+# ---- fixed values: text of the status post after an affiliation edit -----
+AFFILIATION_POST = " has updated their affiliation to: "
+# ---------------------------------------------------------------------------
+
 
 # ------------------------------------------------------------ S1 / S2
 
@@ -70,17 +74,17 @@ def register_accounts(new: DataFrame, accounts: DataFrame, seq: str = "seq",
 
 
 def update_accounts(changes: DataFrame, accounts: DataFrame, seq: str = "seq"):
-    """Apply profile edits.  A blank or null field keeps the old value;
+    """Apply profile edits.  An empty or null field keeps the old value;
     a new username must not belong to another account (nor be claimed by
     an earlier change in the batch).  Returns (accounts after, status per
-    change, status posts).  A status post is emitted whenever an
-    affiliation was typed, even if unchanged (as the reference), addressed
-    by userID."""
+    change, status posts).  A status post "<old username> has updated their
+    affiliation to: <affiliation>" is emitted whenever an affiliation was
+    typed, even if unchanged (as the reference), on the user's own wall."""
     fields = [f for f in ("username", "firstName", "lastName", "email", "affiliation", "birthday")
               if f in changes.columns and f in accounts.columns]
     old = accounts.select("userID", *[F.col(f).alias("_old_" + f) for f in fields])
     ch = changes.join(old, "userID")
-    typed = {f: F.nullif(F.trim(F.col(f)), F.lit("")) for f in fields}
+    typed = {f: F.nullif(F.col(f), F.lit("")) for f in fields}
     for f in fields:
         ch = ch.withColumn("_new_" + f, F.coalesce(typed[f], F.col("_old_" + f)))
     # username rule: a changed name must be free of other users and first in batch
@@ -103,7 +107,8 @@ def update_accounts(changes: DataFrame, accounts: DataFrame, seq: str = "seq"):
     status = ch.select("userID", seq, "status")
     posts = (ok.where(typed.get("affiliation", F.lit(None)).isNotNull())
              .select(F.col("userID"), F.col("userID").alias("creatorID"), F.col(seq).alias("postID"),
-                     F.concat(F.lit("is now affiliated with "), F.col("_new_affiliation")).alias("content"))
+                     F.concat(F.col("_old_username"), F.lit(AFFILIATION_POST),
+                              F.col("_new_affiliation")).alias("content"))
              if "affiliation" in fields else None)
     return after, status, posts
 

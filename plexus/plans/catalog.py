@@ -550,8 +550,8 @@ changes AS (
   SELECT s.s_suppkey, c.c_name, CAST(NULL AS VARCHAR), s.s_suppkey + 1000000000
     FROM supplier s JOIN customer c ON c.c_custkey = s.s_suppkey + 1),
 ch AS (SELECT x.userID, x.seq, x.affiliation AS typed_aff, a.username AS old_username,
-         coalesce(nullif(trim(x.username), ''), a.username) AS new_username,
-         coalesce(nullif(trim(x.affiliation), ''), a.affiliation) AS new_aff
+         coalesce(nullif(x.username, ''), a.username) AS new_username,
+         coalesce(nullif(x.affiliation, ''), a.affiliation) AS new_aff
        FROM changes x JOIN accounts a USING (userID)),
 firsts AS (SELECT new_username, min(seq) AS f FROM ch WHERE new_username <> old_username GROUP BY new_username),
 st AS (SELECT ch.*, CASE WHEN new_username <> old_username AND (
@@ -579,8 +579,9 @@ def q_update_accounts(spark, sf):
 
 
 @register("status_posts", _UPDATE_SQL + """
-SELECT userID, userID AS creatorID, seq AS postID, 'is now affiliated with ' || new_aff AS content
-FROM st WHERE status = 'updated' AND nullif(trim(typed_aff), '') IS NOT NULL""")
+SELECT userID, userID AS creatorID, seq AS postID,
+  old_username || ' has updated their affiliation to: ' || new_aff AS content
+FROM st WHERE status = 'updated' AND nullif(typed_aff, '') IS NOT NULL""")
 def q_status_posts(spark, sf):
     b = Bindings(spark, sf)
     return S.update_accounts(_account_changes(b), b.accounts)[2]

@@ -62,7 +62,8 @@ def test_update_accounts(spark):
     a = {r.userID: (r.username, r.firstName, r.lastName) for r in after.collect()}
     assert a == {1: ("ann", "Annie", "Lee"), 2: ("bob", "Bob", "Ray")}
     assert {r.seq: r.status for r in status.collect()} == {1: "updated", 2: "username_taken"}
-    assert [r.userID for r in posts.collect()] == [1]  # affiliation typed, even though unchanged
+    # affiliation typed, even though unchanged
+    assert [(r.userID, r.content) for r in posts.collect()] == [(1, "ann has updated their affiliation to: X")]
 
 
 def test_chat_time_labels(spark):
