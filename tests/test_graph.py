@@ -145,3 +145,13 @@ def test_keep_sourceless_keeps_floor_value(demo, spark):
     default = ranks(G.social_rank(e, max_iters=2, delta=None))
     kept = ranks(G.social_rank(e, max_iters=2, delta=None, keep_sourceless=True))
     assert 5 not in default and kept[5] == pytest.approx(0.15)
+
+
+def test_top_report_sink(spark, demo, tmp_path):
+    from plexus.sources.sinks import write_report
+
+    top = G.top_ranked(G.social_rank(demo, max_iters=3, delta=None), 10)
+    write_report(top, str(tmp_path / "report"))
+    back = spark.read.schema("node bigint, rank double").json(str(tmp_path / "report"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, top.collect()))
+    assert len(list((tmp_path / "report").glob("part-*"))) == 1

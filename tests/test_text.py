@@ -130,3 +130,17 @@ def test_stem_tokens_keeps_first_occurrence_order(spark):
         "headline string, authors string, short_description string, category string, link string")
     out = {r.headline: r.stems for r in T.stem_tokens(T.tokenize(df)).collect()}
     assert out == {"1": ["run", "cat"], "2": []}  # digit-only headlines give no tokens
+
+
+def test_search_with_article_fields_and_news_table_sink(spark, tmp_path):
+    from plexus.sources.sinks import write_news_table
+
+    b = Bindings(spark, SF_SMALL)
+    index = T.build_keyword_index(b.news, stem=False)
+    q = spark.createDataFrame([("q1", "the and")], "query_id string, query string")
+    rows = T.search_news(q, index, news=b.news, stem=False).collect()
+    assert 0 < len(rows) <= 15 and all(r.category is not None for r in rows)
+    assert [r["rank"] for r in sorted(rows, key=lambda r: r["rank"])] == list(range(1, len(rows) + 1))
+    table = T.news_table(b.news)
+    write_news_table(table, str(tmp_path / "news"))
+    assert spark.read.parquet(str(tmp_path / "news")).count() == table.count()
