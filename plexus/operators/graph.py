@@ -148,7 +148,7 @@ def _stop_test(old: DataFrame, new: DataFrame):
     per = sides.groupBy("node").agg(F.sum("v").alias("d"), F.max("o").alias("o"), F.max("n").alias("n"))
     both = (F.col("o") == 1) & (F.col("n") == 1)
     return per.agg(F.max(F.when(both, F.abs("d"))).alias("m"), F.count_if(both).alias("c"),
-                   F.sum("n").alias("n_new")).first()
+                   F.coalesce(F.sum("n"), F.lit(0)).alias("n_new")).first()
 
 
 def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
@@ -184,10 +184,10 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
     wedges, fanout, ranks, deg = _prepare(g, fanout_chunk)
     ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
     held = [ranks]                      # persisted vectors still referenced
+    written = []                        # checkpointed vectors
     history = []
     converged = False
     done = 0
-    checkpointed = False
     for i in range(1, max_iters + 1):
         new = _round(ranks, wedges, fanout, d, keep_sourceless)
         if keep_history or i % checkpoint_interval == 0:
@@ -196,12 +196,10 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
             cached = new.persist(StorageLevel.MEMORY_AND_DISK)
             new = cached.checkpoint(eager=True)
             cached.unpersist()
-            checkpointed = True
+            written.append(new)
         elif delta is not None:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            checkpointed = False
-        else:
-            checkpointed = False   # chained: evaluated once, by the next checkpoint
+        # else chained: evaluated once, by the next checkpoint
         held.append(new)
         done = i
         if delta is not None:
@@ -222,7 +220,7 @@ def social_rank_run(edges: DataFrame, d: float = 0.15, max_iters: int = 25,
         # the vector two rounds back is no longer needed
         if delta is not None and len(held) > 2:
             held.pop(0).unpersist()
-    if not (checkpointed and ranks is held[-1]):
+    if not any(ranks is w for w in written):
         ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
         held.append(ranks)
         ranks = ranks.checkpoint(eager=True)
