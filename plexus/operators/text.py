@@ -128,10 +128,14 @@ def write_keyword_index(index: DataFrame, path: str, buckets: int | None = None)
 
 def news_table(news: DataFrame, order_col: str = "seq") -> DataFrame:
     """One row per (headline, date); a later put (higher ``order_col``)
-    replaces an earlier one; rows without a headline are skipped."""
-    w = Window.partitionBy("headline", "date").orderBy(F.desc(order_col))
-    return (news.where(F.col("headline").isNotNull())
-            .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
+    replaces an earlier one; rows without a headline are skipped.  A
+    ``max_by`` aggregate, so a key written many times is reduced before
+    the shuffle instead of being sorted in one task."""
+    keys = ["headline", "date"]
+    rest = [c for c in news.columns if c not in keys]
+    last = (news.where(F.col("headline").isNotNull()).groupBy(*keys)
+            .agg(F.max_by(F.struct(*rest), F.col(order_col)).alias("_l")))
+    return last.select(*[F.col(c) if c in keys else F.col("_l." + c).alias(c) for c in news.columns])
 
 
 def parse_queries(queries: DataFrame, stem: bool = True, letters_only: bool = False) -> DataFrame:
@@ -152,15 +156,15 @@ def parse_queries(queries: DataFrame, stem: bool = True, letters_only: bool = Fa
 
 
 def posting_heads(index: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
-    """(keyword, headline, url): the first ``cap`` headlines (by headline)
-    of every keyword.
+    """(keyword, headline, url): the first ``cap`` entries (by headline,
+    then url) of every keyword.
 
     Exact for capped OR-search: answers are ordered by (keyword position,
-    headline), so headline number cap+1 of one keyword is never needed.
+    headline, url), so entry number cap+1 of one keyword is never needed.
     ``row_number() <= cap`` is planned as a window group limit that ranks
     partially before the shuffle, so a keyword found in every article costs
     ``cap`` rows per map task rather than one huge group."""
-    w = Window.partitionBy("keyword").orderBy("headline")
+    w = Window.partitionBy("keyword").orderBy("headline", "url")
     return (index.select("keyword", "headline", "url")
             .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn"))
 
@@ -171,14 +175,14 @@ def search_news(queries: DataFrame, index: DataFrame, news: DataFrame | None = N
 
     ``index`` is a distinct (keyword, headline, url) table (T5).  Keywords
     are OR-ed; a headline's position is its earliest keyword; at most
-    ``cap`` headlines per query, ordered by (position, headline).  Returns
+    ``cap`` headlines per query, ordered by (position, headline, url).  Returns
     (query_id, rank, headline, url) plus article fields when ``news`` is
     given.
     """
     kw = queries if parsed else parse_queries(queries, stem=stem)
     hits = kw.join(posting_heads(index, cap), "keyword")
     first = hits.groupBy("query_id", "headline", "url").agg(F.min("pos").alias("pos"))
-    w = Window.partitionBy("query_id").orderBy("pos", "headline")
+    w = Window.partitionBy("query_id").orderBy("pos", "headline", "url")
     out = (first.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= cap)
            .select("query_id", F.col("rank").cast("int").alias("rank"), "headline", "url"))
     if news is not None:

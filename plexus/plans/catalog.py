@@ -237,7 +237,7 @@ def _search_sql(stem: bool) -> str:
     return base + _queries_sql(stem) + """,
 hits AS (SELECT k.query_id, k.pos, i.headline, i.url FROM kw k JOIN idx i USING (keyword)),
 firsts AS (SELECT query_id, headline, url, min(pos) AS pos FROM hits GROUP BY query_id, headline, url),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos, headline) AS rk FROM firsts)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos, headline, url) AS rk FROM firsts)
 SELECT query_id, CAST(rk AS INTEGER) AS rank, headline, url FROM ranked WHERE rk <= 15"""
 
 
