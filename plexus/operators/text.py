@@ -65,7 +65,11 @@ def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keywor
     (JVM expressions) and joined back.  The word -> stem table is broadcast
     only when its counted size is within ``broadcast_rows``; a larger
     vocabulary is joined by shuffle (a checkpointed table carries no size
-    statistics, so the check is explicit)."""
+    statistics, so the check is explicit).  ``words`` is read twice
+    (vocabulary, join back), so it is checkpointed once first rather than
+    computed twice."""
+    ensure_checkpoint_dir(words.sparkSession)
+    words = words.checkpoint(eager=True)
     stems = stem_vocabulary(words, word_col)
     if stems.count() <= broadcast_rows:
         stems = F.broadcast(stems)
@@ -104,9 +108,6 @@ def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, s
             .select("headline", "link", F.lower("t").alias("token")).distinct())
     if not stem:
         return toks.withColumnRenamed("token", "keyword")
-    # read twice (vocabulary, join back): written once instead of tokenizing twice
-    ensure_checkpoint_dir(news.sparkSession)
-    toks = toks.checkpoint(eager=True)
     return stem_words(toks).select("headline", "link", "keyword")
 
 
