@@ -34,3 +34,11 @@ def test_message_log_drops_blank_and_adds_names(spark):
     out = X.run_message_log(spark, SF_SMALL, Bindings(spark, SF_SMALL).accounts)
     assert out.count() == 1000
     assert out.where(F.col("firstName").isNull()).count() == out.where(F.col("userID") >= 150).count()
+
+
+def test_friend_request_stream_drops_repeats(spark):
+    got = X.run_friend_requests(spark, SF_SMALL)
+    want = Bindings(spark, SF_SMALL).notifications.select("recipientID", "senderID").distinct()
+    pairs = got.select("recipientID", "senderID")
+    assert pairs.count() == pairs.distinct().count() == want.count()
+    assert pairs.exceptAll(want).count() == 0
