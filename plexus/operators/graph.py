@@ -255,6 +255,16 @@ def top_ranked(ranks: DataFrame, k: int = 10) -> DataFrame:
     return ranks.orderBy(F.desc("rank"), F.asc("node")).limit(k)
 
 
+def top_report_line(ranks: DataFrame, k: int = 10) -> DataFrame:
+    """G9 report: one row, ``line`` = "top <k> nodes: [(node, rank), ...]",
+    highest rank first.  Gathers the k report entries only (bounded by k)."""
+    top = top_ranked(ranks, k).select(F.struct((-F.col("rank")).alias("o"), "node", "rank").alias("e"))
+    items = F.transform(F.sort_array(F.collect_list("e")),
+                        lambda e: F.concat(F.lit("("), e["node"].cast("string"), F.lit(", "),
+                                           e["rank"].cast("string"), F.lit(")")))
+    return top.agg(F.concat(F.lit(f"top {k} nodes: ["), F.array_join(items, ", "), F.lit("]")).alias("line"))
+
+
 def compare_top(first: DataFrame, second: DataFrame, k: int = 10) -> DataFrame:
     """Membership of the two top-k lists: both / only_first / only_second."""
     a = top_ranked(first, k).select("node", F.lit(True).alias("in_a"))

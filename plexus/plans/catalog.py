@@ -527,6 +527,15 @@ def q_top_report(spark, sf):
     return spark.read.schema("node bigint, rank double").json(path)
 
 
+@register("top_report_line", rank_sql.rank_cte(RANK_ROUNDS, True) + f"""
+SELECT 'top {TOP_K} nodes: [' || string_agg('(' || CAST(node AS VARCHAR) || ', ' || CAST(r AS VARCHAR) || ')',
+    ', ' ORDER BY r DESC, node) || ']' AS line
+FROM (SELECT node, round(rank, 6) AS r FROM r{RANK_ROUNDS} ORDER BY round(rank, 6) DESC, node LIMIT {TOP_K})""")
+def q_top_report_line(spark, sf):
+    ranks = _r6(G.social_rank(Bindings(spark, sf).edges, max_iters=RANK_ROUNDS, delta=None))
+    return G.top_report_line(ranks, TOP_K)
+
+
 def _account_changes(b: Bindings) -> DataFrame:
     """Profile edits from the tables: every customer types their nation as
     affiliation (other fields blank); every supplier's account tries to take

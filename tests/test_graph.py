@@ -155,3 +155,9 @@ def test_top_report_sink(spark, demo, tmp_path):
     back = spark.read.schema("node bigint, rank double").json(str(tmp_path / "report"))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, top.collect()))
     assert len(list((tmp_path / "report").glob("part-*"))) == 1
+
+
+def test_top_report_line(demo):
+    r = G.social_rank(demo, max_iters=1, delta=None)
+    line = G.top_report_line(r.withColumn("rank", F.round("rank", 6)), 3).first().line
+    assert line == "top 3 nodes: [(2, 1.283333), (4, 1.283333), (3, 1.0)]"
