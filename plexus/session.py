@@ -4,7 +4,6 @@ checkpoint directory used to cut lineage in iterative jobs."""
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -46,11 +45,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of this session.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; we use it
-    as is.  Only a local-mode session with nothing configured (tests, the
-    bench) gets a fresh scratch folder of its own.  A cluster session without
-    the setting is an error: a machine-local folder would not survive the
-    loss of an executor.
+    The cluster names a shared folder in ``spark.checkpoint.dir``; it is used
+    as is.  Where that is unset (tests, the bench) a folder below the
+    session's warehouse folder is taken, which driver and executors share as
+    well; a machine-local temporary folder is never used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,18 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - key absent
-            configured = None
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; iterative jobs need a shared "
-            "folder (HDFS/S3/...) to checkpoint to")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="plexus-ckpt-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_plexus_scratch"
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
