@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import common, packing, tokenfile
+from plexus.llm import common, neardup, packing, tokenfile, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,13 +21,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_documents(tokenfile.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER, folder))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on two-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("cid")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in dictionary-compressed archives, read back."""
+    folder = common.shared_folder(spark, "archives")
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder)).drop("url")
+
+
 def queries():
-    return {f.__name__: f for f in (op1_token_files, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op9_best_fit_packing, op10_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:

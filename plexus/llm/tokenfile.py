@@ -2,9 +2,10 @@
 
 A shard is two files.  ``ids-NNNNN.arrow`` is an Arrow IPC stream whose record
 batches hold ``BATCH`` rows each (the last fewer) of two fixed-size lists:
-``ids`` (uint16 or uint32, ``length`` entries) and ``mask`` (uint8, 1 for a
-token, 0 for padding at the end of the shard).  All rows have one size, so row
-``i`` is found by arithmetic and read from a memory map without a copy.
+``ids`` (uint16 or uint32, ``length`` entries) and ``mask`` (booleans, a bit
+each, true for a token, false for padding at the end of the shard).  All rows
+have one size, so row ``i`` is found by arithmetic and read from a memory map
+without a copy.
 ``docs-NNNNN.arrow`` lists the shard's documents: id, first token, tokens."""
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ READ = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start
 
 def file_schema(length: int, dtype: str) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(np.dtype(dtype)), length)),
-                      ("mask", pa.list_(pa.uint8(), length))])
+                      ("mask", pa.list_(pa.bool_(), length))])
 
 
 class _Rows:
@@ -55,8 +56,8 @@ class _Rows:
     def flush(self, rows: int) -> None:
         flat = np.concatenate(self.held) if self.held else np.zeros(0, self.dtype)
         n = min(len(flat), rows * self.length)
-        ids, mask = np.zeros(rows * self.length, self.dtype), np.zeros(rows * self.length, np.uint8)
-        ids[:n], mask[:n] = flat[:n], 1
+        ids, mask = np.zeros(rows * self.length, self.dtype), np.zeros(rows * self.length, bool)
+        ids[:n], mask[:n] = flat[:n], True
         self.held, self.n_held = [flat[n:]], len(flat) - n
         for k in range(0, rows, BATCH):
             part = slice(k * self.length, min(rows, k + BATCH) * self.length)
@@ -162,9 +163,10 @@ class TokenFile:
     def __len__(self) -> int:
         return self.rows
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``."""
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids (numpy) and mask (Arrow booleans) of sequence ``i``."""
         if not 0 <= i < self.rows:
             raise IndexError(i)
         batch, row = self.batches[i // BATCH], i % BATCH
-        return tuple(batch.column(k)[row].values.to_numpy(zero_copy_only=True) for k in (0, 1))
+        ids, mask = (batch.column(k)[row].values for k in (0, 1))
+        return ids.to_numpy(zero_copy_only=True), mask
