@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import common, neardup, packing, tokenfile, warc
+from plexus.llm import common, neardup, packing, secrets, tokenfile, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,6 +26,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("cid")
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of all documents: patterns and the randomness battery."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -38,7 +43,7 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op9_best_fit_packing, op10_warc_archives)}
+    return {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_secret_scans, op9_best_fit_packing, op10_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
