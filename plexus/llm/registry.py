@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import common, neardup, packing, secrets, tokenfile, warc
+from plexus.llm import common, fingerprints, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,11 +26,43 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("cid")
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents: patterns and the randomness battery."""
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels that aren't held out."""
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest inner products of every fiftieth vector with all others."""
+    vectors = common.stored(mtree.integer_vectors(table(spark, sf_dir, "embeddings")), "integer-vectors")
+    return mtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+OP7_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5
+"""
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents repeated to the target weights of their sources."""
+    return mixing.replicate(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -43,8 +75,10 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_secret_scans, op9_best_fit_packing, op10_warc_archives)}
+    return {f.__name__: f for f in (
+        op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op7_mtree_top_k,
+        op8_source_mixing, op9_best_fit_packing, op10_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mtree_top_k": OP7_SQL}
