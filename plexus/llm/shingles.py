@@ -24,12 +24,12 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     Letters A-Z are lower-cased, words are runs of anything but ASCII white
     space; with fewer than ``width`` words the whole sequence is one shingle,
     without words there is none."""
-    spaced = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    spaced = pc.fill_null(texts.cast(pa.large_string()), "")
     for space in "\t\n\x0b\x0c\r":
         spaced = pc.replace_substring(spaced, space, " ")
     lists = pc.split_pattern(spaced, " ")
     coded = lists.flatten().dictionary_encode()
-    names = coded.dictionary.to_pylist()
+    names = pc.ascii_lower(coded.dictionary).to_pylist()  # ascii_lower is wrong on slices; a dictionary is none
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, len(names))
     words = coded.indices.to_numpy()
     real = np.fromiter((w != "" for w in names), bool, len(names))[words]  # splitting leaves empty ends

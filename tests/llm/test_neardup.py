@@ -90,3 +90,16 @@ def test_components_of_chains_and_stars(spark):
     links = spark.createDataFrame(chain + star + [(7, 7)], "a long, b long")
     found = {r.node: r.root for r in components(links).collect()}
     assert found == {k: 0 for k in range(1, 61)} | {k: 100 for k in [*range(101, 150), 500]}
+
+
+def test_shingles_of_slices():
+    import pyarrow as pa
+
+    from plexus.llm.shingles import shingle_sets
+
+    texts = ["Ein Übel à la carte", "ÉTÉ É é", "a B\tc\x0bd", None, "", "à", "x y z"] * 50
+    whole = pa.array(texts)
+    for a in (0, 3, 5):
+        sets, starts = shingle_sets(whole.slice(a, 200), 2)
+        want = [r[1] for r in sorted(((k, brute([(0, t)], 2)[0][1]) for k, t in enumerate(texts[a:a + 200])))]
+        assert np.diff(starts).tolist() == want
