@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import common, fingerprints, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
+from plexus.llm import common, fingerprints, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,6 +41,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents under the counts of all others."""
+    return lmscore.backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 largest inner products of every fiftieth vector with all others."""
     vectors = common.stored(mtree.integer_vectors(table(spark, sf_dir, "embeddings")), "integer-vectors")
@@ -76,7 +81,7 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (
-        op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op7_mtree_top_k,
+        op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op6_stupid_backoff, op7_mtree_top_k,
         op8_source_mixing, op9_best_fit_packing, op10_warc_archives)}
 
 
