@@ -289,15 +289,18 @@ def chat_title_parts(roster: DataFrame, viewers: DataFrame) -> DataFrame:
             .orderBy("viewer", "chatID", "_sort", "userID").drop("_sort"))
 
 
-def chat_transcripts(messages: DataFrame, members: DataFrame | None, as_of: Column | None = None,
+def may_open_chats(requests: DataFrame, members: DataFrame) -> DataFrame:
+    """The (viewer, chatID) requests whose viewer is a member of the chat."""
+    m = members.select(F.col("userID").alias("viewer"), "chatID").distinct()
+    return requests.select("viewer", "chatID").distinct().join(m, ["viewer", "chatID"], "left_semi")
+
+
+def chat_transcripts(messages: DataFrame, as_of: Column | None = None,
                      tz: str = "UTC", order=("chatID", "ts", "message_id")) -> DataFrame:
-    """Messages whose author is a member of the chat (when ``members``
-    is given), oldest first, with a display-time label relative to the
-    ``as_of`` date (when given; needs a ``ts`` column)."""
+    """All messages of each chat, oldest first, whoever wrote them, with a
+    display-time label relative to the ``as_of`` date (when given; needs a
+    ``ts`` column).  Who may read a chat is ``may_open_chats``."""
     msgs = messages
-    if members is not None:
-        m = members.select("chatID", "userID").distinct()
-        msgs = msgs.join(m, ["chatID", "userID"], "left_semi")
     if as_of is not None:
         msgs = msgs.withColumn("time_label", chat_time_label(F.col("ts"), as_of, tz))
     return msgs.orderBy(*order)

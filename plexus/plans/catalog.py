@@ -42,7 +42,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-RANK_ROUNDS = 3      # fixed rounds for the SQL-checked rank queries
+RANK_ROUNDS = 25     # the rank job's most rounds; the queries run them all
 TOP_K = 10
 
 
@@ -472,21 +472,29 @@ def q_chat_directory(spark, sf):
     return S.chat_directory(b.memberships, b.accounts)
 
 
-@register("chat_transcripts", with_views("memberships", "messages") + """
+@register("chat_transcripts", with_views("messages") + """
 SELECT g.chatID, g.message_id, g.userID, g.message, g.ts,
   CASE WHEN CAST(g.ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)
        THEN 'Today at ' || strftime(g.ts, '%-I:%M %p') ELSE strftime(g.ts, '%-m/%-d/%Y') END AS time_label
-FROM messages g WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.chatID = g.chatID AND m.userID = g.userID)""")
+FROM messages g""")
 def q_chat_transcripts(spark, sf):
     b = Bindings(spark, sf)
     as_of = b.table("events").agg(F.to_date(F.max("ts"))).scalar()
-    return S.chat_transcripts(b.messages, b.memberships, as_of, "UTC")
+    return S.chat_transcripts(b.messages, as_of, "UTC")
+
+
+@register("may_open_chats", with_views("memberships", "messages") + """
+SELECT DISTINCT g.userID AS viewer, g.chatID FROM messages g
+WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.chatID = g.chatID AND m.userID = g.userID)""")
+def q_may_open_chats(spark, sf):
+    b = Bindings(spark, sf)
+    return S.may_open_chats(b.messages.withColumnRenamed("userID", "viewer"), b.memberships)
 
 
 @register("chat_transcripts_text", with_views("messages_text") +
           "SELECT chatID, message_id, author, message FROM messages_text")
 def q_chat_transcripts_text(spark, sf):
-    return S.chat_transcripts(Bindings(spark, sf).messages_text, None, order=("chatID", "message_id"))
+    return S.chat_transcripts(Bindings(spark, sf).messages_text, order=("chatID", "message_id"))
 
 
 @register("create_chat_rows", """

@@ -15,16 +15,19 @@ def read_edge_list(spark: SparkSession, path: str, sep: str = r"\s+",
     does; ``mode="drop"`` drops such lines instead.
     """
     parts = F.split(F.col("value"), sep)
-    first, second = parts.getItem(0), parts.getItem(1)
+    first, second = F.get(parts, 0), F.get(parts, 1)
     lines = spark.read.text(path)
     if mode == "drop":
         df = lines.select(first.try_cast("bigint").alias("src"),
                           second.try_cast("bigint").alias("dst")) \
                   .where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     elif mode == "fail":
-        # element_at fails on a line with one token; cast fails on a non-number
-        df = lines.select(F.element_at(parts, 1).cast("bigint").alias("src"),
-                          F.element_at(parts, 2).cast("bigint").alias("dst"))
+        # Fails under any ANSI setting: a part that is missing or no number raises.
+        def number(part):
+            bad = F.raise_error(F.concat(F.lit("not an edge: "), F.col("value"))).cast("bigint")
+            return F.coalesce(part.try_cast("bigint"), bad)
+
+        df = lines.select(number(F.get(parts, 0)).alias("src"), number(F.get(parts, 1)).alias("dst"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return df.distinct()

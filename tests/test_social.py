@@ -72,10 +72,15 @@ def test_chat_time_labels(spark):
          (1, 3, 5, "c", dt.datetime(2024, 1, 2, 13, 7)), (1, 4, 5, "d", dt.datetime(2024, 1, 1, 9, 0)),
          (1, 5, 6, "e", dt.datetime(2024, 1, 2, 9, 0))],
         "chatID long, message_id long, userID long, message string, ts timestamp_ntz")
-    members = spark.createDataFrame([(1, 5)], "chatID long, userID long")
-    out = S.chat_transcripts(msgs, members, F.lit(dt.date(2024, 1, 2)))
+    out = S.chat_transcripts(msgs, F.lit(dt.date(2024, 1, 2)))
     got = [r.time_label for r in out.collect()]
-    assert got == ["1/1/2024", "Today at 12:05 AM", "Today at 12:00 PM", "Today at 1:07 PM"]
+    assert got == ["1/1/2024", "Today at 12:05 AM", "Today at 9:00 AM", "Today at 12:00 PM", "Today at 1:07 PM"]
+
+
+def test_only_members_may_open_a_chat(spark):
+    members = spark.createDataFrame([(1, 5), (2, 6)], "chatID long, userID long")
+    asked = spark.createDataFrame([(5, 1), (5, 1), (5, 2), (6, 2), (None, 1)], "viewer long, chatID long")
+    assert sorted(map(tuple, S.may_open_chats(asked, members).collect())) == [(5, 1), (6, 2)]
 
 
 def test_home_feed_equals_brute_force(spark):
