@@ -2,8 +2,9 @@
 
 Documents are dealt by hash into blocks.  A block's distinct n-grams, as hashes
 with counts, are partitioned by hash; each hash partition sums the counts of
-all blocks and answers every block that asked; each block joins the answers to
-its exploded n-grams and sums per document.  A document's own counts are taken
+all blocks and answers every block that asked, with counts in the order of the
+hashes it got, so that hashes travel once; each block joins the answers to its
+exploded n-grams and sums per document.  A document's own counts are taken
 off, so that it is scored by the rest of the corpus.  An n-gram in very many
 documents is one row per block, however often it occurs."""
 
@@ -19,7 +20,7 @@ from plexus.llm import common
 from plexus.llm.shingles import M1, mix
 
 BACKOFF, BLOCK_CHARS = 0.4, 6_000_000
-KEYS = "bucket int, block int, keys binary, counts binary"
+KEYS, COUNTS = "bucket int, block int, keys binary, counts binary", "bucket int, block int, counts binary"
 
 
 def ngrams(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -75,11 +76,14 @@ def wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def block_scores(texts: list[str], order: int, keys: np.ndarray, totals: np.ndarray, everything: int) -> tuple[np.ndarray, np.ndarray]:
+def block_scores(texts: list[str], order: int, totals: np.ndarray, everything: int) -> tuple[np.ndarray, np.ndarray]:
     """Words and summed log scores of each text, given corpus counts of the
-    block's n-grams (``keys``: upper 48 bits, then one that no n-gram has) and
-    of all words."""
+    block's distinct n-grams, in the order of ``table_of``, and of all words."""
     grams, starts = ngrams(texts, order)
+    keys = table_of(grams)[0] >> np.uint64(16)
+    if len(keys) != len(totals):
+        raise ValueError(f"{len(totals)} counts for {len(keys)} n-grams")
+    keys, totals = np.append(keys, np.uint64(2**63)), np.append(totals, 0)  # the last is for no n-gram
     n = np.diff(starts)
     doc = np.repeat(np.arange(len(n)), n)
     rest = []  # counts of each position's n-gram in the other documents
@@ -124,19 +128,17 @@ def backoff_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text
         every, back = np.unique(np.concatenate(lists), return_inverse=True)
         totals = np.bincount(back, np.concatenate([wide(x) for x in group["counts"]])).astype(np.int64)
         ends = np.cumsum([len(x) for x in lists])
-        out = group[["bucket", "block", "keys"]].copy()
+        out = group[["bucket", "block"]].copy()
         out["counts"] = [small(totals[back[e - len(x):e]]) for x, e in zip(lists, ends, strict=True)]
         return out
 
     asked = rows.groupBy("block").applyInPandas(ask, KEYS)
-    answers = common.stored(asked.groupBy("bucket").applyInPandas(answer, KEYS), "ngram-counts")
+    answers = common.stored(asked.groupBy("bucket").applyInPandas(answer, COUNTS), "ngram-counts")
     everything = rows.agg(F.sum(F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")))).first()[0] or 0
 
     def score(key, group: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        found = found.sort_values("bucket")
-        keys = np.concatenate([unpacked(x) for x in found["keys"]] or [np.zeros(0, np.uint64)])
-        totals = np.concatenate([wide(x) for x in found["counts"]] or [np.zeros(0, np.int64)])
-        n, logs = block_scores(group["text"].tolist(), order, np.append(keys, np.uint64(2**63)), np.append(totals, 0), everything)
+        totals = np.concatenate([wide(x) for x in found.sort_values("bucket")["counts"]] or [np.zeros(0, np.int64)])
+        n, logs = block_scores(group["text"].tolist(), order, totals, everything)
         mean = np.divide(logs, n, out=np.full(len(n), np.nan), where=n > 0)
         return pd.DataFrame({"doc_id": group["doc_id"].astype("Int64"), "n_tokens": n, "log_score": logs,
                              "mean_log_score": pd.array(mean, "Float64")})
