@@ -74,9 +74,10 @@ def register_accounts(new: DataFrame, accounts: DataFrame, seq: str = "seq",
 
 
 def update_accounts(changes: DataFrame, accounts: DataFrame, seq: str = "seq"):
-    """Apply profile edits.  An empty or null field keeps the old value;
-    a new username must not belong to another account (nor be claimed by
-    an earlier change in the batch).  Returns (accounts after, status per
+    """Apply profile edits.  An empty or null field keeps the old value,
+    also one that an earlier change of the batch set; a new username must not
+    belong to another account at the start of the batch (nor be claimed by
+    an earlier change in it).  Returns (accounts after, status per
     change, status posts).  A status post "<old username> has updated their
     affiliation to: <affiliation>" is emitted whenever an affiliation was
     typed, even if unchanged (as the reference), on the user's own wall."""
@@ -97,10 +98,9 @@ def update_accounts(changes: DataFrame, accounts: DataFrame, seq: str = "seq"):
                           | (F.col(seq) != F.col("_first")))
     ch = ch.withColumn("status", F.when(conflict, "username_taken").otherwise("updated"))
     ok = ch.where(F.col("status") == "updated")
-    # last accepted change per user wins
-    last = ok.groupBy("userID").agg(F.max_by(F.struct(*[F.col("_new_" + f).alias(f) for f in fields]),
-                                             F.col(seq)).alias("_v"))
-    newvals = last.select("userID", *[F.col("_v." + f).alias("_upd_" + f) for f in fields])
+    # per field, the last accepted change that typed it wins
+    newvals = ok.groupBy("userID").agg(
+        *[F.max_by(typed[f], F.when(typed[f].isNotNull(), F.col(seq))).alias("_upd_" + f) for f in fields])
     after = accounts.join(newvals, "userID", "left").select(
         *[F.coalesce(F.col("_upd_" + c), F.col(c)).alias(c) if c in fields else F.col(c)
           for c in accounts.columns])

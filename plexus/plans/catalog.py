@@ -547,26 +547,32 @@ def q_top_report_line(spark, sf):
 def _account_changes(b: Bindings) -> DataFrame:
     """Profile edits from the tables: every customer types their nation as
     affiliation (other fields blank); every supplier's account tries to take
-    the next customer's name (already taken)."""
+    the next customer's name (already taken), and later edits its first name
+    alone, which must keep the affiliation typed before."""
     c, n = b.table("customer"), b.table("nation")
     aff = c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.col("c_custkey").alias("userID"), F.lit("").alias("username"),
+        F.col("c_custkey").alias("userID"), F.lit("").alias("username"), F.lit("").alias("firstName"),
         F.col("n_name").alias("affiliation"), F.col("c_custkey").alias("seq"))
     s = b.table("supplier")
     ren = s.join(c, c.c_custkey == s.s_suppkey + 1).select(
-        F.col("s_suppkey").alias("userID"), F.col("c_name").alias("username"),
+        F.col("s_suppkey").alias("userID"), F.col("c_name").alias("username"), F.lit("").alias("firstName"),
         F.lit(None).cast("string").alias("affiliation"), (F.col("s_suppkey") + 1000000000).alias("seq"))
-    return aff.unionByName(ren)
+    first = s.select(F.col("s_suppkey").alias("userID"), F.lit("").alias("username"), F.col("s_name").alias("firstName"),
+                     F.lit("").alias("affiliation"), (F.col("s_suppkey") + 2000000000).alias("seq"))
+    return aff.unionByName(ren).unionByName(first)
 
 
 _UPDATE_SQL = with_views("accounts") + """,
 changes AS (
-  SELECT c.c_custkey AS userID, '' AS username, n.n_name AS affiliation, c.c_custkey AS seq
+  SELECT c.c_custkey AS userID, '' AS username, '' AS firstName, n.n_name AS affiliation, c.c_custkey AS seq
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
   UNION ALL
-  SELECT s.s_suppkey, c.c_name, CAST(NULL AS VARCHAR), s.s_suppkey + 1000000000
-    FROM supplier s JOIN customer c ON c.c_custkey = s.s_suppkey + 1),
-ch AS (SELECT x.userID, x.seq, x.affiliation AS typed_aff, a.username AS old_username,
+  SELECT s.s_suppkey, c.c_name, '', CAST(NULL AS VARCHAR), s.s_suppkey + 1000000000
+    FROM supplier s JOIN customer c ON c.c_custkey = s.s_suppkey + 1
+  UNION ALL
+  SELECT s_suppkey, '', s_name, '', s_suppkey + 2000000000 FROM supplier),
+ch AS (SELECT x.userID, x.seq, nullif(x.affiliation, '') AS typed_aff, nullif(x.username, '') AS typed_name,
+         nullif(x.firstName, '') AS typed_first, a.username AS old_username,
          coalesce(nullif(x.username, ''), a.username) AS new_username,
          coalesce(nullif(x.affiliation, ''), a.affiliation) AS new_aff
        FROM changes x JOIN accounts a USING (userID)),
@@ -585,9 +591,11 @@ def q_update_status(spark, sf):
 
 
 @register("update_accounts", _UPDATE_SQL + """,
-last AS (SELECT userID, arg_max(new_username, seq) AS u, arg_max(new_aff, seq) AS f
+last AS (SELECT userID, arg_max(typed_name, seq) FILTER (typed_name IS NOT NULL) AS u,
+           arg_max(typed_first, seq) FILTER (typed_first IS NOT NULL) AS n,
+           arg_max(typed_aff, seq) FILTER (typed_aff IS NOT NULL) AS f
          FROM st WHERE status = 'updated' GROUP BY userID)
-SELECT a.userID, coalesce(last.u, a.username) AS username, a.firstName, a.lastName,
+SELECT a.userID, coalesce(last.u, a.username) AS username, coalesce(last.n, a.firstName) AS firstName, a.lastName,
        coalesce(last.f, a.affiliation) AS affiliation
 FROM accounts a LEFT JOIN last USING (userID)""")
 def q_update_accounts(spark, sf):
@@ -598,7 +606,7 @@ def q_update_accounts(spark, sf):
 @register("status_posts", _UPDATE_SQL + """
 SELECT userID, userID AS creatorID, seq AS postID,
   old_username || ' has updated their affiliation to: ' || new_aff AS content
-FROM st WHERE status = 'updated' AND nullif(typed_aff, '') IS NOT NULL""")
+FROM st WHERE status = 'updated' AND typed_aff IS NOT NULL""")
 def q_status_posts(spark, sf):
     b = Bindings(spark, sf)
     return S.update_accounts(_account_changes(b), b.accounts)[2]

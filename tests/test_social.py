@@ -66,6 +66,14 @@ def test_update_accounts(spark):
     assert [(r.userID, r.content) for r in posts.collect()] == [(1, "ann has updated their affiliation to: X")]
 
 
+def test_later_edits_keep_other_fields(spark):
+    accounts = spark.createDataFrame([(1, "ann", "Ann", "X")], "userID long, username string, firstName string, affiliation string")
+    changes = spark.createDataFrame([(1, "", "", "New", 1), (1, "anna", None, None, 2), (1, "", "Anna", "", 3)],
+                                    "userID long, username string, firstName string, affiliation string, seq long")
+    after = S.update_accounts(changes, accounts)[0]
+    assert [tuple(r) for r in after.collect()] == [(1, "anna", "Anna", "New")]
+
+
 def test_chat_time_labels(spark):
     msgs = spark.createDataFrame(
         [(1, 1, 5, "a", dt.datetime(2024, 1, 2, 0, 5)), (1, 2, 5, "b", dt.datetime(2024, 1, 2, 12, 0)),
