@@ -21,7 +21,8 @@ from pyspark.sql.window import Window
 
 from plexus.llm import common
 
-FANOUT, LEAF, TREE, QUERIES = 32, 96, 8192, 2048
+FANOUT, LEAF, TREE, QUERIES = 32, 128, 16384, 8192
+ABSENT = -(2**62)
 NODES = "tree int, node int, leaf boolean, ids binary, vectors binary, radii binary, parents binary"
 
 
@@ -49,14 +50,15 @@ def build(tree: int, ids: np.ndarray, points: np.ndarray) -> list[tuple]:
             x = points[index]
             pages[number] = (tree, number, True, ids[index].tobytes(), x.tobytes(), np.zeros(len(index)).tobytes(), distance(x).tobytes())
             return number
-        pivots = points[rng.choice(index, FANOUT, replace=False)]
+        fanout = min(FANOUT, max(2, 2 * len(index) // LEAF))  # leaves about half full, not crumbs
+        pivots = points[rng.choice(index, fanout, replace=False)]
         x = points[index]
         square = (x * x).sum(1)[:, None] - 2 * x @ pivots.T + (pivots * pivots).sum(1)[None, :]
         nearest = square.argmin(1)
-        if np.bincount(nearest, minlength=FANOUT).max() == len(index):  # equal points
-            nearest = np.arange(len(index)) % FANOUT
+        if np.bincount(nearest, minlength=fanout).max() == len(index):  # equal points
+            nearest = np.arange(len(index)) % fanout
         children, kept, radii = [], [], []
-        for k in range(FANOUT):
+        for k in range(fanout):
             part = index[nearest == k]
             if len(part):
                 kept.append(pivots[k])
@@ -71,33 +73,58 @@ def build(tree: int, ids: np.ndarray, points: np.ndarray) -> list[tuple]:
     return pages
 
 
-def search(pages: dict[int, tuple], query: np.ndarray, own: int, k: int, base: float) -> list[tuple[int, int]]:
-    """The ``k`` best (score, id) of a tree, ties to smaller ids; ``base`` is
-    |q|^2 + M.  ``query`` is lifted."""
-    best: list[tuple[int, int]] = []  # (-score, id), in order
-    limit, slack = np.inf, 1e-9 * (1 + base)  # squared distance of the k-th; what rounding may hide
-    heap = [(0.0, 0, 0.0)]  # least possible distance, page, distance of the query to its pivot
-    while heap:
-        low, number, to_pivot = heappop(heap)
-        if low * low > limit + slack:
+def search(pages: dict[int, tuple], queries: np.ndarray, own: np.ndarray, k: int, most: float) -> list[tuple[int, int, int]]:
+    """(query's row, id, score) of the ``k`` best entries of a tree for each row
+    of ``queries`` (lifted), ties to smaller ids, without the id in ``own``;
+    ``most`` is M.
+
+    Each query opens pages by least possible distance until no waiting page can
+    hold a better entry.  Queries that open the same page in the same step are
+    compared with its entries together; an entry that the stored parent
+    distance rules out for all of them is not compared at all."""
+    n, places = len(queries), np.arange(len(queries))
+    square = (queries * queries).sum(1)
+    base = square + most
+    slack = 1e-9 * (1 + base)  # what rounding may hide, in squared distances
+    limit = np.full(n, np.inf)  # squared distance of the k-th best
+    low, to_pivot = np.full((n, max(pages.keys()) + 1), np.inf), np.zeros((n, max(pages.keys()) + 1))
+    low[:, 0] = 0
+    scores, ids = np.full((n, k), ABSENT), np.full((n, k), np.iinfo(np.int64).max)
+    while True:
+        next_page = low.argmin(1)
+        least = low[places, next_page]
+        rows = np.flatnonzero(np.isfinite(least) & (least * least <= limit + slack))
+        if not len(rows):
             break
-        leaf, ids, vectors, radii, parents = pages[number]
-        reach = np.sqrt(limit + slack)
-        near = np.abs(to_pivot - parents) - radii <= reach if number else np.ones(len(ids), bool)
-        ids, vectors, radii = ids[near], vectors[near], radii[near]
-        if leaf:
-            scores = np.rint(vectors[:, :-1] @ query[:-1]).astype(np.int64)
-            best = sorted(best + [(-s, i) for s, i in zip(scores.tolist(), ids.tolist(), strict=True)
-                                  if i != own and (len(best) < k or -s <= best[-1][0])])[:k]
-            if len(best) == k:
-                limit = base + 2.0 * best[-1][0]
-        else:
-            d = np.sqrt(np.maximum(((vectors - query) ** 2).sum(1), 0))
-            for child, far, r in zip(ids.tolist(), d.tolist(), radii.tolist(), strict=True):
-                low = max(0.0, far - r)
-                if low * low <= limit + slack:
-                    heappush(heap, (low, child, far))
-    return [(-s, i) for s, i in best]
+        rows = rows[np.argsort(next_page[rows], kind="stable")]
+        for g in np.split(rows, np.flatnonzero(np.diff(next_page[rows])) + 1):
+            number = int(next_page[g[0]])
+            low[g, number] = np.inf
+            leaf, entries, vectors, radii, parents = pages[number]
+            near = np.ones((len(g), len(entries)), bool)
+            if number:
+                reach = np.sqrt(limit[g] + slack[g]) + 1e-6 * np.sqrt(1 + base[g])
+                near = np.abs(to_pivot[g, number][:, None] - parents) - radii <= reach[:, None]
+            some = np.flatnonzero(near.any(0))
+            if not len(some):
+                continue
+            near, entries, x, q = near[:, some], entries[some], vectors[some], queries[g]
+            if leaf:
+                found = np.rint(q[:, :-1] @ x[:, :-1].T).astype(np.int64)
+                found[~near | (entries == own[g][:, None])] = ABSENT
+                better = ((found >= scores[g, -1:]) & (found > ABSENT)).any(1)
+                g, found = g[better], found[better]
+                both = np.hstack([scores[g], found])
+                names = np.hstack([ids[g], np.where(found > ABSENT, entries, np.iinfo(np.int64).max)])
+                order = np.lexsort((names, -both))[:, :k]
+                scores[g], ids[g] = np.take_along_axis(both, order, 1), np.take_along_axis(names, order, 1)
+                limit[g] = np.where(scores[g, -1] > ABSENT, base[g] - 2.0 * scores[g, -1], np.inf)
+            else:
+                far = np.sqrt(np.maximum(square[g][:, None] + (x * x).sum(1) - 2 * (q @ x.T), 0))
+                to_pivot[g[:, None], entries] = far
+                low[g[:, None], entries] = np.where(near, np.maximum(far - radii[some], 0), np.inf)
+    row, rank = np.nonzero(scores > ABSENT)
+    return list(zip(row.tolist(), ids[row, rank].tolist(), scores[row, rank].tolist(), strict=True))
 
 
 def build_index(vectors: DataFrame, tree_size: int = TREE) -> tuple[DataFrame, int, float]:
@@ -138,9 +165,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, tree_size: int = T
             load = lambda b, t: np.frombuffer(b, t)
             held = {r.node: (r.leaf, load(r.ids, np.int64), load(r.vectors, float).reshape(-1, width), load(r.radii, float), load(r.parents, float))
                     for r in pages.itertuples()}
-            for i, v in zip(asked["vec_id"], asked["v"], strict=True):
-                q = np.append(np.array(v, float), 0.0)
-                out += [(i, x, s) for s, x in search(held, q, i, k, float(q @ q) + most)]
+            names = asked["vec_id"].to_numpy(np.int64)
+            x = np.array(asked["v"].tolist(), float)
+            out = [(names[i], j, s) for i, j, s in search(held, np.hstack([x, np.zeros((len(x), 1))]), names, k, most)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     found = asked.groupBy("tree", "block").cogroup(pages.groupBy("tree", "block")).applyInPandas(run, "query_id long, vec_id long, score long")

@@ -43,8 +43,8 @@ def test_search_skips_work():
             opened.append(k)
             return dict.__getitem__(self, k)
 
-    got = mtree.search(Counted(pages), np.append(x[3], 0.0), 3, 5, float(x[3] @ x[3]) + most)
-    assert got == [(-s, i) for s, i in sorted((-int(x[3] @ v), i) for i, v in enumerate(x) if i != 3)[:5]]
+    got = mtree.search(Counted(pages), np.append(x[3], 0.0)[None], np.array([3]), 5, most)
+    assert [(s, i) for _, i, s in got] == [(-s, i) for s, i in sorted((-int(x[3] @ v), i) for i, v in enumerate(x) if i != 3)[:5]]
     assert len(opened) < 0.7 * len(pages)
 
 
