@@ -36,11 +36,18 @@ def coded(words: list[str], width: int) -> np.ndarray:
 
 def kernel(words: list[str], marks: list[str], decay: float = DECAY) -> np.ndarray:
     """Gap-weighted kernel of order 3 between words and landmarks, by dynamic
-    programming over character positions for all pairs at once."""
+    programming over character positions for all pairs at once; landmarks of
+    like length together, so that little of it runs over padding."""
+    out = np.zeros((len(words), len(marks)), np.float32)
     if not words or not marks:
-        return np.zeros((len(words), len(marks)), np.float32)
-    x, y = coded(words, max(map(len, words))), coded(marks, max(map(len, marks)))
-    return _subsequences(x[:, None, :], y[None, :, :], decay)
+        return out
+    x = coded(words, max(map(len, words)))
+    lengths = np.array([len(m) for m in marks])
+    for width in np.unique(-(-lengths // 2)):
+        at = np.flatnonzero(-(-lengths // 2) == width)
+        y = coded([marks[k] for k in at], int(lengths[at].max()))
+        out[:, at] = _subsequences(x[:, None, :], y[None, :, :], decay)
+    return out
 
 
 def own(words: list[str]) -> np.ndarray:
@@ -84,8 +91,9 @@ class Machine:
         self.whiten = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
         self.weights, self.bias, self.curve = np.zeros(len(marks)), 0.0, np.zeros(TOP + 1)
         self.cache: dict[str, float] = {}
+        self.chunk_cache: dict[str, float] = {}
 
-    def features(self, words: list[str], block: int = 128) -> np.ndarray:
+    def features(self, words: list[str], block: int = 512) -> np.ndarray:
         out = np.zeros((len(words), len(self.marks)))
         order = sorted(range(len(words)), key=lambda i: len(words[i]))  # equal lengths together
         for k in range(0, len(order), block):
@@ -108,7 +116,7 @@ class Machine:
             done, w = np.allclose(new, w, atol=1e-7), new
             if done:
                 break
-        self.weights, self.bias, self.cache = w[:-1], float(w[-1]), {}
+        self.weights, self.bias, self.cache, self.chunk_cache = w[:-1], float(w[-1]), {}, {}
 
     def margins(self, words: list[str], most: int = 400_000) -> np.ndarray:
         """Decision value per word; values of seen words are kept (bounded)."""
@@ -124,6 +132,23 @@ class Machine:
                     room -= 1
         return np.array(got, float)
 
+    def chunk_margins(self, chunks: list[str], most: int = 400_000) -> np.ndarray:
+        """Largest decision value among each chunk's words (-inf without any);
+        those of seen chunks are kept (bounded)."""
+        got = list(map(self.chunk_cache.get, chunks))
+        new = [k for k, g in enumerate(got) if g is None]
+        if new:
+            parts = [units(chunks[k]) for k in new]
+            flat = list(dict.fromkeys(u for p in parts for u in p))
+            by_unit = dict(zip(flat, self.margins(flat).tolist(), strict=True))
+            room = most - len(self.chunk_cache)
+            for k, p in zip(new, parts, strict=True):
+                got[k] = max((by_unit[u] for u in p), default=-np.inf)
+                if room > 0:
+                    self.chunk_cache[chunks[k]] = got[k]
+                    room -= 1
+        return np.array(got, float)
+
     def calibrate(self, tops: np.ndarray, y: np.ndarray) -> None:
         """Logistic function from documents' top margins to probabilities."""
         x = np.hstack([tops, np.ones((len(tops), 1))])
@@ -236,7 +261,7 @@ def train(texts: list[str], labels: list[int], suspicious: int = 120, ordinary:
         machine.fit(x.astype(float), ys, weight)
         suspicion = dict(zip(names, (seen @ machine.weights + machine.bias).tolist(), strict=True))
     machine.calibrate(np.array([top_margins([suspicion[w] for s in d for w in s]) for d in docs]), y.astype(float))
-    machine.cache = {}
+    machine.cache, machine.chunk_cache = {}, {}
     return machine
 
 
@@ -264,12 +289,10 @@ def _tops(machine: Machine, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     lists = pc.utf8_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     chunks = lists.flatten().dictionary_encode()
     names, index = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
-    parts = [units(c) for c in names]
-    flat = list(dict.fromkeys(u for p in parts for u in p))
-    by_unit = dict(zip(flat, machine.margins(flat).tolist(), strict=True))
-    of_chunk = np.array([max((by_unit[u] for u in p), default=-np.inf) for p in parts])
+    of_chunk = machine.chunk_margins(names)
     ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    single = np.array([len(s) == 1 and s.isalpha() for s in (c.strip(EDGES) for c in names)], bool)[index] if names else np.zeros(0, bool)
+    single = np.array([(len(c) == 1 or not c[:1].isalnum() or not c[-1:].isalnum()) and len(s := c.strip(EDGES)) == 1 and s.isalpha() for c in names],
+                      bool)[index] if names else np.zeros(0, bool)
     scores = of_chunk[index] if len(index) else np.zeros(0)
     tops, words = np.full((len(texts), TOP), -2.0), np.zeros(len(texts), bool)
     for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
