@@ -57,20 +57,20 @@ def validate_required(df: DataFrame, cols) -> tuple[DataFrame, DataFrame]:
 
 def register_accounts(new: DataFrame, accounts: DataFrame, seq: str = "seq",
                       required=("username", "firstName", "lastName")) -> DataFrame:
-    """S3: sign-ups, one status per row: ``accepted``, ``missing:<fields>``,
-    ``username_taken`` (already an account) or ``duplicate_in_batch``
-    (an earlier ``seq`` in the batch claimed the name first)."""
-    valid, rejected = validate_required(new, list(required))
-    taken = valid.join(accounts.select("username"), "username", "left_semi") \
-        .withColumn("reason", F.lit("username_taken"))
-    free = valid.join(accounts.select("username"), "username", "left_anti")
-    first = free.groupBy("username").agg(F.min(seq).alias("_first"))
-    free = free.join(first, "username")
-    winners = free.where(F.col(seq) == F.col("_first")).drop("_first").withColumn("reason", F.lit("accepted"))
-    losers = free.where(F.col(seq) != F.col("_first")).drop("_first") \
-        .withColumn("reason", F.lit("duplicate_in_batch"))
-    out = reduce(DataFrame.unionByName, [winners, taken, losers, rejected])
-    return out.withColumnRenamed("reason", "status")
+    """S3: sign-ups, one status per row: ``missing:<fields>`` (null or blank
+    after trimming), ``username_taken`` (already an account),
+    ``duplicate_in_batch`` (an earlier ``seq`` of the batch, with nothing
+    missing, claimed the name first), else ``accepted``.  One pass over the
+    sign-ups; the first claims are a partial aggregate joined back."""
+    blank = [F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", F.lit(c)) for c in required]
+    tagged = new.withColumn("_missing", F.filter(F.array(*blank), lambda x: x.isNotNull()))
+    names = accounts.select("username").distinct().withColumn("_taken", F.lit(True))
+    first = tagged.where(F.size("_missing") == 0).groupBy("username").agg(F.min(seq).alias("_first"))
+    status = (F.when(F.size("_missing") > 0, F.concat(F.lit("missing:"), F.array_join("_missing", ",")))
+              .when(F.col("_taken"), "username_taken")
+              .when(F.col(seq) != F.col("_first"), "duplicate_in_batch").otherwise("accepted"))
+    return (tagged.join(names, "username", "left").join(first, "username", "left")
+            .withColumn("status", status).select(*new.columns, "status"))
 
 
 def update_accounts(changes: DataFrame, accounts: DataFrame, seq: str = "seq"):

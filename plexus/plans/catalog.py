@@ -627,18 +627,27 @@ def q_stream_message_log(spark, sf):
 
 @register("stream_like_state", _LIKES_SQL + "SELECT postID, userID, ts FROM cur")
 def q_stream_like_state(spark, sf):
-    return X.run_like_state(spark, sf).select("postID", "userID", "ts")
+    files = X.out_of_order_files(spark, sf, "events", "ts")
+    return X.run_like_state(spark, files, max_files=1).select("postID", "userID", "ts")
+
+
+@register("stream_like_counts", _LIKES_SQL + "SELECT postID, count(*) AS n_likes FROM cur GROUP BY postID")
+def q_stream_like_counts(spark, sf):
+    files = X.out_of_order_files(spark, sf, "events", "ts")
+    return S.like_summary(X.run_like_state(spark, files, max_files=1))
 
 
 @register("stream_friend_requests", with_views("notifications") +
           "SELECT DISTINCT recipientID, senderID FROM notifications")
 def q_stream_friend_requests(spark, sf):
-    return X.run_friend_requests(spark, sf).select("recipientID", "senderID")
+    files = X.out_of_order_files(spark, sf, "events", "ts")
+    return X.run_friend_requests(spark, files, max_files=1).select("recipientID", "senderID")
 
 
-@register("stream_keyword_index", _RAW_IDX_SQL + "\nSELECT keyword, headline, url FROM idx")
+@register("stream_keyword_index", _STEMMED_SQL + "\nSELECT keyword, headline, url FROM idx")
 def q_stream_keyword_index(spark, sf):
-    return X.run_keyword_index(spark, sf, stem=False).select("keyword", "headline", "url")
+    files = X.out_of_order_files(spark, sf, "documents", "doc_id")
+    return X.run_keyword_index(spark, files, max_files=1).select("keyword", "headline", "url")
 
 
 # ------------------------------------------------------------ public API

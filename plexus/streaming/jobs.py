@@ -20,9 +20,10 @@ from plexus.session import scratch_path
 
 
 def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
-    """Stream the parquet files ``{table}*.parquet`` of a folder (schema from
+    """Stream the parquet files ``{table}*.parquet`` (and part files, as Spark
+    names them, where ``max_files`` is set) of a folder (schema from
     the files' footer, never inferred per batch)."""
-    glob = f"{table}*.parquet"
+    glob = f"{{{table},part-}}*.parquet" if max_files else f"{table}*.parquet"
     schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
@@ -58,63 +59,32 @@ def stream_message_log(messages: DataFrame, accounts: DataFrame, sink: str, chec
 
 # ------------------------------------------------------------------ X2
 
-class LikeState:
-    """The last operation per (postID, userID), tombstones included,
-    kept as a table split into ``buckets`` (one file each) by a hash of the
-    key.
-
-    Each micro-batch rewrites only the buckets it touches: the previous
-    version of those buckets and the batch are merged by last-writer-wins
-    on ``seq`` (so a late, older operation loses) and written as version
-    ``epoch`` (a replayed epoch overwrites its own version).  The manifest,
-    bucket -> current path, has at most ``buckets`` entries and is written
-    next to each version."""
-
-    KEYS = ["postID", "userID"]
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        # default: as many buckets as the session has shuffle partitions
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.manifest: dict[int, str] = {}
-
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.xxhash64(*self.KEYS), F.lit(self.buckets)).cast("int")
-
-    def state(self) -> DataFrame | None:
-        if not self.manifest:
-            return None
-        return self.spark.read.parquet(*sorted(self.manifest.values()))
-
-    def current(self) -> DataFrame | None:
-        st = self.state()
-        return None if st is None else st.where(F.col("op") != "delete").drop("seq", "op")
-
-    def merge(self, batch: DataFrame, epoch: int) -> None:
-        # the batch is read twice (touched buckets, merge): compute it once
-        keyed = batch.withColumn("bucket", self._bucket()).persist()
-        touched = [r[0] for r in keyed.select("bucket").distinct().collect()]  # <= buckets values
-        prev = [self.manifest[b] for b in touched if b in self.manifest]
-        log = keyed.drop("bucket")
-        if prev:
-            log = self.spark.read.parquet(*prev).unionByName(log)
-        out = S.last_operations(log, self.KEYS, "seq", "op").withColumn("bucket", self._bucket())
-        vpath = f"{self.root}/v={epoch}"
-        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(vpath)
-        for b in touched:
-            self.manifest[b] = f"{vpath}/bucket={b}"
-        keyed.unpersist()
-        rows = sorted(self.manifest.items())
-        self.spark.createDataFrame(rows, "bucket int, path string").coalesce(1) \
-            .write.mode("overwrite").json(f"{self.root}/manifest/v={epoch}")
-
-
-def stream_like_state(like_log: DataFrame, state: LikeState, checkpoint: str) -> StreamingQuery:
-    return (like_log.writeStream.foreachBatch(state.merge).option("checkpointLocation", checkpoint)
+LIKE_KEYS = ["postID", "userID"]
+
+
+def stream_like_state(like_log: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """The last operation per (postID, userID), kept in Spark's own keyed
+    state (an aggregate in update mode, so a late, older operation loses and a
+    restarted query goes on where it stopped).  Each micro-batch writes the
+    keys it changed to a folder of its own, which a repeated batch overwrites;
+    ``like_changes`` reads them."""
+    put = F.col("op") != "delete"
+    last = like_log.groupBy(*LIKE_KEYS).agg(
+        F.max("seq").alias("seq"), F.max_by(put, F.col("seq")).alias("put"), F.max_by("ts", "seq").alias("ts"))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+
+    return (last.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def like_changes(spark: SparkSession, sink: str) -> DataFrame:
+    """The change rows of X2 as an operation log for ``apply_changes``."""
+    rows = spark.read.parquet(sink)
+    return rows.select(*LIKE_KEYS, "seq", F.when(F.col("put"), "put").otherwise("delete").alias("op"), "ts")
+
+
 # ------------------------------------------------------------------ X3
 
 def stream_friend_requests(requests: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
@@ -129,26 +99,38 @@ def stream_friend_requests(requests: DataFrame, sink: str, checkpoint: str) -> S
 
 # ------------------------------------------------------------------ X4
 
-def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool = False) -> StreamingQuery:
-    """Every micro-batch of articles is tokenized and indexed (T3-T5);
-    rows already in the index (same keyword and headline) are not added
-    again."""
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        rows = T.build_keyword_index(batch, stem=stem)
-        try:
-            existing = spark.read.parquet(sink).select("keyword", "headline")
-            rows = rows.join(existing, ["keyword", "headline"], "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: nothing written yet
-            pass
-        rows.write.mode("append").parquet(sink)
-
-    return (news.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool = True) -> StreamingQuery:
+    """Every micro-batch of articles is tokenized, stemmed and indexed
+    (T3-T5) and written to a folder of its own, which a repeated batch
+    overwrites.  Earlier folders aren't read again; ``grown_index`` reads them."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        T.build_keyword_index(batch, stem=stem).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+
+    return (news.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def grown_index(spark: SparkSession, sink: str) -> DataFrame:
+    """The index X4 has written: (keyword, headline, url), each row once,
+    however the articles were cut into batches."""
+    return spark.read.parquet(sink).select("keyword", "headline", "url").distinct()
+
+
 # ------------------------------------------------- batch-equivalent runs
 
+BATCHES = 4  # files that a table is split into, read one per micro-batch
+
+
+def out_of_order_files(spark: SparkSession, folder: str, table: str, order: str) -> str:
+    """``table`` of ``folder`` written anew by Spark as at least ``BATCHES`` files
+    (range-partitioned by falling ``order``); the new folder.  Streamed one file
+    per batch, late rows are the rule."""
+    out = scratch_path(spark, f"{table}-files")
+    rows = spark.read.parquet(f"{folder}/{table}.parquet")
+    rows.repartitionByRange(BATCHES, F.col(order).desc()).write.parquet(out)
+    return out
+
+
 def run_message_log(spark: SparkSession, folder: str, accounts: DataFrame) -> DataFrame:
     sink, ck = scratch_path(spark, "x1-sink"), scratch_path(spark, "x1-ck")
     msgs = _events_as_messages(file_stream(spark, folder, "events"))
@@ -162,16 +144,13 @@ def run_like_state(spark: SparkSession, folder: str, max_files: int | None = Non
                     F.when(F.col("event_type") == "error", "delete").otherwise("put").alias("op"),
                     F.get_json_object("props", "$.k").cast("bigint").alias("postID"),
                     F.col("user_id").alias("userID"), F.col("ts"))
-    st = LikeState(spark, scratch_path(spark, "x2-state"))
-    run_available(stream_like_state(log, st, scratch_path(spark, "x2-ck")))
-    cur = st.current()
-    if cur is None:
-        return spark.createDataFrame([], "postID bigint, userID bigint, ts timestamp_ntz")
-    return cur
+    sink = scratch_path(spark, "x2-sink")
+    run_available(stream_like_state(log, sink, scratch_path(spark, "x2-ck")))
+    return S.apply_changes(like_changes(spark, sink), LIKE_KEYS, "seq")
 
 
-def run_friend_requests(spark: SparkSession, folder: str) -> DataFrame:
-    ev = file_stream(spark, folder, "events").where(F.col("event_type") == "signup")
+def run_friend_requests(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    ev = file_stream(spark, folder, "events", max_files).where(F.col("event_type") == "signup")
     req = ev.select(F.col("user_id").alias("recipientID"),
                     F.get_json_object("props", "$.k").cast("bigint").alias("senderID"),
                     F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"))
@@ -180,12 +159,12 @@ def run_friend_requests(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
-def run_keyword_index(spark: SparkSession, folder: str, stem: bool = False) -> DataFrame:
-    d = file_stream(spark, folder, "documents")
+def run_keyword_index(spark: SparkSession, folder: str, stem: bool = True, max_files: int | None = None) -> DataFrame:
+    d = file_stream(spark, folder, "documents", max_files)
     news = d.select(F.col("source").alias("authors"), F.col("lang").alias("category"),
                     F.lit(None).cast("string").alias("date"), F.col("doc_id").cast("string").alias("headline"),
                     F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("link"),
                     F.col("text").alias("short_description"))
     sink, ck = scratch_path(spark, "x4-sink"), scratch_path(spark, "x4-ck")
     run_available(stream_keyword_index(news, sink, ck, stem=stem))
-    return spark.read.parquet(sink)
+    return grown_index(spark, sink)

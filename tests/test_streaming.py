@@ -1,6 +1,9 @@
 """Streaming jobs equal their batch counterparts, also over several
 micro-batches that arrive out of order."""
 
+import shutil
+from pathlib import Path
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -22,10 +25,51 @@ def test_like_state_over_out_of_order_batches(spark, tmp_path):
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
 
 
-def test_keyword_index_stream_equals_batch(spark):
+def _part_files(tmp_path, spark, table, order):
+    """Files of a table, the latest rows first, in two folders: what is there at
+    the start, and what arrives after a restart."""
+    files = sorted(p for p in Path(X.out_of_order_files(spark, SF_SMALL, table, order).removeprefix("file:")).iterdir()
+                   if p.suffix == ".parquet")
+    assert len(files) == X.BATCHES
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    return inbox, files
+
+
+def test_like_state_goes_on_after_a_restart(spark, tmp_path):
+    inbox, files = _part_files(tmp_path, spark, "events", "ts")
+    sink, check = str(tmp_path / "sink"), str(tmp_path / "check")
+    for half in (files[:2], files[2:]):
+        for f in half:
+            shutil.copy(f, inbox)
+        ev = X.file_stream(spark, str(inbox), "events", 1)
+        log = ev.select(F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "delete").otherwise("put").alias("op"),
+                        F.get_json_object("props", "$.k").cast("bigint").alias("postID"), F.col("user_id").alias("userID"), "ts")
+        X.run_available(X.stream_like_state(log, sink, check))
+    got = S.apply_changes(X.like_changes(spark, sink), X.LIKE_KEYS, "seq")
+    want = S.apply_changes(Bindings(spark, SF_SMALL).like_log, X.LIKE_KEYS, "seq")
+    assert sorted(map(tuple, got.select(*X.LIKE_KEYS).collect())) == sorted(map(tuple, want.select(*X.LIKE_KEYS).collect()))
+
+
+def test_friend_requests_remember_after_a_restart(spark, tmp_path):
+    inbox, files = _part_files(tmp_path, spark, "events", "ts")
+    sink, check = str(tmp_path / "sink"), str(tmp_path / "check")
+    for half in (files[:2], files[2:]):
+        for f in half:
+            shutil.copy(f, inbox)
+        ev = X.file_stream(spark, str(inbox), "events", 1).where(F.col("event_type") == "signup")
+        req = ev.select(F.col("user_id").alias("recipientID"), F.get_json_object("props", "$.k").cast("bigint").alias("senderID"), "ts")
+        X.run_available(X.stream_friend_requests(req, sink, check))
+    got = spark.read.parquet(sink).select("recipientID", "senderID")
+    want = Bindings(spark, SF_SMALL).notifications.select("recipientID", "senderID").distinct()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_keyword_index_stream_equals_batch_for_any_batching(spark):
     from plexus.operators import text as T
 
-    got = X.run_keyword_index(spark, SF_SMALL).select("keyword", "headline", "url")
+    files = X.out_of_order_files(spark, SF_SMALL, "documents", "doc_id")
+    got = X.run_keyword_index(spark, files, stem=False, max_files=1).select("keyword", "headline", "url")
     want = T.build_keyword_index(Bindings(spark, SF_SMALL).news, stem=False)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
