@@ -112,11 +112,17 @@ def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, s
 
 
 def build_keyword_index(news: DataFrame, stem: bool = True, **kw) -> DataFrame:
-    """T5: (keyword, headline, url), distinct; every keyword is indexed
-    (no batch-size loss)."""
+    """T5: (keyword, headline, url), one row per (keyword, headline); every
+    keyword is indexed (no batch-size loss).  Of several articles with that
+    headline and keyword the greatest link is kept, so the result doesn't
+    depend on the order in which articles come."""
     rows = document_tokens(news, stem=stem, **kw).select("keyword", "headline", F.col("link").alias("url"))
-    # unstemmed rows are already distinct; stemming can map two tokens to one keyword
-    return rows.distinct() if stem else rows
+    return merge_index(rows)
+
+
+def merge_index(rows: DataFrame) -> DataFrame:
+    """Index rows, also of several indexes, with one row per (keyword, headline)."""
+    return rows.groupBy("keyword", "headline").agg(F.max("url").alias("url"))
 
 
 def write_keyword_index(index: DataFrame, path: str, buckets: int | None = None) -> None:
@@ -174,21 +180,21 @@ def search_news(queries: DataFrame, index: DataFrame, news: DataFrame | None = N
                 cap: int = SEARCH_CAP, stem: bool = True, parsed: bool = False) -> DataFrame:
     """Answer many searches in one plan.
 
-    ``index`` is a distinct (keyword, headline, url) table (T5).  Keywords
-    are OR-ed; a headline's position is its earliest keyword; at most
-    ``cap`` headlines per query, ordered by (position, headline, url).  Returns
-    (query_id, rank, headline, url) plus article fields when ``news`` is
-    given.
+    ``index`` is a (keyword, headline, url) table (T5).  Keywords are OR-ed;
+    a headline's position and link are those of its earliest keyword; at most
+    ``cap`` different headlines per query, ordered by (position, headline).
+    Returns (query_id, rank, headline, url) plus article fields when ``news``
+    is given (one row per article with this headline and link).
     """
     kw = queries if parsed else parse_queries(queries, stem=stem)
     hits = kw.join(posting_heads(index, cap), "keyword")
-    first = hits.groupBy("query_id", "headline", "url").agg(F.min("pos").alias("pos"))
-    w = Window.partitionBy("query_id").orderBy("pos", "headline", "url")
+    first = hits.groupBy("query_id", "headline").agg(F.min(F.struct("pos", "url")).alias("f")).select("query_id", "headline", "f.*")
+    w = Window.partitionBy("query_id").orderBy("pos", "headline")
     out = (first.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= cap)
            .select("query_id", F.col("rank").cast("int").alias("rank"), "headline", "url"))
     if news is not None:
-        art = news.select("headline", "category", "authors", "date", "short_description")
-        out = out.join(art, "headline", "left")
+        art = news.select("headline", F.col("link").alias("url"), "category", "authors", "date", "short_description")
+        out = out.join(art, ["headline", "url"], "left")
     return out
 
 

@@ -210,9 +210,9 @@ toks AS (SELECT DISTINCT headline, link, lower(t) AS token FROM runs
          WHERE regexp_full_match(t, '[a-zA-Z]+') AND t NOT IN {_STOP_SQL})"""
 _STEMMED_SQL = _TOKENS_SQL + f""",
 stems AS ({stem_sql("SELECT DISTINCT token AS word FROM toks")}),
-idx AS (SELECT DISTINCT s.stem AS keyword, t.headline, t.link AS url FROM toks t JOIN stems s ON t.token = s.word)"""
+idx AS (SELECT s.stem AS keyword, t.headline, max(t.link) AS url FROM toks t JOIN stems s ON t.token = s.word GROUP BY 1, 2)"""
 _RAW_IDX_SQL = _TOKENS_SQL + """,
-idx AS (SELECT DISTINCT token AS keyword, headline, link AS url FROM toks)"""
+idx AS (SELECT token AS keyword, headline, max(link) AS url FROM toks GROUP BY 1, 2)"""
 
 
 def _queries_sql(stem: bool) -> str:
@@ -236,8 +236,9 @@ def _search_sql(stem: bool) -> str:
                                                            + SQL_VIEWS["search_queries"] + "),\nnews AS", 1)
     return base + _queries_sql(stem) + """,
 hits AS (SELECT k.query_id, k.pos, i.headline, i.url FROM kw k JOIN idx i USING (keyword)),
-firsts AS (SELECT query_id, headline, url, min(pos) AS pos FROM hits GROUP BY query_id, headline, url),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos, headline, url) AS rk FROM firsts)
+firsts AS (SELECT query_id, headline, min(pos) AS pos FROM hits GROUP BY query_id, headline),
+linked AS (SELECT f.query_id, f.headline, f.pos, min(h.url) AS url FROM firsts f JOIN hits h USING (query_id, headline, pos) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos, headline) AS rk FROM linked)
 SELECT query_id, CAST(rk AS INTEGER) AS rank, headline, url FROM ranked WHERE rk <= 15"""
 
 
@@ -282,6 +283,15 @@ def q_search_news(spark, sf):
     return T.search_news(b.search_queries, T.build_keyword_index(b.news, stem=True), stem=True)
 
 
+@register("search_news_articles", f"""SELECT r.*, n.category, n.authors
+FROM ({_search_sql(False)}) r JOIN ({SQL_VIEWS["news"]}) n ON n.headline = r.headline AND n.link = r.url""")
+def q_search_news_articles(spark, sf):
+    b = Bindings(spark, sf)
+    index = T.build_keyword_index(b.news, stem=False)
+    return T.search_news(b.search_queries, index, news=b.news, stem=False).select(
+        "query_id", "rank", "headline", "url", "category", "authors")
+
+
 _PREFIX_SQL = with_views("accounts", "user_searches") + """,
 pidx AS (SELECT DISTINCT substr(lower(username), 1, n) AS prefix, userID FROM (
     SELECT userID, username, unnest(range(1, length(username) + 1)) AS n FROM accounts

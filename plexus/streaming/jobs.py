@@ -111,9 +111,9 @@ def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool
 
 
 def grown_index(spark: SparkSession, sink: str) -> DataFrame:
-    """The index X4 has written: (keyword, headline, url), each row once,
-    however the articles were cut into batches."""
-    return spark.read.parquet(sink).select("keyword", "headline", "url").distinct()
+    """The index X4 has written: (keyword, headline, url), one row per (keyword,
+    headline), however the articles were cut into batches."""
+    return T.merge_index(spark.read.parquet(sink))
 
 
 # ------------------------------------------------- batch-equivalent runs

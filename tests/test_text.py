@@ -144,3 +144,16 @@ def test_search_with_article_fields_and_news_table_sink(spark, tmp_path):
     table = T.news_table(b.news)
     write_news_table(table, str(tmp_path / "news"))
     assert spark.read.parquet(str(tmp_path / "news")).count() == table.count()
+
+
+def test_one_headline_under_two_links_is_one_index_row_and_one_hit(spark):
+    news = spark.createDataFrame(
+        [("Cats run", "x", "cats", "c", "d1", "u1"), ("Cats run", "x", "dogs", "c", "d2", "u2"), ("Dogs", "x", "cats", "c", "d1", "u3")],
+        "headline string, authors string, short_description string, category string, date string, link string")
+    index = T.build_keyword_index(news, stem=False)
+    rows = {(r.keyword, r.headline): r.url for r in index.collect()}
+    assert len(rows) == index.count()
+    assert rows["cats", "Cats run"] == "u2" and rows["dogs", "Cats run"] == "u2" and rows["cats", "Dogs"] == "u3"
+    q = spark.createDataFrame([("q", "cats dogs")], "query_id string, query string")
+    got = T.search_news(q, index, stem=False, news=news).orderBy("rank").collect()
+    assert [(r["rank"], r.headline, r.url, r.date) for r in got] == [(1, "Cats run", "u2", "d2"), (2, "Dogs", "u3", "d1")]
