@@ -55,24 +55,14 @@ def stem_vocabulary(words: DataFrame, word_col: str = "token") -> DataFrame:
     return stem_column(vocab, "_w", "_stem").checkpoint(eager=True)
 
 
-# A stem table this small (about 60 MB at most) is broadcast for the join back.
-VOCAB_BROADCAST_ROWS = 1_000_000
-
-
-def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keyword",
-               broadcast_rows: int = VOCAB_BROADCAST_ROWS) -> DataFrame:
+def stem_words(words: DataFrame, word_col: str = "token", out_col: str = "keyword") -> DataFrame:
     """T4: stem a column of words: the distinct vocabulary is stemmed once
-    (JVM expressions) and joined back.  The word -> stem table is broadcast
-    only when its counted size is within ``broadcast_rows``; a larger
-    vocabulary is joined by shuffle (a checkpointed table carries no size
-    statistics, so the check is explicit).  ``words`` is read twice
-    (vocabulary, join back), so it is checkpointed once first rather than
-    computed twice."""
+    (JVM expressions) and joined back; adaptive execution picks the join from
+    the sizes it measures.  ``words`` is read twice (vocabulary, join back), so
+    it is checkpointed once first rather than computed twice."""
     ensure_checkpoint_dir(words.sparkSession)
     words = words.checkpoint(eager=True)
     stems = stem_vocabulary(words, word_col)
-    if stems.count() <= broadcast_rows:
-        stems = F.broadcast(stems)
     return words.join(stems, words[word_col] == stems["_w"]).drop("_w").withColumnRenamed("_stem", out_col)
 
 
