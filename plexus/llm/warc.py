@@ -63,8 +63,11 @@ def train_dictionary(pages: DataFrame, size: int = 64 << 10, samples: int = 2000
     train on."""
     picked = pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).alias("u"),
                           F.substring(F.coalesce(F.col(html_col), F.lit("")), 1, sample_chars).alias("s"))
+    picked = picked.withColumn("h", F.xxhash64("i", "s"))
+    # The largest hash taken comes first, from hashes alone, so that tasks send the driver no payloads but these.
+    cut = picked.select("h").orderBy("h").limit(samples).agg(F.max("h")).first()[0]
     found = [record(f"sample:{k}", r.i, r.u, r.s.encode(), None, None, DATE)
-             for k, r in enumerate(picked.orderBy(F.xxhash64("i", "s"), "s").limit(samples).collect())]
+             for k, r in enumerate(picked.filter(F.col("h") <= F.lit(cut)).orderBy("h", "s").limit(samples).collect())]
     try:
         return zstandard.train_dictionary(size, found).as_bytes()
     except zstandard.ZstdError:
