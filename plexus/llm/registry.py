@@ -3,12 +3,15 @@ with production parameters to its whole table."""
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plexus.llm import common, fingerprints, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BACKOFF_ORDER = 3  # longest n-grams of the registered op6_stupid_backoff
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +44,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff scores of all documents under the counts of all others."""
-    return lmscore.backoff_scores(table(spark, sf_dir, "documents"))
+def op6_stupid_backoff(spark: SparkSession, sf_dir: str, order: int = 2) -> DataFrame:
+    """Stupid-backoff scores of all documents under the counts of all others
+    (registered with ``BACKOFF_ORDER``)."""
+    return lmscore.backoff_scores(table(spark, sf_dir, "documents"), order)
 
 
 def op7_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +84,10 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (
+    found = {f.__name__: f for f in (
         op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op6_stupid_backoff, op7_mtree_top_k,
         op8_source_mixing, op9_best_fit_packing, op10_warc_archives)}
+    return found | {"op6_stupid_backoff": partial(op6_stupid_backoff, order=BACKOFF_ORDER)}
 
 
 def oracle_sql() -> dict[str, str]:

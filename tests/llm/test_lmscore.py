@@ -5,9 +5,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from plexus.llm import lmscore
+from plexus.llm import lmscore, registry
 from plexus.llm.registry import op6_stupid_backoff
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import ODD
@@ -56,3 +57,19 @@ def test_registered_query(spark):
     got = op6_stupid_backoff(spark, SF_SMALL).orderBy("doc_id").collect()
     for r, (n, s) in zip(got, by_hand([t for _, t in rows], 2), strict=True):
         assert r.n_tokens == n and abs(r.log_score - s) < 1e-3
+
+
+def test_registered_order_reaches_trigrams(spark):
+    import duckdb
+
+    rows = duckdb.execute(f"SELECT doc_id, text FROM '{SF_SMALL}/documents.parquet' ORDER BY doc_id").fetchall()
+    got = registry.queries()["op6_stupid_backoff"](spark, SF_SMALL).orderBy("doc_id").collect()
+    assert len(got) == len(rows) and registry.BACKOFF_ORDER > 2
+    for r, (n, s) in zip(got, by_hand([t for _, t in rows], registry.BACKOFF_ORDER), strict=True):
+        assert r.n_tokens == n and abs(r.log_score - s) < 1e-3
+
+
+def test_keys_keep_all_bits():
+    keys = np.array([3, 4, 2**40 + 1, 2**40 + 2, 2**63, 2**64 - 1], np.uint64)
+    assert lmscore.unpacked(lmscore.packed(keys)).tolist() == keys.tolist()
+    assert lmscore.unpacked(lmscore.packed(keys[:0])).tolist() == []
