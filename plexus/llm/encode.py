@@ -23,7 +23,11 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Characters that NFC leaves alone and that lower-case one by one, in every
 # Unicode version: printable ASCII and the precomposed Latin letters.
 PLAIN = re.compile("[!-~À-įı-ſ]+")
-TAIL = r"([\pL\pN])([^\pL\pN\s]+)$"
+# Punctuation and symbols after a letter or digit that NFC and lower-casing leave
+# one letter or digit.  Words with any other end stay whole: marks may compose
+# with the letter before, and some letters become a letter and a mark, which
+# is one piece with the punctuation after it.
+TAIL = r"([0-9A-Za-zÀ-ÖØ-öø-įı-ſα-ρσ-ώЀ-ҁҊ-ӿぁ-ゖァ-ヺ一-龥가-힣])([\pP\pS]+)$"
 
 
 def word_lists(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -35,6 +35,20 @@ def test_encoder_equals_the_library(most, name):
         at += n
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_marks_at_the_end_of_words(name):
+    words = ["cafe\u0301", "re\u0301sume\u0301", "voila\u0300", "か\u3099", "ハ\u309a", "\u0627\u0653", "Vie\u0323\u0302t", "\u0958", "\u05d1\ufb1d",
+             "\u0130", "\u09dc", "\u0f43", "\u1100\u1161", "가", "нет", "И\u0306", "λόγος", "ŉ", "\u212b", "x\u20dd", "a\u200d", "中", "ªº", "Ⅷ", "a\ufe0f"]
+    texts = [f"{w}{end}" for w in words for end in ("", ",", "!)", "\u0301", "\u0301.", "'", "…»", " \u0301", "+\u0338", "\u037e", "\u1fef")]
+    texts.append(" ".join(texts))
+    path = public_tokenizers.path(name)
+    ids, counts = Encoder(path, 2).encode(pa.array(texts))
+    full = Tokenizer.from_file(path)
+    got = [x[:-1].tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    want = [full.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
 def test_token_files_round_trip(spark, docs, tmp_path):
     shards = tokenfile.write_token_files(docs(ODD).repartition(3), TOKENIZER, common.shared_folder(spark, "t"), length=128)
     got = tokenfile.read_documents(shards).orderBy("start").collect()
