@@ -24,12 +24,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: that with the smallest
-    id (on five-word shingles, similarity 0.8 or more).  Documents without
-    words aren't duplicates; a row repeated with id and text stays once."""
-    found = neardup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id"), "cid").distinct()
+    id (on five-word shingles, similarity 0.8 or more), of several with that id
+    the one with the least hash of its text; a null id comes last.  Documents
+    without words aren't duplicates; a row repeated with id and text stays once."""
+    found = neardup.near_duplicate_groups(docs)
+    first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("_first"))
+    chosen = first.select(F.col("_first.doc_id").alias("_id"), F.col("_first.h").alias("_text")).union(
+        found.filter("root is null").select("doc_id", "h").distinct())
     hashed = docs.select(*COLUMNS).withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
     single = hashed.dropDuplicates(["doc_id", "_h"])
-    return single.join(found.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
+    return single.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_text")), "left_semi").select(*COLUMNS)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,9 +138,16 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
+    """``near_duplicate_groups`` without ``h`` and ``root``."""
+    return near_duplicate_groups(docs, width, percent, id_col, text_col).drop("h", "root")
+
+
+def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+                          text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id
     reachable over links of at least ``percent`` % similarity), ``kept`` (id =
-    component id), ``cid``.
+    component id), ``cid``, hash ``h`` of its text, ``root`` (one number per
+    component, whatever its ids; null without words).
 
     A document without words is alone.  Rows with one id and text are in one
     component and share ``kept``; a null id joins a component but never names
@@ -173,11 +180,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     least = classes.select("cid", "rep").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("root", "cid").alias("root"))
     ids = least.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = common.stored(least.join(ids, "root").select("cid", "component_id"), "class-components")
-    out = sets.select("doc_id", "n_shingles", "cid").join(named, "cid", "left")
+    named = common.stored(least.join(ids, "root").select("cid", "component_id", "root"), "class-components")
+    out = sets.select("doc_id", "n_shingles", "cid", "h").join(named, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "cid")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "cid", "h", "root")
 
 
 def _links(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:

@@ -46,3 +46,14 @@ def test_repeated_and_empty_rows(spark):
     assert sorted((r.doc_id or 0) for r in got) == [0, 1, 3, 4]
     assert cp.hide_secrets(spark, docs, SF_SMALL).count() == 7
     assert cp.pack_sequences(spark, cp.mix_sources(spark, docs.limit(0), SF_SMALL), SF_SMALL).collect() == []
+
+
+def test_one_stays_with_null_and_repeated_ids(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    other, third = long.replace("w", "v"), long.replace("w", "u")
+    rows = [(5, long), (None, long + " x"), (None, other), (None, other + " x"), (None, other + " y"),
+            (7, third), (7, third + " x"), (5, "not like any of them at all"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in cp.drop_near_duplicates(spark, docs, SF_SMALL).collect()]
+    assert len(got) == 5 and len([t for i, t in got if i == 7]) == 1 and len([t for i, t in got if i is None and t and t.startswith("v")]) == 1
+    assert {(5, long), (5, "not like any of them at all"), (None, None)} <= set(got)
