@@ -8,7 +8,7 @@ from functools import partial
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import common, fingerprints, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
+from plexus.llm import common, fingerprints, licenses, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BACKOFF_ORDER = 3  # longest n-grams of the registered op6_stupid_backoff
@@ -83,10 +83,15 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder)).drop("url")
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, tags and expressions of all documents."""
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def queries():
     found = {f.__name__: f for f in (
         op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op6_stupid_backoff, op7_mtree_top_k,
-        op8_source_mixing, op9_best_fit_packing, op10_warc_archives)}
+        op8_source_mixing, op9_best_fit_packing, op10_warc_archives, op11_license_scans)}
     return found | {"op6_stupid_backoff": partial(op6_stupid_backoff, order=BACKOFF_ORDER)}
 
 
