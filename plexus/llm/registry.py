@@ -8,7 +8,7 @@ from functools import partial
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import common, fingerprints, licenses, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
+from plexus.llm import codebooks, common, fingerprints, licenses, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BACKOFF_ORDER = 3  # longest n-grams of the registered op6_stupid_backoff
@@ -88,12 +88,42 @@ def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors under codebooks fitted on all of them."""
+    return codebooks.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Plain Lloyd's rounds, unrolled: every part against every entry."""
+    far = "xx - 2 * CAST(list_inner_product(p.x, b.x) AS BIGINT) + CAST(list_inner_product(b.x, b.x) AS BIGINT)"
+    steps = [f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, len(embedding) // {parts} AS w,
+                  list_transform(embedding, lambda x: floor({codebooks.SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (SELECT r, k, e[k * w + 1:(k + 1) * w] AS x, CAST(list_inner_product(e[k * w + 1:(k + 1) * w], e[k * w + 1:(k + 1) * w]) AS BIGINT) AS xx
+                   FROM v, range({parts}) t(k)),
+b0 AS MATERIALIZED (SELECT k, r - 1 AS i, x FROM p WHERE r <= {entries})"""]
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS MATERIALIZED (SELECT r, k, min({{'d': {far}, 'i': i}}) AS m FROM p JOIN b{n} b USING (k) GROUP BY r, k)")
+        if n < rounds:
+            steps.append(f"""
+s{n} AS (SELECT k, m.i AS i, j, CAST(sum(x[j]) AS BIGINT) AS t, count(*) AS n FROM a{n} JOIN p USING (r, k), range(1, 1025) u(j) WHERE j <= len(x) GROUP BY ALL),
+b{n + 1} AS MATERIALIZED (SELECT b.k, b.i, coalesce(y, b.x) AS x FROM b{n} b LEFT JOIN (
+    SELECT k, i, list(CAST((t - ((t % n) + n) % n) // n AS DOUBLE) ORDER BY j) AS y FROM s{n} GROUP BY k, i) USING (k, i))""")
+    steps.append(f"""
+c AS (SELECT r, string_agg(lower(printf('%02x', m.i)), '' ORDER BY k) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+h AS (SELECT sha256(string_agg(CAST(z AS VARCHAR), ',' ORDER BY k, i, j)) AS codebooks_sha256
+      FROM (SELECT k, i, unnest(range(1, len(x) + 1)) AS j, CAST(unnest(x) AS BIGINT) AS z FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN c USING (r), h""")
+    return ",\n".join(steps).replace(",\n\nc AS", ",\nc AS")
+
+
 def queries():
     found = {f.__name__: f for f in (
         op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op6_stupid_backoff, op7_mtree_top_k,
-        op8_source_mixing, op9_best_fit_packing, op10_warc_archives, op11_license_scans)}
+        op8_source_mixing, op9_best_fit_packing, op10_warc_archives, op11_license_scans, op13_product_codes)}
     return found | {"op6_stupid_backoff": partial(op6_stupid_backoff, order=BACKOFF_ORDER)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mtree_top_k": OP7_SQL}
+    return {"op7_mtree_top_k": OP7_SQL, "op13_product_codes": op13_sql()}
