@@ -8,7 +8,7 @@ from functools import partial
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plexus.llm import codebooks, common, fingerprints, licenses, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
+from plexus.llm import codebooks, collocations, common, fingerprints, licenses, lmscore, mixing, mtree, neardup, packing, secrets, tokenfile, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BACKOFF_ORDER = 3  # longest n-grams of the registered op6_stupid_backoff
@@ -88,6 +88,34 @@ def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of each language, over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, unnest(pieces) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+o AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, range(1, 6) t(k) WHERE len(ws) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM o GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE f >= 100),
+cuts AS (SELECT c.lang, c.phrase, c.k, c.f AS a, j, x.f AS l, y.f AS r, n,
+                CAST((CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+         FROM c JOIN range(1, 5) t(j) ON j < c.k JOIN n ON n.lang = c.lang
+         JOIN c x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:j], ' ')
+         JOIN c y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1:], ' ')),
+one AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS best FROM cuts),
+kept AS (SELECT * FROM one WHERE best = 1 AND NOT EXISTS (
+    SELECT 1 FROM c z WHERE z.lang = one.lang AND z.k > one.k AND 100 * z.f >= 100 * one.a AND contains(' ' || z.phrase || ' ', ' ' || one.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+
 def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all vectors under codebooks fitted on all of them."""
     return codebooks.compressed(table(spark, sf_dir, "embeddings"))
@@ -121,9 +149,10 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 def queries():
     found = {f.__name__: f for f in (
         op1_token_files, op2_near_duplicates, op3_order_minhash, op4_secret_scans, op5_toxicity, op6_stupid_backoff, op7_mtree_top_k,
-        op8_source_mixing, op9_best_fit_packing, op10_warc_archives, op11_license_scans, op13_product_codes)}
+        op8_source_mixing, op9_best_fit_packing, op10_warc_archives, op11_license_scans, op12_collocations,
+        op13_product_codes)}
     return found | {"op6_stupid_backoff": partial(op6_stupid_backoff, order=BACKOFF_ORDER)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mtree_top_k": OP7_SQL, "op13_product_codes": op13_sql()}
+    return {"op7_mtree_top_k": OP7_SQL, "op12_collocations": OP12_SQL, "op13_product_codes": op13_sql()}
