@@ -221,31 +221,94 @@ def like_summary(likes: DataFrame, views: DataFrame | None = None) -> DataFrame:
 # ------------------------------------------------------- friend requests
 
 
-def friend_requests(requests: DataFrame, friends: DataFrame, id_col: str = "seq") -> DataFrame:
-    """Status per request (recipientID, senderID, ...): ``already_friends``
-    when the sender already follows the recipient, ``pending`` when an
-    earlier request (lower ``id_col``) from the same sender to the same
-    recipient exists, else ``sent``.  First requests are found by a partial
-    aggregate, not by sorting each pair's requests."""
-    f = friends.select(F.col("followerID").alias("senderID"), F.col("followedID").alias("recipientID"),
-                       F.lit(True).alias("_friends"))
-    first = requests.groupBy("recipientID", "senderID").agg(F.min(id_col).alias("_first"))
-    out = requests.join(first, ["recipientID", "senderID"]).join(f, ["senderID", "recipientID"], "left")
-    status = (F.when(F.col("_friends"), "already_friends")
-              .when(F.col(id_col) != F.col("_first"), "pending").otherwise("sent"))
-    return out.withColumn("status", status).drop("_first", "_friends")
-
-
-def accept_requests(accepted: DataFrame, pending: DataFrame, friends: DataFrame):
-    """Accepting (recipientID, senderID) adds both directed friend rows
-    and removes the pending request only when the sender matches.
-    Returns (friends after, pending after)."""
-    a = accepted.select("recipientID", "senderID")
-    rows = a.select(F.col("recipientID").alias("followerID"), F.col("senderID").alias("followedID")) \
-        .unionByName(a.select(F.col("senderID").alias("followerID"), F.col("recipientID").alias("followedID")))
-    after = friends.select("followerID", "followedID").unionByName(rows).distinct()
-    left = pending.join(a, ["recipientID", "senderID"], "left_anti")
-    return after, left
+REQUEST = "friendRequest"
+PAIR = ["recipientID", "senderID"]
+
+
+def _only_requests(notifications: DataFrame) -> DataFrame:
+    """Notifications of other types are no requests; without a type all are."""
+    if "notificationType" not in notifications.columns:
+        return notifications
+    return notifications.where(F.col("notificationType") == REQUEST)
+
+
+def _both_ways(accepts: DataFrame, *more: str) -> DataFrame:
+    """Per accepted request the friend rows (followerID, followedID) it makes."""
+    return accepts.select(F.explode(F.array(
+        F.struct(F.col("recipientID").alias("followerID"), F.col("senderID").alias("followedID"), *more),
+        F.struct(F.col("senderID").alias("followerID"), F.col("recipientID").alias("followedID"), *more))).alias("_p")).select("_p.*")
+
+
+def friend_requests(requests: DataFrame, friends: DataFrame, pending: DataFrame | None = None, accepts: DataFrame | None = None,
+                    id_col: str = "seq") -> DataFrame:
+    """Each request (recipientID, senderID, ...) with its ``status``, as it
+    was when the request was made, in the order of ``id_col``:
+
+    * ``already_friends`` if the recipient follows the sender, in ``friends`` or
+      since an earlier row of ``accepts`` (either of the two accepted the other);
+    * ``pending`` if a request of the sender waits, from ``pending`` or from an
+      earlier row of ``requests``;
+    * ``sent`` otherwise.
+
+    Rows whose notificationType isn't a friend request are no requests and wait
+    for nothing.  Friendships aren't ended, so all that counts of a pair's
+    history is its first request and its first acceptance: two partial
+    aggregates, joined back to the requests; no pair's rows are sorted or
+    gathered in one task."""
+    rows = _only_requests(requests)
+    first = rows.groupBy(*PAIR).agg(F.min(id_col).alias("_first"))
+    known = friends.select(F.col("followerID").alias("recipientID"), F.col("followedID").alias("senderID")).distinct()
+    out = rows.join(first, PAIR).join(known.withColumn("_friends", F.lit(True)), PAIR, "left")
+    friend, waits = F.coalesce("_friends", F.lit(False)), F.col(id_col) > F.col("_first")
+    if pending is not None:
+        held = _only_requests(pending).select(*PAIR).distinct().withColumn("_held", F.lit(True))
+        out = out.join(held, PAIR, "left")
+        waits = waits | F.coalesce("_held", F.lit(False))
+    if accepts is not None:
+        made = _both_ways(accepts, id_col).groupBy("followerID", "followedID").agg(F.min(id_col).alias("_accepted"))
+        made = made.select(F.col("followerID").alias("recipientID"), F.col("followedID").alias("senderID"), "_accepted")
+        out = out.join(made, PAIR, "left")
+        friend = friend | F.coalesce(F.col("_accepted") < F.col(id_col), F.lit(False))
+    status = F.when(friend, "already_friends").when(waits, "pending").otherwise("sent")
+    return out.withColumn("status", status).drop("_first", "_friends", "_held", "_accepted")
+
+
+def accept_requests(accepted: DataFrame, pending: DataFrame, friends: DataFrame, id_col: str = "seq"):
+    """Accepting (recipientID, senderID) writes both directed friend rows
+    and removes the pending request only when the sender matches; where
+    ``accepted`` has ``requestTs``, only the request of that time.
+
+    Returns (friends after, pending after).  With ``ts`` and ``id_col`` in
+    ``accepted`` friend rows carry the time of their last writing, an older one
+    being replaced.  With ``id_col`` on both sides an acceptance removes only
+    requests made before it."""
+    timed = "ts" in accepted.columns and "ts" in friends.columns and id_col in accepted.columns
+    if timed:
+        last = _both_ways(accepted, "ts", id_col).groupBy("followerID", "followedID").agg(F.max_by("ts", id_col).alias("ts"))
+        old = friends.select("followerID", "followedID", "ts").join(last, ["followerID", "followedID"], "left_anti")
+        after = old.unionByName(last)
+    else:
+        after = friends.select("followerID", "followedID").unionByName(_both_ways(accepted)).distinct()
+    a = accepted.select(F.col("recipientID").alias("_r"), F.col("senderID").alias("_s"),
+                        *([F.col("requestTs").alias("_t")] if "requestTs" in accepted.columns else []),
+                        *([F.col(id_col).alias("_n")] if id_col in accepted.columns else []))
+    match = (F.col("recipientID") == F.col("_r")) & (F.col("senderID") == F.col("_s"))
+    if "requestTs" in accepted.columns:
+        match = match & (F.col("ts") == F.col("_t"))
+    if id_col in accepted.columns and id_col in pending.columns:
+        match = match & (F.coalesce(F.col(id_col) < F.col("_n"), F.lit(True)))
+    return after, pending.join(a, match, "left_anti")
+
+
+def pending_requests(requests: DataFrame, accepts: DataFrame, friends: DataFrame, pending: DataFrame, id_col: str = "seq") -> DataFrame:
+    """The pending list (recipientID, senderID, ts, ``id_col``) after a history
+    of requests and acceptances: what was pending before (``id_col`` null) and
+    what was sent, without what an acceptance of the same sender and time
+    removed later on.  An acceptance with another time makes friends, but
+    leaves the request."""
+    sent = friend_requests(requests, friends, pending, accepts, id_col).where(F.col("status") == "sent")
+    waiting = _only_requests(pending).select(*PAIR, "ts", F.lit(None).cast("long").alias(id_col)).unionByName(sent.select(*PAIR, "ts", id_col))
+    return accept_requests(accepts, waiting, friends, id_col)[1]
 
 
 def notification_feed(notifications: DataFrame, accounts: DataFrame, k: int | None = None) -> DataFrame:

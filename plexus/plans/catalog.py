@@ -452,7 +452,46 @@ SELECT recipientID, senderID FROM notifications UNION
 SELECT senderID, recipientID FROM notifications""")
 def q_accept_requests(spark, sf):
     b = Bindings(spark, sf)
-    return S.accept_requests(b.notifications, b.notifications, b.friends)[0]
+    return S.accept_requests(b.notifications, b.notifications, b.friends)[0].select("followerID", "followedID")
+
+
+_HISTORY_SQL = with_views("friends", "old_friends", "request_log", "pending_before", "accepts") + """,
+req AS (SELECT * FROM request_log WHERE notificationType = 'friendRequest'),
+status AS (SELECT r.*, CASE
+    WHEN EXISTS (SELECT 1 FROM old_friends f WHERE f.followerID = r.recipientID AND f.followedID = r.senderID) THEN 'already_friends'
+    WHEN EXISTS (SELECT 1 FROM accepts a WHERE a.seq < r.seq AND ((a.recipientID = r.recipientID AND a.senderID = r.senderID)
+                 OR (a.recipientID = r.senderID AND a.senderID = r.recipientID))) THEN 'already_friends'
+    WHEN EXISTS (SELECT 1 FROM pending_before p WHERE p.notificationType = 'friendRequest' AND p.recipientID = r.recipientID
+                 AND p.senderID = r.senderID) THEN 'pending'
+    WHEN EXISTS (SELECT 1 FROM req q WHERE q.seq < r.seq AND q.recipientID = r.recipientID AND q.senderID = r.senderID) THEN 'pending'
+    ELSE 'sent' END AS status FROM req r)
+"""
+
+
+@register("friend_request_history", _HISTORY_SQL + "SELECT * FROM status")
+def q_friend_request_history(spark, sf):
+    b = Bindings(spark, sf)
+    return S.friend_requests(b.request_log, b.old_friends, b.pending_before, b.accepts)
+
+
+@register("accept_requests_pending", _HISTORY_SQL + """,
+waiting AS (SELECT recipientID, senderID, ts, CAST(NULL AS BIGINT) AS seq FROM pending_before WHERE notificationType = 'friendRequest'
+            UNION ALL SELECT recipientID, senderID, ts, seq FROM status WHERE status = 'sent')
+SELECT * FROM waiting w WHERE NOT EXISTS (SELECT 1 FROM accepts a WHERE a.recipientID = w.recipientID AND a.senderID = w.senderID
+    AND a.requestTs = w.ts AND (w.seq IS NULL OR a.seq > w.seq))""")
+def q_accept_requests_pending(spark, sf):
+    b = Bindings(spark, sf)
+    return S.pending_requests(b.request_log, b.accepts, b.old_friends, b.pending_before)
+
+
+@register("accept_requests_times", _HISTORY_SQL + """,
+made AS (SELECT recipientID AS followerID, senderID AS followedID, ts, seq FROM accepts
+         UNION ALL SELECT senderID, recipientID, ts, seq FROM accepts
+         UNION ALL SELECT followerID, followedID, ts, -1 FROM old_friends)
+SELECT followerID, followedID, arg_max(ts, seq) AS ts FROM made GROUP BY ALL""")
+def q_accept_requests_times(spark, sf):
+    b = Bindings(spark, sf)
+    return S.accept_requests(b.accepts, b.pending_before, b.old_friends)[0]
 
 
 @register("notification_feed", with_views("accounts", "notifications") + """
@@ -654,6 +693,13 @@ def q_stream_friend_requests(spark, sf):
     return X.run_friend_requests(spark, files, max_files=1).select("recipientID", "senderID")
 
 
+@register("stream_pending_requests", _HISTORY_SQL + "SELECT recipientID, senderID, ts, seq FROM status WHERE status = 'sent'")
+def q_stream_pending_requests(spark, sf):
+    files = X.out_of_order_files(spark, sf, "events", "ts")
+    sent = X.run_pending_requests(spark, files, Bindings(spark, sf), max_files=1)[0]
+    return sent.select("recipientID", "senderID", F.col("ts").cast("timestamp_ntz").alias("ts"), "seq")
+
+
 @register("stream_keyword_index", _STEMMED_SQL + "\nSELECT keyword, headline, url FROM idx")
 def q_stream_keyword_index(spark, sf):
     files = X.out_of_order_files(spark, sf, "documents", "doc_id")

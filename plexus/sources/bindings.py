@@ -20,9 +20,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 class Bindings:
     """Lazily built views for one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, events: DataFrame | None = None):
+        """``events`` stands for that table, for instance as a stream."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.events = events
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -87,7 +89,8 @@ class Bindings:
                         F.col("l_suppkey").alias("creatorID"), "content", "ts"))
 
     def _events_k(self) -> DataFrame:
-        return self.table("events").withColumn(
+        events = self.table("events") if self.events is None else self.events
+        return events.withColumn(
             "k", F.get_json_object("props", "$.k").cast("bigint"))
 
     @property
@@ -104,6 +107,48 @@ class Bindings:
                         F.lit("friendRequest").alias("notificationType"), "ts",
                         F.col("event_id").alias("seq"))
 
+    @property
+    def request_log(self) -> DataFrame:
+        """Notifications among the first users, so that pairs meet again and again:
+        clicks and signups are friend requests, views are other notifications."""
+        e = self._events_k().where(F.col("event_type").isin("click", "signup", "view"))
+        kind = F.when(F.col("event_type") == "view", "like").otherwise("friendRequest")
+        return e.select((F.col("user_id") % 40).alias("recipientID"), (F.col("k") % 40).alias("senderID"), kind.alias("notificationType"),
+                        "ts", F.col("event_id").alias("seq")).where("recipientID <> senderID")
+
+    @property
+    def pending_before(self) -> DataFrame:
+        """Notifications that were there before the log's: errors with an even id are
+        requests, those with an odd id are likes."""
+        e = self._events_k().where(F.col("event_type") == "error")
+        kind = F.when(F.col("event_id") % 2 == 0, "friendRequest").otherwise("like")
+        return e.select((F.col("user_id") % 60).alias("recipientID"), (F.col("k") % 60).alias("senderID"), kind.alias("notificationType"),
+                        "ts").where("recipientID <> senderID")
+
+    @property
+    def first_requests(self) -> DataFrame:
+        """The time of each pair's first request in the log."""
+        return self.request_log.where("notificationType = 'friendRequest'").groupBy("recipientID", "senderID").agg(
+            F.min_by("ts", "seq").alias("_t"))
+
+    @property
+    def accepts(self) -> DataFrame:
+        return self.accepts_of(self.first_requests)
+
+    def accepts_of(self, first: DataFrame) -> DataFrame:
+        """Acceptances: each purchase accepts the pair's first request of the log,
+        every fifth with a time that no request has."""
+        e = self._events_k().where(F.col("event_type") == "purchase")
+        a = e.select((F.col("user_id") % 40).alias("recipientID"), (F.col("k") % 40).alias("senderID"), "ts", F.col("event_id").alias("seq"))
+        wrong = F.when(F.col("seq") % 5 == 0, F.expr("_t + interval 1 second")).otherwise(F.col("_t"))
+        return a.join(first, ["recipientID", "senderID"]).select("recipientID", "senderID", wrong.alias("requestTs"), "ts", "seq")
+
+    @property
+    def old_friends(self) -> DataFrame:
+        """The friendships of users 0 to 39 whose ids add up to an even number."""
+        return self.friends.where("followerID < 40 and followedID < 40 and (followerID + followedID) % 2 = 0").select(
+            "followerID", "followedID", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
     @property
     def memberships(self) -> DataFrame:
         e = self._events_k().where(F.col("event_type") != "error")
@@ -175,6 +220,19 @@ SQL_VIEWS: dict[str, str] = {
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS postID, user_id AS userID, ts FROM events""",
     "notifications": """SELECT user_id AS recipientID, CAST(json_extract_string(props, '$.k') AS BIGINT) AS senderID,
         'friendRequest' AS notificationType, ts, event_id AS seq FROM events WHERE event_type = 'signup'""",
+    "request_log": """SELECT * FROM (SELECT user_id % 40 AS recipientID, CAST(json_extract_string(props, '$.k') AS BIGINT) % 40 AS senderID,
+        CASE WHEN event_type = 'view' THEN 'like' ELSE 'friendRequest' END AS notificationType, ts, event_id AS seq
+        FROM events WHERE event_type IN ('click', 'signup', 'view')) WHERE recipientID <> senderID""",
+    "pending_before": """SELECT * FROM (SELECT user_id % 60 AS recipientID, CAST(json_extract_string(props, '$.k') AS BIGINT) % 60 AS senderID,
+        CASE WHEN event_id % 2 = 0 THEN 'friendRequest' ELSE 'like' END AS notificationType, ts
+        FROM events WHERE event_type = 'error') WHERE recipientID <> senderID""",
+    "accepts": """SELECT recipientID, senderID, CASE WHEN a.seq % 5 = 0 THEN t + INTERVAL 1 SECOND ELSE t END AS requestTs, a.ts, a.seq
+        FROM (SELECT user_id % 40 AS recipientID, CAST(json_extract_string(props, '$.k') AS BIGINT) % 40 AS senderID, ts, event_id AS seq
+              FROM events WHERE event_type = 'purchase') a
+        JOIN (SELECT recipientID, senderID, arg_min(ts, seq) AS t FROM request_log
+              WHERE notificationType = 'friendRequest' GROUP BY ALL) USING (recipientID, senderID)""",
+    "old_friends": """SELECT followerID, followedID, CAST(ts AS TIMESTAMP) AS ts FROM friends
+        WHERE followerID < 40 AND followedID < 40 AND (followerID + followedID) % 2 = 0""",
     "memberships": """SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS BIGINT) AS chatID,
         user_id AS userID FROM events WHERE event_type <> 'error'""",
     "messages": """SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS chatID, event_id AS message_id,

@@ -10,13 +10,16 @@ checks run them.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from plexus.operators import social as S
 from plexus.operators import text as T
 from plexus.session import scratch_path
+from plexus.sources.bindings import Bindings
 
 
 def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
@@ -97,6 +100,65 @@ def stream_friend_requests(requests: DataFrame, sink: str, checkpoint: str) -> S
             .outputMode("append").trigger(availableNow=True).start())
 
 
+PENDING = "kind string, recipientID long, senderID long, ts timestamp, requestTs timestamp, seq long"
+
+
+def request_events(requests: DataFrame, accepts: DataFrame) -> DataFrame:
+    """Requests and acceptances as one stream of ``PENDING`` rows."""
+    asked = S._only_requests(requests).select(F.lit("request").alias("kind"), "recipientID", "senderID", F.col("ts").cast("timestamp").alias("ts"),
+                                              F.lit(None).cast("timestamp").alias("requestTs"), "seq")
+    said = accepts.select(F.lit("accept").alias("kind"), "recipientID", "senderID", F.col("ts").cast("timestamp").alias("ts"),
+                          F.col("requestTs").cast("timestamp").alias("requestTs"), "seq")
+    return asked.unionByName(said)
+
+
+def _pending_step(key, frames, state):
+    """One (recipient, sender) pair in one micro-batch: the state is its waiting
+    request (seq, time).  A request passes on if none waits or a later one does;
+    an acceptance always passes on, and forgets the request it is for."""
+    rows = sorted((r for f in frames for r in f.itertuples(index=False)), key=lambda r: (r.seq, r.kind))
+    held, out = (state.get if state.exists else None), []
+    for r in rows:
+        at = None if r.ts is pd.NaT else int(r.ts.value)
+        if r.kind == "accept":
+            out.append(r)
+            if held and held[0] < r.seq and r.requestTs is not pd.NaT and held[1] == int(r.requestTs.value):
+                held = None
+        elif held is None or r.seq < held[0]:
+            out.append(r)
+            held = (int(r.seq), at)
+    if held:
+        state.update(held)
+    elif state.exists:
+        state.remove()
+    yield pd.DataFrame([tuple(r) for r in out], columns=["kind", "recipientID", "senderID", "ts", "requestTs", "seq"])
+
+
+def stream_pending_requests(events: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """X3 with the exact rule: a request is remembered until it is accepted.
+
+    ``events`` are ``request_events``.  Each pair's keyed state holds its waiting
+    request only, and is dropped when that is accepted, so the state grows with
+    the requests that wait.  Repeated requests are dropped, the rest and all
+    acceptances are appended to ``sink``; what comes out of order, or again
+    after an acceptance, is settled by ``streamed_requests``: a pair's first
+    request and first acceptance always reach the sink."""
+    step = events.groupBy("recipientID", "senderID").applyInPandasWithState(
+        _pending_step, PENDING, "seq long, at long", "append", GroupStateTimeout.NoTimeout)
+    return (step.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start())
+
+
+def streamed_requests(spark: SparkSession, sink: str, friends: DataFrame, pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From the sink of X3: the requests that were sent, and the pending list
+    (S11 and S12 on the kept rows)."""
+    rows = spark.read.schema(PENDING).parquet(sink)
+    asked = rows.where("kind = 'request'").select("recipientID", "senderID", "ts", "seq").distinct()
+    said = rows.where("kind = 'accept'").select("recipientID", "senderID", "ts", "requestTs", "seq")
+    sent = S.friend_requests(asked, friends, pending, said).where("status = 'sent'").drop("status")
+    return sent, S.pending_requests(asked, said, friends, pending)
+
+
 # ------------------------------------------------------------------ X4
 
 def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool = True) -> StreamingQuery:
@@ -159,6 +221,15 @@ def run_friend_requests(spark: SparkSession, folder: str, max_files: int | None
     return spark.read.parquet(sink)
 
 
+def run_pending_requests(spark: SparkSession, folder: str, b: Bindings, max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """X3 over the request log of ``folder``; sent requests and the pending list."""
+    files = Bindings(spark, folder, file_stream(spark, folder, "events", max_files))
+    sink = scratch_path(spark, "x3-pending")
+    first = b.first_requests
+    run_available(stream_pending_requests(request_events(files.request_log, files.accepts_of(first)), sink, scratch_path(spark, "x3-ck")))
+    return streamed_requests(spark, sink, b.old_friends, b.pending_before)
+
+
 def run_keyword_index(spark: SparkSession, folder: str, stem: bool = True, max_files: int | None = None) -> DataFrame:
     d = file_stream(spark, folder, "documents", max_files)
     news = d.select(F.col("source").alias("authors"), F.col("lang").alias("category"),

@@ -143,3 +143,68 @@ def test_chat_title_parts(spark):
     roster = S.chat_roster(members, acc)
     parts = S.chat_title_parts(roster, spark.createDataFrame([(2,)], "userID long")).collect()
     assert [(r.chatID, r.label) for r in parts] == [(7, "Ann Lee"), (7, "you"), (7, "Cy Fox"), (8, "you")]
+
+
+def _history(asked, said, friends, pending):
+    """Requests and acceptances one by one, as the live site does."""
+    friends, waiting, status = dict(friends), {(r, s, t): None for r, s, kind, t in pending if kind == "friendRequest"}, {}
+    for seq, what in sorted([(r[4], ("ask", *r)) for r in asked] + [(a[4], ("accept", *a)) for a in said]):
+        if what[0] == "ask":
+            _, r, s, kind, t, _ = what
+            if kind != "friendRequest":
+                continue
+            if (r, s) in friends:
+                status[seq] = "already_friends"
+            elif any(k[:2] == (r, s) for k in waiting):
+                status[seq] = "pending"
+            else:
+                status[seq] = "sent"
+                waiting[r, s, t] = seq
+        else:
+            _, r, s, t, now, _ = what
+            friends[r, s] = friends[s, r] = now
+            waiting.pop((r, s, t), None)
+    return status, friends, waiting
+
+
+def test_request_history_equals_a_loop(spark):
+    import random
+
+    rng = random.Random(8)
+    pair = lambda: tuple(rng.sample(range(9), 2))
+    seqs = rng.sample(range(1000), 260)
+    asked = [(*pair(), rng.choice(["friendRequest", "friendRequest", "like"]), 10 * q, q) for q in seqs[:200]]
+    said = []
+    for q in seqs[200:]:
+        earlier = [r for r in asked if r[4] < q]
+        if earlier:
+            r = rng.choice(earlier)
+            said.append((r[0], r[1], r[3] + rng.choice([0, 0, 3]), 10 * q + 1, q))
+    friends = {(1, 2): 5, (2, 1): 5, (3, 1): 6}
+    pending = [(4, 5, "friendRequest", 1), (6, 7, "like", 2), (7, 8, "friendRequest", 3)]
+    said.append((7, 8, 3, 5000, 2000))
+    status, after, waiting = _history(asked, said, friends, pending)
+    a = spark.createDataFrame(asked, "recipientID long, senderID long, notificationType string, ts long, seq long")
+    c = spark.createDataFrame(said, "recipientID long, senderID long, requestTs long, ts long, seq long")
+    f = spark.createDataFrame([(*k, t) for k, t in friends.items()], "followerID long, followedID long, ts long")
+    p = spark.createDataFrame(pending, "recipientID long, senderID long, notificationType string, ts long")
+    assert {r.seq: r.status for r in S.friend_requests(a, f, p, c).collect()} == status
+    assert len(set(status.values())) == 3
+    assert {(r.followerID, r.followedID): r.ts for r in S.accept_requests(c, p, f)[0].collect()} == after
+    left = S.pending_requests(a, c, f, p).collect()
+    assert sorted((r.recipientID, r.senderID, r.ts, r.seq or -1) for r in left) == sorted((*k, q or -1) for k, q in waiting.items())
+
+
+def test_likes_are_no_requests(spark):
+    req = spark.createDataFrame([(3, 1, "like", 1), (3, 1, "friendRequest", 2)], "recipientID long, senderID long, notificationType string, seq long")
+    none = spark.createDataFrame([], "followerID long, followedID long")
+    assert [(r.seq, r.status) for r in S.friend_requests(req, none).collect()] == [(2, "sent")]
+
+
+def test_a_hot_pair_is_no_task_of_its_own(spark):
+    """A pair with most requests: first request and status without a window or sort of its rows."""
+    req = spark.range(20000).selectExpr("if(id % 3 > 0, 1, id) as recipientID", "if(id % 3 > 0, 2, id + 1) as senderID", "id as seq")
+    none = spark.createDataFrame([], "followerID long, followedID long")
+    out = S.friend_requests(req, none)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("status = 'sent'").count() == 20000 - 13333 + 1

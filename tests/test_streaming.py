@@ -86,3 +86,37 @@ def test_friend_request_stream_drops_repeats(spark):
     pairs = got.select("recipientID", "senderID")
     assert pairs.count() == pairs.distinct().count() == want.count()
     assert pairs.exceptAll(want).count() == 0
+
+
+def test_pending_requests_until_accepted_over_a_restart(spark, tmp_path):
+    """Files latest first, cut by a restart: the same as the batch jobs; the
+    state holds waiting requests only."""
+    inbox, files = _part_files(tmp_path, spark, "events", "ts")
+    sink, check = str(tmp_path / "sink"), str(tmp_path / "check")
+    b = Bindings(spark, SF_SMALL)
+    for half in (files[:2], files[2:]):
+        for f in half:
+            shutil.copy(f, inbox)
+        stream = Bindings(spark, SF_SMALL, X.file_stream(spark, str(inbox), "events", 1))
+        q = X.stream_pending_requests(X.request_events(stream.request_log, stream.accepts_of(b.first_requests)), sink, check)
+        X.run_available(q)
+    sent, pending = X.streamed_requests(spark, sink, b.old_friends, b.pending_before)
+    rows = lambda df: sorted((r.recipientID, r.senderID, str(r.ts), r.seq or -1) for r in df.collect())
+    assert rows(sent) == rows(S.friend_requests(b.request_log, b.old_friends, b.pending_before, b.accepts).where("status = 'sent'"))
+    assert rows(pending) == rows(S.pending_requests(b.request_log, b.accepts, b.old_friends, b.pending_before))
+
+
+def test_state_is_dropped_on_acceptance(spark, tmp_path):
+    """As many pairs again and again, all accepted: no state is left."""
+    ask = "recipientID long, senderID long, notificationType string, ts timestamp, seq long"
+    said = "recipientID long, senderID long, requestTs timestamp, ts timestamp, seq long"
+    for k in range(3):
+        spark.range(50).selectExpr("id as recipientID", "id + 1 as senderID", "'friendRequest' as notificationType",
+                                   f"timestamp_seconds({k}) as ts", f"{k} * 1000 + id as seq").coalesce(1).write.mode("append").parquet(str(tmp_path / "ask"))
+        spark.range(50).where("id <> 7").selectExpr("id as recipientID", "id + 1 as senderID", f"timestamp_seconds({k}) as requestTs",
+                                                    "timestamp_seconds(99) as ts", f"{k} * 1000 + 500 + id as seq").coalesce(1).write.mode("append").parquet(str(tmp_path / "said"))
+        requests = spark.readStream.schema(ask).parquet(str(tmp_path / "ask"))
+        accepts = spark.readStream.schema(said).parquet(str(tmp_path / "said"))
+        q = X.stream_pending_requests(X.request_events(requests, accepts), str(tmp_path / "sink"), str(tmp_path / "check"))
+        X.run_available(q)
+        assert q.lastProgress.stateOperators[0].numRowsTotal == 1  # the one that nobody accepted
