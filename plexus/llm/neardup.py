@@ -7,10 +7,15 @@ batches, and the pair is given up as soon as the posterior probability that
 its similarity reaches the threshold falls below a chosen miss probability;
 survivors are compared on their full shingle sets.
 
-Pairs within a band bucket are not all formed: first every member is compared
-with the bucket's least member, and components are formed; then only members
-of *different* components of a bucket are compared.  A bucket that is one
-component, however large, gives no more pairs."""
+Pairs within a band bucket are not all formed.  First every member is compared
+with a bucket's least member, in rounds: one such pair per class, then one per
+class and component it isn't in yet, then those that are left.  What lies in
+one component is not compared again.  Members of one bucket that are still in
+different components (texts with a common passage, mostly) are compared only
+if they share a shingle of their prefixes: a class's shingles are ordered by
+how many of these members hold them, rarest first, and two sets that reach the
+threshold t must share one of the first n - ceil(t n) + 1.  A class whose
+prefix is its own text alone meets nobody."""
 
 from __future__ import annotations
 
@@ -20,8 +25,9 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plexus.llm import common
 from plexus.llm.components import components
@@ -30,6 +36,7 @@ from plexus.llm.shingles import shingle_sets
 ROWS, BANDS, BATCH = 4, 32, 16  # a pair of similarity 0.8 misses all bands with probability 5e-8
 HASHES = ROWS * BANDS
 MISS = 1e-7
+SALTS = 32  # tasks that the classes of one large component are spread over
 
 
 def seeds(n: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
@@ -110,14 +117,19 @@ def bayes_survivors(pairs: DataFrame, classes: DataFrame, percent: int, miss: fl
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(keep, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold.  The texts of one
-    document per class are fetched and shingled again."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(
-        classes.select("cid", "rep", "rep_h"), "cid")
+def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, text), the text of one document of each class, stored."""
+    wanted = classes.select("cid", "rep", "rep_h")
     texts = docs.withColumn("h", F.xxhash64("text")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("h") == F.col("rep_h")))
-    texts = common.stored(texts.select("cid", "text").dropDuplicates(["cid"]), "class-texts")
+    return common.stored(texts.select("cid", "text").dropDuplicates(["cid"]), "class-texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets reach the threshold, by the texts of one
+    document per class.  The text of b comes first: rows are large and spread
+    before they meet at a class that has many pairs, where adaptive execution
+    splits them."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text_a", 2 << 20, 1000):
@@ -131,11 +143,49 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 keep.append(100 * common_size >= percent * (len(x) + len(y) - common_size))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(texts.withColumnsRenamed({"cid": "a", "text": "text_a"}), "a").join(
-        texts.withColumnsRenamed({"cid": "b", "text": "text_b"}), "b")
+    some = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi")
+    both = pairs.join(some.withColumnsRenamed({"cid": "b", "text": "text_b"}), "b").join(
+        some.withColumnsRenamed({"cid": "a", "text": "text_a"}), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
+    """(cid, s): every shingle of every class."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "text", 1 << 20):
+            sets, starts = shingle_sets(batch.column("text"), width)
+            cid = np.repeat(batch.column("cid").to_numpy(), np.diff(starts))
+            yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(sets.view(np.int64))], names=["cid", "s"])
+
+    return texts.mapInArrow(rows, "cid long, s long")
+
+
+def prefix_pairs(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``members`` (cid, n, root) in different components that
+    share a shingle of both prefixes and whose sizes allow the threshold: every
+    pair that reaches it is among them."""
+    shingles = common.stored(shingle_rows(texts.join(members.select("cid"), "cid", "left_semi"), width), "member-shingles")
+    counts = common.stored(shingles.groupBy("s").agg(F.count("*").alias("c"), F.max("cid").alias("own")), "shingle-counts")
+    alone = counts.filter("c = 1").groupBy(F.col("own").alias("cid")).agg(F.count("*").alias("alone"))
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1  # a share more would do no harm
+    meet = members.join(alone, "cid", "left").withColumn("rest", prefix - F.coalesce("alone", F.lit(0))).filter("rest > 0")
+    meet = common.stored(meet.select("cid", "n", "root", "rest"), "meeting-members")
+    shared = shingles.join(meet, "cid").join(counts.filter("c > 1").select("s", "c"), "s")
+    rarest = Window.partitionBy("cid").orderBy("c", "s")
+    first = shared.withColumn("place", F.row_number().over(rarest)).filter("place <= rest").select("cid", "n", "root", "s")
+    first = common.stored(first, "prefixes")
+    x, y = first.alias("x"), first.alias("y")
+    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root"))
+                 & close(F.col("x.n"), F.col("y.n"), percent))
+    return met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
+
+
+def close(x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of these sizes can reach the threshold."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``near_duplicate_groups`` without ``h`` and ``root``."""
@@ -161,32 +211,56 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, id
     classes = classes.withColumn("rep_h", F.coalesce("rep_h", "any_h"))
     band = F.explode(F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)]))
     bands = classes.select(band.alias("band"), "cid", "n")
-    close = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    hubs = common.stored(bands.groupBy("band").agg(F.min("cid").alias("hub"), F.min_by("n", "cid").alias("hub_n"),
-                                                   F.count("*").alias("members")).filter("members > 1"), "hubs")
-    stars = bands.join(hubs, "band").filter(F.col("cid") != F.col("hub")).filter(close(F.col("n"), F.col("hub_n")))
-    links = _links(stars.select(F.col("hub").alias("a"), F.col("cid").alias("b")), classes, source, width, percent)
-    roots = components(links)
+    hubs = bands.groupBy("band").agg(F.min("cid").alias("hub"), F.min_by("n", "cid").alias("hub_n"), F.count("*").alias("members"))
+    hubs = common.stored(hubs.filter("members > 1").drop("members"), "hubs")
+    crowds = common.stored(bands.join(hubs, "band"), "crowds")
+    texts = class_texts(source, classes.join(crowds.select("cid").distinct(), "cid", "left_semi"))
+    stars = common.stored(crowds.filter((F.col("cid") != F.col("hub")) & close(F.col("n"), F.col("hub_n"), percent)).select(
+        F.col("hub").alias("a"), F.col("cid").alias("b")).distinct(), "stars")
+    links, roots = _star_links(stars, classes, texts, width, percent)
     # What is left: members of one bucket in different components.
-    crowded = bands.join(hubs.select("band"), "band").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-    crowded = crowded.select("band", "cid", "n", F.coalesce("root", "cid").alias("root"))
+    crowded = crowds.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("band", "cid", "n", F.coalesce("root", "cid").alias("root"))
     mixed = crowded.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1").select("band")
-    crowded = common.stored(crowded.join(mixed, "band"), "mixed-buckets")
-    x, y = crowded.alias("x"), crowded.alias("y")
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root"))
-                  & close(F.col("x.n"), F.col("y.n"))).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-    links = links.union(_links(rest, classes, source, width, percent))
-    roots = components(links)
-    least = classes.select("cid", "rep").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "cid", "rep", F.coalesce("root", "cid").alias("root"))
-    ids = least.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = common.stored(least.join(ids, "root").select("cid", "component_id", "root"), "class-components")
+    members = common.stored(crowded.join(mixed, "band", "left_semi").select("cid", "n", "root").distinct(), "mixed-members")
+    links = links.union(_links(prefix_pairs(members, texts, width, percent), classes, texts, width, percent))
+    roots = common.stored(components(links), "roots")
+    # Components of one class keep their own id; a large one's rows are spread over salts.
+    least = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node").groupBy("root").agg(F.min("rep").alias("least"))
+    ids = least.join(classes.select(F.col("cid").alias("root"), "rep"), "root").select("root", F.least("least", "rep").alias("component_id"))
+    ids = common.stored(ids, "component-ids")
+    salted = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = roots.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"])
+    joined = spread.select(F.col("node").alias("cid"), "root", "component_id").union(ids.select("root", "root", "component_id"))
+    named = classes.select("cid", "rep").join(joined, "cid", "left").select(
+        "cid", F.coalesce("root", "cid").alias("root"), F.coalesce("component_id", "rep").alias("component_id"))
     out = sets.select("doc_id", "n_shingles", "cid", "h").join(named, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"), "cid", "h", "root")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
-    alive = common.stored(bayes_survivors(pairs.distinct(), classes, percent), "survivors")
-    return common.stored(confirmed(alive, classes, source, width, percent), "links")
+def _star_links(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links among the pairs (bucket's least member a, member b) and the
+    components they make.  Each round compares one pair per class and component,
+    the last one all that are left in different components."""
+    left, found, roots = stars, None, None
+    for last in (False, False, True):
+        if roots is None:
+            picked = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        else:
+            known = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+            left = left.join(known[0], "a", "left").join(known[1], "b", "left").select(
+                "a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"))
+            left = left.filter("root_a != root_b")
+            picked = left.select("a", "b") if last else left.groupBy("b", "root_a").agg(F.min("a").alias("a")).select("a", "b")
+        picked = common.stored(picked, "star-pairs")
+        new = _links(picked, classes, texts, width, percent)
+        found = new if found is None else found.union(new)
+        roots = common.stored(components(found), "star-roots")
+        left = left.select("a", "b").join(picked, ["a", "b"], "left_anti")
+    return found, roots
+
+
+def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    alive = common.stored(bayes_survivors(pairs, classes, percent), "survivors")
+    return common.stored(confirmed(alive, texts, width, percent), "links")

@@ -103,3 +103,38 @@ def test_shingles_of_slices():
         sets, starts = shingle_sets(whole.slice(a, 200), 2)
         want = [r[1] for r in sorted(((k, brute([(0, t)], 2)[0][1]) for k, t in enumerate(texts[a:a + 200])))]
         assert np.diff(starts).tolist() == want
+
+
+def compared(spark, docs, rows, monkeypatch):
+    """The result's rows and how many pairs were compared by signatures."""
+    counts, real = [], neardup.bayes_survivors
+    monkeypatch.setattr(neardup, "bayes_survivors", lambda pairs, *a: (counts.append(pairs.count()), real(pairs, *a))[1])
+    return got(neardup.near_duplicates(docs(rows))), sum(counts)
+
+
+def test_a_common_passage_brings_no_pairs_of_all_with_all(spark, docs, monkeypatch):
+    rng = random.Random(11)
+    passage = " ".join(f"p{k}" for k in range(220))
+    pairs = []
+    for n in (50, 200):
+        rows = [(k, " ".join(f"w{rng.randrange(10**9)}" for _ in range(40)) + " " + passage + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(45)))
+                for k in range(n)]
+        found, tested = compared(spark, docs, rows, monkeypatch)
+        assert [r[3] for r in found] == [True] * n
+        pairs.append(tested)
+    assert pairs[1] <= 6 * max(pairs[0], 50)  # four times the texts; all pairs would be sixteen times
+
+
+def test_a_large_group_of_near_copies_is_compared_about_once_each(spark, docs, monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(300)]
+
+    def copy():
+        own = list(words)
+        for _ in range(2):
+            own[rng.randrange(300)] = f"x{rng.randrange(10**9)}"
+        return " ".join(own)
+
+    rows = [(k, copy()) for k in range(300)]
+    found, tested = compared(spark, docs, rows, monkeypatch)
+    assert {r[2] for r in found} == {0} and tested < 2 * len(rows)
