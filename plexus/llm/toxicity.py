@@ -4,7 +4,10 @@ The kernel of two words sums over their common subsequences of three
 characters, each weighted by decay to the power of the stretch it covers in
 either word, so letters put in or left out lower the similarity but don't end
 it.  Nyström's method turns it into features: kernel values against a few
-landmark words, whitened by the landmarks' own kernel matrix.  Training
+landmark words, whitened by the landmarks' own kernel matrix.  The machine is
+linear in the subsequences, so its landmarks and weights fold into one weight
+per subsequence of three characters, and a word is scored by its own
+subsequences without a kernel value per landmark.  Training
 follows the multiple-instance scheme: sentences carry their document's label,
 a sentence is represented by its most suspicious word, and of a toxic document
 only the most suspicious sentence counts; machine and choice are refined in
@@ -15,6 +18,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +29,9 @@ from pyspark.sql import functions as F
 
 from plexus.llm import common
 
-DECAY, SPAN, TOP = 0.6, 24, 3
+DECAY, SPAN, SHORT, TOP = 0.6, 24, 4, 3
+FIRST, LAST = "\x02", "\x03"  # around words of one and two letters, which have no subsequence of three
+KEPT, LONGEST_KEPT = 200_000, 64  # words whose margins a worker keeps, and their length: some tens of megabytes
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‚‘’…¿¡"
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -81,6 +88,13 @@ def _subsequences(x: np.ndarray, y: np.ndarray, decay: float) -> np.ndarray:
     return total
 
 
+@lru_cache(maxsize=SPAN + 3)
+def triples(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places i < j < k within a word, and the decay of the stretch they cover."""
+    i, j, k = np.array(list(combinations(range(length), 3)), np.int64).reshape(-1, 3).T
+    return i, j, k, DECAY ** (k - i + 1.0)
+
+
 class Machine:
     """Landmarks, weights and calibration; ``margins`` scores words."""
 
@@ -90,8 +104,31 @@ class Machine:
         values, vectors = np.linalg.eigh(k.astype(float) + 1e-6 * np.eye(len(marks)))
         self.whiten = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
         self.weights, self.bias, self.curve = np.zeros(len(marks)), 0.0, np.zeros(TOP + 1)
+        self.letters = np.unique(np.array(list("".join(marks)), "<U1").view(np.uint32))
+        self.fold()
+
+    def fold(self) -> None:
+        """One weight per subsequence: ``rows`` gives the row of ``table`` for its
+        first two letters, the column is its third; row and column 0 are zero."""
         self.cache: dict[str, float] = {}
         self.chunk_cache: dict[str, float] = {}
+        share, size = self.whiten @ self.weights / np.sqrt(self.own_marks), len(self.letters) + 1
+        pairs, lasts, values = [], [], []
+        for mark, weight in zip(self.marks, share, strict=True):
+            x, (i, j, k, decay) = self.indexed([mark])[0], triples(len(mark))
+            pairs.append(x[i] * size + x[j])
+            lasts.append(x[k])
+            values.append(weight * decay)
+        used, row = np.unique(np.concatenate(pairs), return_inverse=True)
+        self.rows, self.table = np.zeros(size * size, np.int32), np.zeros((len(used) + 1, size))
+        self.rows[used] = np.arange(1, len(used) + 1)
+        np.add.at(self.table, (row + 1, np.concatenate(lasts)), np.concatenate(values))
+
+    def indexed(self, words: list[str]) -> np.ndarray:
+        """Words of one length as rows of letter numbers (0: in no landmark)."""
+        x = coded(words, len(words[0]))
+        at = np.minimum(np.searchsorted(self.letters, x), len(self.letters) - 1)
+        return np.where(self.letters[at] == x, at + 1, 0)
 
     def features(self, words: list[str], block: int = 512) -> np.ndarray:
         out = np.zeros((len(words), len(self.marks)))
@@ -103,6 +140,20 @@ class Machine:
             out[part] = (kernel(texts, self.marks) / scale) @ self.whiten
         return out
 
+    def values(self, words: list[str], most: int = 1 << 20) -> np.ndarray:
+        """Decision values, by the folded weights."""
+        out, lengths, size = np.zeros(len(words)), np.array(list(map(len, words))), len(self.letters) + 1
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            i, j, k, decay = triples(int(length))
+            block = max(1, most // len(decay))
+            for part in np.split(at, range(block, len(at), block)):
+                texts = [words[w] for w in part]
+                x = self.indexed(texts)
+                found = self.table[self.rows[x[:, i] * size + x[:, j]], x[:, k]] @ decay
+                out[part] = found / np.sqrt(np.maximum(own(texts), 1e-12)) + self.bias
+        return out
+
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> None:
         """Squared-hinge linear machine by Newton steps on the support vectors."""
         x1 = np.hstack([x, np.ones((len(x), 1))])
@@ -116,37 +167,33 @@ class Machine:
             done, w = np.allclose(new, w, atol=1e-7), new
             if done:
                 break
-        self.weights, self.bias, self.cache, self.chunk_cache = w[:-1], float(w[-1]), {}, {}
+        self.weights, self.bias = w[:-1], float(w[-1])
+        self.fold()
 
-    def margins(self, words: list[str], most: int = 400_000) -> np.ndarray:
+    def margins(self, words: list[str]) -> np.ndarray:
         """Decision value per word; values of seen words are kept (bounded)."""
         got = list(map(self.cache.get, words))
         new = [k for k, g in enumerate(got) if g is None]
         if new:
-            values = self.features([words[k] for k in new]) @ self.weights + self.bias
-            room = most - len(self.cache)
-            for k, v in zip(new, values.tolist(), strict=True):
+            for k, v in zip(new, self.values([words[k] for k in new]).tolist(), strict=True):
                 got[k] = v
-                if room > 0:
+                if len(self.cache) < KEPT:
                     self.cache[words[k]] = v
-                    room -= 1
         return np.array(got, float)
 
-    def chunk_margins(self, chunks: list[str], most: int = 400_000) -> np.ndarray:
+    def chunk_margins(self, chunks: list[str]) -> np.ndarray:
         """Largest decision value among each chunk's words (-inf without any);
-        those of seen chunks are kept (bounded)."""
+        those of seen short chunks are kept (bounded)."""
         got = list(map(self.chunk_cache.get, chunks))
         new = [k for k, g in enumerate(got) if g is None]
         if new:
             parts = [units(chunks[k]) for k in new]
             flat = list(dict.fromkeys(u for p in parts for u in p))
             by_unit = dict(zip(flat, self.margins(flat).tolist(), strict=True))
-            room = most - len(self.chunk_cache)
             for k, p in zip(new, parts, strict=True):
                 got[k] = max((by_unit[u] for u in p), default=-np.inf)
-                if room > 0:
+                if len(self.chunk_cache) < KEPT and len(chunks[k]) <= LONGEST_KEPT:
                     self.chunk_cache[chunks[k]] = got[k]
-                    room -= 1
         return np.array(got, float)
 
     def calibrate(self, tops: np.ndarray, y: np.ndarray) -> None:
@@ -185,9 +232,12 @@ def units(chunk: str) -> list[str]:
 
 
 def windows(word: str) -> list[str]:
-    if len(word) <= SPAN:
-        return [word] if len(word) >= 3 else []
-    return [word[k:k + SPAN] for k in range(0, len(word) - SPAN // 2, SPAN // 2)]
+    """A word of up to ``SPAN`` letters as it is (one and two letters between
+    edge marks); a longer one in overlapping windows of ``SPAN``, and in those
+    of ``SHORT`` letters at every place, for insults in unspaced text."""
+    if len(word) > SPAN:
+        return [word[k:k + SPAN] for k in range(0, len(word) - SPAN // 2, SPAN // 2)] + [word[k:k + SHORT] for k in range(len(word) - SHORT + 1)]
+    return [word] if len(word) >= 3 else [FIRST + word + LAST] if word else []
 
 
 def spelled(words: list[str]) -> list[str]:
@@ -209,8 +259,28 @@ def text_units(text: str) -> list[str]:
     return [u for w in words for u in units(w)] + spelled(words)
 
 
-def train(texts: list[str], labels: list[int], suspicious: int = 120, ordinary: int = 40, rounds: int = 2) -> Machine | None:
-    """A machine from labelled texts; None unless both labels occur."""
+def landmarks(candidates: list[str], most: int, apart: float = 0.8, block: int = 256) -> list[str]:
+    """The first ``most`` candidates that aren't alike (kernel under ``apart``)."""
+    marks: list[str] = []
+    for at in range(0, len(candidates), block):
+        part = candidates[at:at + block]
+        near = (kernel(part, marks) / np.sqrt(np.outer(own(part), own(marks)))).max(1) if marks else np.zeros(len(part))
+        some = [w for w, x in zip(part, near, strict=True) if x < apart]
+        alike = kernel(some, some) / np.sqrt(np.outer(own(some), own(some))) if some else None
+        taken: list[int] = []
+        for k in range(len(some)):
+            if len(marks) + len(taken) < most and (alike[k, taken] < apart).all():
+                taken.append(k)
+        marks += [some[k] for k in taken]
+        if len(marks) >= most:
+            break
+    return marks
+
+
+def train(texts: list[str], labels: list[int], suspicious: int = 120, ordinary: int = 40, rounds: int = 2, frequent: int = 2000) -> Machine | None:
+    """A machine from labelled texts; None unless both labels occur.  Landmarks:
+    the ``suspicious`` words that tell most of toxic texts, and ``ordinary``
+    ones spread over the ``frequent`` commonest of the others."""
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         return None
@@ -221,22 +291,17 @@ def train(texts: list[str], labels: list[int], suspicious: int = 120, ordinary:
             found.setdefault(w, [0, 0])[label] += 1
     p, n = int(y.sum()), int(len(y) - y.sum())
     odds = {w: np.log((b + 0.1) / (p + 0.1)) - np.log((a + 0.1) / (n + 0.1)) for w, (a, b) in found.items()}
-    telling = sorted((w for w, (a, b) in found.items() if b > 1 and odds[w] > 1 or b and p < 50 and odds[w] > 1),
-                     key=lambda w: (-found[w][1] * odds[w], w))
-    marks: list[str] = []
-    for w in telling[:2000]:
-        if len(marks) >= suspicious:
-            break
-        near = kernel([w], marks)[0] / np.sqrt(own([w]) * own(marks)) if marks else np.zeros(1)
-        if near.max(initial=0) < 0.8:
-            marks.append(w)
-    plain = sorted((w for w, (a, b) in found.items() if a and odds[w] < 0.3 and w not in marks), key=lambda w: (-found[w][0], w))
-    marks += plain[:: max(1, min(len(plain), 2000) // ordinary)][:ordinary]
+    telling = sorted((w for w, (a, b) in found.items() if b and odds[w] > 1), key=lambda w: (-found[w][1] * odds[w], w))
+    marks = landmarks(telling, suspicious)
+    taken = set(marks)
+    plain = sorted((w for w, (a, b) in found.items() if a and odds[w] < 0.3 and w not in taken), key=lambda w: (-found[w][0], w))
+    marks += plain[:: max(1, min(len(plain), frequent) // ordinary)][:ordinary]
+    if not marks:
+        return None
     machine = Machine(marks)
     # A word's first suspicion is its weight of evidence; then the machine's margin.
     suspicion = {w: found[w][1] * odds[w] if odds[w] > 0 else odds[w] for w in found}
-    names = {w: k for k, w in enumerate(found)}
-    seen = machine.features(list(names)).astype(np.float32)
+    names, seen = list(found), {}
     for _ in range(rounds + 1):
         witness, label = [], []
         for sentences, t in zip(docs, labels, strict=True):
@@ -255,13 +320,12 @@ def train(texts: list[str], labels: list[int], suspicious: int = 120, ordinary:
         ys = np.array([t for _, t in distinct], float)
         counts = np.sqrt(np.array(list(distinct.values()), float))
         weight = np.where(ys == 1, counts / counts[ys == 1].sum(), 3 * counts / max(1e-9, counts[ys == 0].sum())) * 1000
-        made = list(dict.fromkeys(w for w, _ in distinct if w not in names))
-        place = {w: len(names) + k for k, w in enumerate(made)}
-        x = np.vstack([seen, machine.features(made)])[[names.get(w, place.get(w)) for w, _ in distinct]]
-        machine.fit(x.astype(float), ys, weight)
-        suspicion = dict(zip(names, (seen @ machine.weights + machine.bias).tolist(), strict=True))
-    machine.calibrate(np.array([top_margins([suspicion[w] for s in d for w in s]) for d in docs]), y.astype(float))
-    machine.cache, machine.chunk_cache = {}, {}
+        new = list(dict.fromkeys(w for w, _ in distinct if w not in seen))
+        seen |= dict(zip(new, machine.features(new).astype(np.float32), strict=True))
+        machine.fit(np.array([seen[w] for w, _ in distinct], float), ys, weight)
+        suspicion = dict(zip(names, machine.values(names).tolist(), strict=True))
+    machine.calibrate(_tops(machine, pa.array(texts, pa.large_string()))[0], y.astype(float))
+    machine.fold()  # without the words kept on the way
     return machine
 
 
@@ -270,12 +334,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = 1000, m
     """A bounded sample of labelled texts: of each label the ``per_label``
     documents (of at most ``most_chars`` characters) with the least hash.  Only
     labels whose crc32(id as text) mod 4 is not 2 are read; of rows that share
-    an id the larger label counts."""
+    an id the larger label counts, a repeated row counts once.  The choice is
+    made from ids, hashes and lengths; texts of the chosen alone are moved."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         "toxic is not null and crc32(cast(doc_id as string)) % 4 != 2").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = common.id_and_text(docs, id_col, text_col).filter(F.length("text").between(1, most_chars)).join(known, "doc_id")
-    parts = [rows.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(per_label) for k in (0, 1)]
-    return parts[0].union(parts[1]).select("text", "toxic")
+    rows = common.id_and_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
+    names = rows.filter(F.length("text").between(1, most_chars)).select("doc_id", "h").join(known, "doc_id").distinct()
+    parts = [names.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "h").limit(per_label) for k in (0, 1)]
+    chosen = common.stored(parts[0].union(parts[1]), "training-sample")  # 2 x per_label rows at most
+    texts = rows.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
+    return texts.orderBy("doc_id", "h").select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, **options) -> Machine | None:
@@ -306,16 +374,19 @@ def _tops(machine: Machine, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score(docs: DataFrame, machine: Machine | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity`` (0 to 1).  Texts without words score 0, and so
-    do all without a machine.  Rows are scored one by one, each whole."""
+    """``docs`` with ``toxicity`` (0 to 1), which replaces a column of that name.
+
+    Texts without words score 0, and so do all without a machine; rows are
+    scored one by one, each whole, however long.  An empty table stays empty."""
+    docs = docs.select(*[c for c in docs.columns if c != "toxicity"])
     if machine is None:
         return docs.withColumn("toxicity", F.lit(0.0))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(machine)  # landmarks and weights: a few kilobytes
+    shared = spark.sparkContext.broadcast(machine)  # landmarks and folded weights: a few megabytes
     schema = docs.withColumn("toxicity", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, text_col, 8 << 20, 20000):
+        for batch in common.slices(batches, text_col, 4 << 20, 20000):
             tops, words = _tops(shared.value, batch.column(text_col))
             p = np.where(words, shared.value.probability(tops), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "toxicity"])
