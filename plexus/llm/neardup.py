@@ -13,9 +13,10 @@ class and component it isn't in yet, then those that are left.  What lies in
 one component is not compared again.  Members of one bucket that are still in
 different components (texts with a common passage, mostly) are compared only
 if they share a shingle of their prefixes: a class's shingles are ordered by
-how many of these members hold them, rarest first, and two sets that reach the
-threshold t must share one of the first n - ceil(t n) + 1.  A class whose
-prefix is its own text alone meets nobody."""
+how many of these members hold them, rarest first; two sets that reach the
+threshold t share t / (1 + t) of their sizes' sum, so the first shingle they
+share must leave that many places behind it in both.  A class whose first
+places are its own text alone meets nobody."""
 
 from __future__ import annotations
 
@@ -163,21 +164,24 @@ def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
 
 def prefix_pairs(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of ``members`` (cid, n, root) in different components that
-    share a shingle of both prefixes and whose sizes allow the threshold: every
-    pair that reaches it is among them."""
+    share a shingle early enough in both orders: every pair that reaches the
+    threshold is among them."""
     shingles = common.stored(shingle_rows(texts.join(members.select("cid"), "cid", "left_semi"), width), "member-shingles")
     counts = common.stored(shingles.groupBy("s").agg(F.count("*").alias("c"), F.max("cid").alias("own")), "shingle-counts")
     alone = counts.filter("c = 1").groupBy(F.col("own").alias("cid")).agg(F.count("*").alias("alone"))
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1  # a share more would do no harm
-    meet = members.join(alone, "cid", "left").withColumn("rest", prefix - F.coalesce("alone", F.lit(0))).filter("rest > 0")
-    meet = common.stored(meet.select("cid", "n", "root", "rest"), "meeting-members")
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
+    meet = members.join(alone.withColumn("alone", F.col("alone").cast("long")), "cid", "left").na.fill({"alone": 0}).withColumn("prefix", prefix)
+    meet = common.stored(meet.filter("alone < prefix"), "meeting-members")
     shared = shingles.join(meet, "cid").join(counts.filter("c > 1").select("s", "c"), "s")
     rarest = Window.partitionBy("cid").orderBy("c", "s")
-    first = shared.withColumn("place", F.row_number().over(rarest)).filter("place <= rest").select("cid", "n", "root", "s")
-    first = common.stored(first, "prefixes")
-    x, y = first.alias("x"), first.alias("y")
-    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root"))
-                 & close(F.col("x.n"), F.col("y.n"), percent))
+    first = shared.withColumn("place", F.col("alone") + F.row_number().over(rarest)).filter("place <= prefix")
+    first = common.stored(first.select("cid", "n", "root", "s", (F.col("n") - F.col("place") + 1).alias("left")), "prefixes")
+    # From the first common shingle on, both sets must hold all they have in common: t / (1 + t) of both sizes.
+    enough = lambda sizes, left: sizes * percent <= left * (100 + percent)
+    x, y = first.filter(enough(2 * F.col("n"), F.col("left"))).alias("x"), first.alias("y")  # x is the smaller set
+    order = F.struct("x.n", "x.cid") < F.struct("y.n", "y.cid")
+    sizes = F.col("x.n") + F.col("y.n")
+    met = x.join(y, (F.col("x.s") == F.col("y.s")) & order & (F.col("x.root") != F.col("y.root")) & enough(sizes, F.col("x.left")) & enough(sizes, F.col("y.left")))
     return met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
 
 
