@@ -54,15 +54,20 @@ def poisson(rate: Column, u: Column) -> Column:
 
 def replicate(docs: DataFrame, weights: DataFrame | None = None, seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
               text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with ``copy`` (from 0) for every repetition, in random order over
-    the whole output.  Rows with one id and text are repeated equally often;
-    null ids and texts take part; an empty table gives no rows."""
-    table = rates(docs, weights, source_col=source_col, text_col=text_col, **options).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
+    """``docs`` with ``copy`` (from 0, in place of a column of that name) for
+    every repetition, in random order over the whole output.  Rows with one id
+    and text are repeated equally often; null ids and texts take part; other
+    columns keep their names and values, whatever they are; an empty table
+    gives no rows."""
+    table = rates(docs, weights, source_col=source_col, text_col=text_col, **options).select(F.col("source").alias("of"), "rate")
     if table.count() <= MOST_BROADCAST:
         table = F.broadcast(table)
-    joined = docs.join(table, F.col(source_col).eqNullSafe(F.col("_source")))
-    n = poisson(F.col("_rate"), uniform(seed, F.col(id_col), F.xxhash64(text_col)))
-    copies = joined.withColumn("_n", n).filter("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    place = F.xxhash64(F.lit(seed + 1), F.col(id_col), F.xxhash64(text_col), F.col("copy"))
-    mixed = copies.withColumn("_place", place).repartitionByRange("_place").sortWithinPartitions("_place")
-    return mixed.select(*docs.columns, "copy")
+    key = F.xxhash64(F.col(id_col), F.xxhash64(text_col))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "copy"]).alias("row"), F.col(source_col).alias("source"),
+                       uniform(seed, F.col(id_col), F.xxhash64(text_col)).alias("u"), key.alias("key"))
+    joined = rows.join(table, F.col("source").eqNullSafe(F.col("of")))
+    copies = joined.withColumn("n", poisson(F.col("rate"), F.col("u"))).filter("n > 0").select(
+        "row", "key", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    place = F.xxhash64(F.lit(seed + 1), F.col("key"), F.col("copy"))
+    mixed = copies.withColumn("place", place).repartitionByRange("place").sortWithinPartitions("place")
+    return mixed.select("row.*", "copy")

@@ -142,10 +142,10 @@ def battery(s: Column) -> Column:
                                          (0.5 - F.atan(score(tests(m))) / F.pi()).alias("p")))
 
 
-def with_findings(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def with_findings(docs: DataFrame, text: Column) -> DataFrame:
     """``docs`` with ``_base`` (base spans) and ``_runs`` (other candidates with
     their battery), which overlap no base span."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(text, F.lit(""))
     found = docs.withColumn("_base", base_spans(text)).withColumn("_cand", spans_of(text, RUN))
     free = F.filter("_cand", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
     runs = F.transform(free, lambda c: F.struct(c["start"], c["stop"], battery(c["found"]).alias("test")))
@@ -199,7 +199,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     Null text is empty and has no spans; repeated rows are scanned each; the
     found spans (not the texts) are written once and read for the counts of the
     battery and for the result."""
-    found = common.stored(with_findings(common.id_and_text(docs, id_col, text_col)).drop("text"), "secret-spans")
+    found = common.stored(with_findings(common.id_and_text(docs, id_col, text_col), F.col("text")).drop("text"), "secret-spans")
     n = lambda k: F.size(F.filter("_base", lambda x: x["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
     return all_spans(found, rate).select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed(F.col("_base")), 256).alias("base_sha256"),
                                          listed(F.col("_spans")).alias("spans"))
@@ -207,17 +207,19 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]", rate: float = 0.1) -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by ``mark``; overlapping
-    spans are replaced together.  All rows and columns stay."""
-    found = all_spans(common.stored(with_findings(docs, text_col), "secret-spans"), rate)
+    spans are replaced together.  All rows and columns stay, whatever the names
+    of the others; a null text stays null; an empty table stays empty."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    text = F.col("row")[text_col]
+    found = all_spans(common.stored(with_findings(rows, text), "secret-spans"), rate)
     empty = F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")
     joined = F.aggregate("_spans", empty, lambda s, x: F.when(
         (F.size(s) > 0) & (F.element_at(s, -1)["stop"] > x["start"]),
         F.concat(F.slice(s, F.lit(1), F.size(s) - 1), F.array(F.struct(F.element_at(s, -1)["start"].alias("start"),
                                                                         F.greatest(F.element_at(s, -1)["stop"], x["stop"]).alias("stop")))))
         .otherwise(F.concat(s, F.array(F.struct(x["start"].alias("start"), x["stop"].alias("stop"))))))
-    text = F.col(text_col)
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("_joined", lambda x: x["stop"]))
     stops = F.concat(F.transform("_joined", lambda x: x["start"]), F.array(F.length(text).cast("long")))
     kept = F.zip_with(starts, stops, lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int")))
-    out = found.withColumn("_joined", joined).withColumn(text_col, F.when(F.size("_joined") > 0, F.array_join(kept, mark)).otherwise(text))
-    return out.select(*docs.columns)
+    clean = F.when(F.size("_joined") > 0, F.array_join(kept, mark)).otherwise(text)
+    return found.withColumn("_joined", joined).select(F.col("row").withField(f"`{text_col}`", clean).alias("row")).select("row.*")

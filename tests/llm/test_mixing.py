@@ -1,5 +1,6 @@
 """Poisson replication: the distribution, target shares, determinism."""
 
+import math
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ def test_poisson_inversion(spark):
         mean = sum(got) / len(got)
         spread = sum((x - mean) ** 2 for x in got) / len(got)
         assert abs(mean - rate) < 5 * (rate / 20000) ** 0.5 + 1e-9 and abs(spread - rate) < 0.06 * rate + 1e-9
-    import math
     def inverse(u, rate):
         k, p = 0, math.exp(-rate)
         c = p
@@ -47,3 +47,27 @@ def test_registered_query(spark):
     got = op8_source_mixing(spark, SF_SMALL).collect()
     copies = Counter(r.doc_id for r in got)
     assert all(docs[r.doc_id].text == r.text and r.copy < copies[r.doc_id] for r in got) and len(copies) > 20
+    # every document by itself: rate from its source's characters, copies from its own uniform number
+    size = Counter()
+    for r in docs.values():
+        size[r.source] += len(r.text or "")
+    root = sum(x ** 0.5 for x in size.values())
+    rate = {k: sum(size.values()) * x ** 0.5 / root / x for k, x in size.items()}
+    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    numbers = {r.doc_id: r.u for r in table.select("doc_id", mixing.uniform(17, F.col("doc_id"), F.xxhash64("text")).alias("u")).collect()}
+    for i, r in docs.items():
+        k, upto, term = 0, math.exp(-rate[r.source]), math.exp(-rate[r.source])
+        while upto < numbers[i]:
+            k += 1
+            term *= rate[r.source] / k
+            upto += term
+        assert copies[i] == k
+
+
+def test_any_column_names(spark):
+    names = ["_source", "_rate", "row", "key", "of", "u", "n", "place", "copy", "_n", "_place", "rate"]
+    rows = [(i, "text " * 5, "a", *range(len(names))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    got = mixing.replicate(docs, epochs=3.0).collect()
+    assert got and got[0].__fields__ == [c for c in docs.columns if c != "copy"] + ["copy"]
+    assert all(r._source == 0 and r._place == 10 and r.row == 2 and r.text == "text " * 5 for r in got) and max(r["copy"] for r in got) > 1

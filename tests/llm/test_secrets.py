@@ -80,3 +80,12 @@ def test_redaction(spark, docs):
 def test_registered_query(spark):
     rows = duckdb.execute(f"SELECT doc_id, text FROM '{SF_SMALL}/documents.parquet'").fetchall()
     assert sorted(tuple(r)[:5] for r in op4_secret_scans(spark, SF_SMALL).collect()) == sorted(want(*r) for r in rows)
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["_base", "_runs", "_spans", "_joined", "_cand", "row", "text"]
+    rows = [(k, "password=abcdef0123456789", *range(len(names))) for k in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, body string, " + ", ".join(f"`{n}` int" for n in names))
+    got = secrets.redact(table, "body").collect()
+    assert [r.__fields__ for r in got] == [table.columns] * 3 and all(tuple(r)[1:] == ("[secret]", *range(len(names))) for r in got)
+    assert secrets.redact(table.limit(0), "body").collect() == []
