@@ -64,7 +64,7 @@ def document_sets(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
     hash of the set; null for an empty set), signature."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "text", 8 << 20):
+        for batch in common.slices(batches, "text", 2 << 20):
             found, starts = shingle_sets(batch.column("text"), width)
             counts = np.diff(starts)
             full = counts > 0

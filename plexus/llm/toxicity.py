@@ -31,7 +31,7 @@ from plexus.llm import common
 
 DECAY, SPAN, SHORT, TOP = 0.6, 24, 4, 3
 FIRST, LAST = "\x02", "\x03"  # around words of one and two letters, which have no subsequence of three
-KEPT, LONGEST_KEPT = 200_000, 64  # words whose margins a worker keeps, and their length: some tens of megabytes
+KEPT, LONGEST_KEPT = 50_000, 32  # words whose margins a worker keeps, and their length: some ten megabytes
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‚‘’…¿¡"
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -140,7 +140,7 @@ class Machine:
             out[part] = (kernel(texts, self.marks) / scale) @ self.whiten
         return out
 
-    def values(self, words: list[str], most: int = 1 << 20) -> np.ndarray:
+    def values(self, words: list[str], most: int = 1 << 18) -> np.ndarray:
         """Decision values, by the folded weights."""
         out, lengths, size = np.zeros(len(words)), np.array(list(map(len, words))), len(self.letters) + 1
         for length in np.unique(lengths):
@@ -177,7 +177,7 @@ class Machine:
         if new:
             for k, v in zip(new, self.values([words[k] for k in new]).tolist(), strict=True):
                 got[k] = v
-                if len(self.cache) < KEPT:
+                if len(self.cache) < KEPT and len(words[k]) <= SPAN:
                     self.cache[words[k]] = v
         return np.array(got, float)
 
@@ -386,7 +386,7 @@ def score(docs: DataFrame, machine: Machine | None, text_col: str = "text") -> D
     schema = docs.withColumn("toxicity", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, text_col, 4 << 20, 20000):
+        for batch in common.slices(batches, text_col, 2 << 20, 20000):
             tops, words = _tops(shared.value, batch.column(text_col))
             p = np.where(words, shared.value.probability(tops), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "toxicity"])
