@@ -138,9 +138,9 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, end_id: int | None) -> Encoder:
-    """One encoder per worker process and tokenizer file."""
-    key = (path, end_id)
+def encoder(path: str, end_id: int | None, most: int = 400_000) -> Encoder:
+    """One encoder per worker process and tokenizer file; ``most`` words are kept."""
+    key = (path, end_id, most)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, end_id)
+        _encoders[key] = Encoder(path, end_id, most)
     return _encoders[key]

@@ -33,9 +33,9 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
     pieces of one length within one task; null text is empty (the end id alone)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(tokenizer, end_id).encode, TaskContext.get().partitionId()
+        encode, task = encoder(tokenizer, end_id, 250_000).encode, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in common.slices(batches, "text", 12 << 20, 20000):
+        for batch in common.slices(batches, "text", 4 << 20, 20000):
             flat, counts = encode(batch.column("text"))
             flat = flat.astype("<u4")
             n = -(-counts // capacity)
