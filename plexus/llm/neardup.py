@@ -7,10 +7,9 @@ batches, and the pair is given up as soon as the posterior probability that
 its similarity reaches the threshold falls below a chosen miss probability;
 survivors are compared on their full shingle sets.
 
-Pairs within a band bucket are not all formed.  First every member is compared
-with a bucket's least member, in rounds: one such pair per class, then one per
-class and component it isn't in yet, then those that are left.  What lies in
-one component is not compared again.  Members of one bucket that are still in
+Pairs within a band bucket are not all formed.  First members are compared with
+their buckets' least members, in a few rounds of one pair per class.  What lies
+in one component is not compared again.  Members of one bucket that are still in
 different components (texts with a common passage, mostly) are compared only
 if they share a shingle of their prefixes: a class's shingles are ordered by
 how many of these members hold them, rarest first; two sets that reach the
@@ -37,6 +36,7 @@ from plexus.llm.shingles import shingle_sets
 ROWS, BANDS, BATCH = 4, 32, 16  # a pair of similarity 0.8 misses all bands with probability 5e-8
 HASHES = ROWS * BANDS
 MISS = 1e-7
+STARS = 5  # rounds of comparisons with a bucket's least member
 SALTS = 32  # tasks that the classes of one large component are spread over
 
 
@@ -245,23 +245,21 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, id
 
 def _star_links(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links among the pairs (bucket's least member a, member b) and the
-    components they make.  Each round compares one pair per class and component,
-    the last one all that are left in different components."""
+    components they make.  Each round compares one pair per class whose ends lie
+    in different components; what is left then is for ``prefix_pairs``."""
     left, found, roots = stars, None, None
-    for last in (False, False, True):
-        if roots is None:
-            picked = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        else:
+    for _ in range(STARS):
+        if roots is not None:
             known = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-            left = left.join(known[0], "a", "left").join(known[1], "b", "left").select(
-                "a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"))
-            left = left.filter("root_a != root_b")
-            picked = left.select("a", "b") if last else left.groupBy("b", "root_a").agg(F.min("a").alias("a")).select("a", "b")
-        picked = common.stored(picked, "star-pairs")
+            left = left.join(known[0], "a", "left").join(known[1], "b", "left").filter(
+                F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+        picked = common.stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "star-pairs")
         new = _links(picked, classes, texts, width, percent)
         found = new if found is None else found.union(new)
         roots = common.stored(components(found), "star-roots")
-        left = left.select("a", "b").join(picked, ["a", "b"], "left_anti")
+        left = common.stored(left.join(picked, ["a", "b"], "left_anti"), "star-rest")
+        if left.isEmpty():
+            break
     return found, roots
 
 
