@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.session import ensure_checkpoint_dir
@@ -344,42 +344,116 @@ def first_friend_requests(friends: DataFrame) -> DataFrame:
                         F.col("followerID").alias("viewer"), "friend")
 
 
-def expand_network(accounts: DataFrame, friends: DataFrame, requests: DataFrame):
+def oldest_friend_clicks(friends: DataFrame, steps: int) -> DataFrame:
+    """(request_id, step, viewer, friend): every user expands the oldest
+    friendship first, then the next, up to ``steps`` (ties by id)."""
+    w = Window.partitionBy("followerID").orderBy("ts", "followedID")
+    f = friends.select("followerID", "followedID", F.row_number().over(w).alias("step")).where(F.col("step") <= steps)
+    return f.select(F.col("followerID").alias("request_id"), "step",
+                    F.col("followerID").alias("viewer"), F.col("followedID").alias("friend"))
+
+
+def first_screen(friends: DataFrame, requests: DataFrame) -> DataFrame:
+    """(request_id, id): what a request shows at first, the viewer and their friends."""
+    r = requests.select("request_id", "viewer").distinct()
+    theirs = r.join(friends.select(F.col("followerID").alias("viewer"), F.col("followedID").alias("id")), "viewer")
+    return r.select("request_id", F.col("viewer").alias("id")).unionByName(theirs.select("request_id", "id"))
+
+
+def _candidates(accounts: DataFrame, friends: DataFrame, requests: DataFrame) -> DataFrame:
+    """(request_id, viewer, friend, id, label): the friends of ``friend`` with
+    the viewer's affiliation.  Joined on (friend, affiliation), so that a hub's
+    friends of other affiliations are never laid out for its viewers."""
+    acc = accounts.select("userID", "firstName", "lastName", "affiliation")
+    req = requests.select("request_id", "viewer", "friend").join(
+        acc.select(F.col("userID").alias("viewer"), "affiliation"), "viewer")
+    known = friends.select(F.col("followerID").alias("friend"), F.col("followedID").alias("id")).join(
+        acc.select(F.col("userID").alias("id"), "affiliation", _label().alias("label")), "id")
+    return req.join(known, ["friend", "affiliation"]).select("request_id", "viewer", "friend", "id", "label")
+
+
+def _edges_to_shown(new: DataFrame, shown: DataFrame, f: DataFrame) -> DataFrame:
+    """(request_id, src, dst): shown node -> new node wherever the new node
+    lists the shown one as a friend, ``friend`` itself left out.
+
+    A row expands the smaller of the new node's friends and the request's
+    shown nodes and looks each up in the other by an equi-join, so the work is
+    the sum of the smaller sides, however large a screen or a hub is."""
+    deg = _degrees(f).withColumnRenamed("u", "id")
+    sizes = shown.groupBy("request_id").agg(F.count("*").alias("n_shown"))
+    rows = (new.select("request_id", "friend", "id").join(deg, "id").join(sizes, "request_id"))
+    few_friends = F.col("deg") <= F.col("n_shown")
+    adjacent = f.select(F.col("followerID").alias("id"), F.col("followedID").alias("x"))
+    on_screen = shown.select("request_id", F.col("id").alias("x"))
+    a = rows.where(few_friends).join(adjacent, "id").join(on_screen, ["request_id", "x"], "left_semi")
+    b = rows.where(~few_friends).join(on_screen, "request_id").join(adjacent, ["id", "x"], "left_semi")
+    both = a.select("request_id", "friend", "id", "x").unionByName(b.select("request_id", "friend", "id", "x"))
+    return both.where(F.col("x") != F.col("friend")).select("request_id", F.col("x").alias("src"), F.col("id").alias("dst"))
+
+
+def expand_network(accounts: DataFrame, friends: DataFrame, requests: DataFrame, existing: DataFrame | None = None):
     """G12: "show more friends" for many requests at once.
 
-    ``requests(request_id, viewer, friend)``; the graph on screen is the
-    viewer's ego network (the viewer and their friends).  New nodes are
-    friends of ``friend`` not on screen that share the viewer's affiliation;
-    edges go friend -> new, and shown node -> new for every shown node other
-    than ``friend`` that the new node is friends with.  Membership in the
-    shown set is an equi-join on (viewer, id), never a materialized list.
+    ``requests(request_id, viewer, friend)``, one row per request; the nodes on
+    screen are those of ``existing(request_id, id)``, or, without it, the
+    viewer's ego network (the viewer and their friends).  New nodes are friends
+    of ``friend`` not on screen that share the viewer's affiliation; edges go
+    friend -> new, and shown node -> new for every shown node other than
+    ``friend`` that the new node is friends with.  Membership in the shown set
+    is an equi-join, never a materialized list per request.  Repeated rows of
+    ``existing`` count once; a request without any has an empty screen, on
+    which the viewer is new too where the friend lists them.
     Returns (nodes(request_id, id, label), edges(request_id, src, dst)).
     """
-    acc = accounts.select("userID", "firstName", "lastName", "affiliation")
     f = friends.select("followerID", "followedID")
-    req = (requests.select("request_id", "viewer", "friend")
-           .join(acc.select(F.col("userID").alias("viewer"), F.col("affiliation").alias("v_aff")), "viewer"))
-    cand = (req.join(f.withColumnRenamed("followerID", "friend"), "friend")
-            .select("request_id", "viewer", "friend", "v_aff", F.col("followedID").alias("id"))
-            .where(F.col("id") != F.col("viewer")))
-    cand = cand.join(f.select(F.col("followerID").alias("viewer"), F.col("followedID").alias("id")),
-                     ["viewer", "id"], "left_anti")
-    new = (cand.join(acc.withColumnRenamed("userID", "id"), "id")
-           .where(F.col("affiliation") == F.col("v_aff"))
-           .select("request_id", "viewer", "friend", "id", _label().alias("label")))
+    cand = _candidates(accounts, f, requests)
+    if existing is not None:
+        shown = existing.select("request_id", "id").distinct()
+        new = cand.join(shown, ["request_id", "id"], "left_anti")
+        links = _edges_to_shown(new, shown, f)
+    else:
+        cand = cand.where(F.col("id") != F.col("viewer"))
+        new = cand.join(f.select(F.col("followerID").alias("viewer"), F.col("followedID").alias("id")),
+                        ["viewer", "id"], "left_anti")
+        # shown friends of the viewer that are also friends of the new node
+        both = common_neighbours(new.select("request_id", "friend", F.col("id").alias("a"),
+                                            F.col("viewer").alias("b")), f, ["request_id", "friend"])
+        of_friends = both.where(F.col("x") != F.col("friend")).select(
+            "request_id", F.col("x").alias("src"), F.col("a").alias("dst"))
+        # the viewer itself, when the new node lists the viewer as a friend
+        of_viewer = (new.join(f.select(F.col("followerID").alias("id"), F.col("followedID").alias("viewer")),
+                              ["id", "viewer"], "left_semi")
+                     .where(F.col("viewer") != F.col("friend"))
+                     .select("request_id", F.col("viewer").alias("src"), F.col("id").alias("dst")))
+        links = of_friends.unionByName(of_viewer)
     nodes = new.select("request_id", "id", "label")
-    e1 = new.select("request_id", F.col("friend").alias("src"), F.col("id").alias("dst"))
-    # shown friends of the viewer that are also friends of the new node
-    both = common_neighbours(new.select("request_id", "friend", F.col("id").alias("a"),
-                                        F.col("viewer").alias("b")), f, ["request_id", "friend"])
-    e2 = both.where(F.col("x") != F.col("friend")).select("request_id", F.col("x").alias("src"),
-                                                          F.col("a").alias("dst"))
-    # the viewer itself, when the new node lists the viewer as a friend
-    e3 = (new.join(f.select(F.col("followerID").alias("id"), F.col("followedID").alias("viewer")),
-                   ["id", "viewer"], "left_semi")
-          .where(F.col("viewer") != F.col("friend"))
-          .select("request_id", F.col("viewer").alias("src"), F.col("id").alias("dst")))
-    return nodes, e1.unionByName(e2).unionByName(e3)
+    first = new.select("request_id", F.col("friend").alias("src"), F.col("id").alias("dst"))
+    return nodes, first.unionByName(links)
+
+
+def expand_network_steps(accounts: DataFrame, friends: DataFrame, clicks: DataFrame, steps: int,
+                         existing: DataFrame | None = None):
+    """G12 again and again: ``clicks(request_id, step, viewer, friend)`` are
+    applied in the order of ``step`` (1 to ``steps``, one click per request and
+    step); what a step adds is on screen for those after it.  The screen starts
+    as ``existing(request_id, id)``, or as the viewer's ego network, and grows
+    as rows.  Each step's new nodes are checkpointed: edges and later steps read
+    them, and a lost executor costs one step.
+    Returns (nodes(request_id, step, id, label), edges(request_id, step, src, dst)).
+    """
+    ensure_checkpoint_dir(friends.sparkSession)
+    shown = (first_screen(friends, clicks) if existing is None else existing.select("request_id", "id"))
+    shown = shown.distinct().checkpoint(eager=True)
+    nodes = edges = None
+    for step in range(1, steps + 1):
+        now = clicks.where(F.col("step") == step).select("request_id", "viewer", "friend")
+        more, links = expand_network(accounts, friends, now, shown)
+        more = more.checkpoint(eager=True)
+        more_s, links_s = more.withColumn("step", F.lit(step)), links.withColumn("step", F.lit(step))
+        nodes = more_s if nodes is None else nodes.unionByName(more_s)
+        edges = links_s if edges is None else edges.unionByName(links_s)
+        shown = shown.unionByName(more.select("request_id", "id"))
+    return nodes.select("request_id", "step", "id", "label"), edges.select("request_id", "step", "src", "dst")
 
 
 def friend_counts(friends: DataFrame) -> DataFrame:

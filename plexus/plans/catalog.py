@@ -182,6 +182,49 @@ def q_expand_edges(spark, sf):
     return G.expand_network(b.accounts, b.friends, G.first_friend_requests(b.friends))[1]
 
 
+EXPAND_STEPS = 3
+
+
+def _expand_steps_sql() -> str:
+    """One set of CTEs per step: the screen before it, its new nodes, its edges."""
+    out = with_views("accounts", "friends") + """,
+clicks AS (SELECT * FROM (SELECT followerID AS request_id, followedID AS friend,
+    row_number() OVER (PARTITION BY followerID ORDER BY ts, followedID) AS step FROM friends) WHERE step <= %d),
+shown1 AS (SELECT DISTINCT followerID AS request_id, followerID AS id FROM friends
+           UNION SELECT followerID, followedID FROM friends)""" % EXPAND_STEPS
+    for i in range(1, EXPAND_STEPS + 1):
+        out += f""",
+new{i} AS (SELECT c.request_id, c.friend, a.userID AS id, a.firstName || ' ' || a.lastName AS label
+  FROM clicks c JOIN friends f ON f.followerID = c.friend JOIN accounts a ON a.userID = f.followedID
+  JOIN accounts v ON v.userID = c.request_id AND v.affiliation = a.affiliation
+  WHERE c.step = {i} AND NOT EXISTS (SELECT 1 FROM shown{i} s WHERE s.request_id = c.request_id AND s.id = a.userID)),
+link{i} AS (SELECT request_id, friend AS src, id AS dst FROM new{i}
+  UNION ALL SELECT n.request_id, s.id, n.id FROM new{i} n JOIN shown{i} s ON s.request_id = n.request_id AND s.id <> n.friend
+  JOIN friends t ON t.followerID = n.id AND t.followedID = s.id),
+shown{i + 1} AS (SELECT * FROM shown{i} UNION SELECT request_id, id FROM new{i})"""
+    return out
+
+
+def _per_step(columns: str, name: str) -> str:
+    return " UNION ALL ".join(f"SELECT request_id, CAST({i} AS INTEGER) AS step, {columns} FROM {name}{i}"
+                              for i in range(1, EXPAND_STEPS + 1))
+
+
+def _expand_steps(spark, sf):
+    b = Bindings(spark, sf)
+    return G.expand_network_steps(b.accounts, b.friends, G.oldest_friend_clicks(b.friends, EXPAND_STEPS), EXPAND_STEPS)
+
+
+@register("expand_steps_nodes", _expand_steps_sql() + "\n" + _per_step("id, label", "new"))
+def q_expand_steps_nodes(spark, sf):
+    return _expand_steps(spark, sf)[0]
+
+
+@register("expand_steps_edges", _expand_steps_sql() + "\n" + _per_step("src, dst", "link"))
+def q_expand_steps_edges(spark, sf):
+    return _expand_steps(spark, sf)[1]
+
+
 @register("friend_counts", with_views("friends") +
           "SELECT followerID AS userID, count(*) AS n_friends FROM friends GROUP BY followerID")
 def q_friend_counts(spark, sf):

@@ -2,6 +2,8 @@
 re-derived by hand from the rank rules), the decision rules D4-D9, and
 properties on the driver tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,6 +140,69 @@ def test_expand_network_small(spark):
     assert sorted((r.src, r.dst) for r in edges.collect()) == [(2, 3), (5, 3)]
 
 
+def plain_expansion(accounts, friends, screen, viewer, friend):
+    """One click by loops: (new nodes, edges)."""
+    aff = {a[0]: a[3] for a in accounts}
+    new = sorted({b for a, b in friends if a == friend and b not in screen and aff.get(b) == aff[viewer]})
+    edges = [(friend, n) for n in new]
+    edges += [(x, n) for n in new for x in sorted(screen) if x != friend and (n, x) in friends]
+    return new, sorted(edges)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeated_expansion_equals_loops(spark, seed):
+    rng = random.Random(seed)
+    accounts = [(i, f"F{i}", f"L{i}", rng.choice("XY")) for i in range(30)]
+    friends = set()
+    for _ in range(70):
+        a, b = rng.sample(range(30), 2)
+        friends |= {(a, b), (b, a)}
+    friends |= {(0, i) for i in range(1, 25)} | {(i, 0) for i in range(1, 25)}     # a hub
+    clicks = [(r, s, r % 30, rng.randrange(30)) for r in range(12) for s in (1, 2, 3)]
+    acc = spark.createDataFrame(accounts, "userID bigint, firstName string, lastName string, affiliation string")
+    fr = spark.createDataFrame(sorted(friends), "followerID bigint, followedID bigint")
+    cl = spark.createDataFrame(clicks, "request_id bigint, step int, viewer bigint, friend bigint")
+    nodes, edges = G.expand_network_steps(acc, fr, cl, 3)
+    got_n = sorted((r.request_id, r.step, r.id) for r in nodes.collect())
+    got_e = sorted((r.request_id, r.step, r.src, r.dst) for r in edges.collect())
+    want_n, want_e = [], []
+    for r in range(12):
+        screen = {r} | {b for a, b in friends if a == r}
+        for _, s, viewer, friend in [c for c in clicks if c[0] == r]:
+            new, links = plain_expansion(accounts, friends, screen, viewer, friend)
+            want_n += [(r, s, n) for n in new]
+            want_e += [(r, s, *e) for e in links]
+            screen |= set(new)
+    assert got_n == sorted(want_n) and got_e == sorted(want_e)
+
+
+def test_expansion_with_given_screen(spark):
+    acc = spark.createDataFrame([(i, "F", str(i), "X" if i != 4 else "Y") for i in range(1, 7)],
+                                "userID bigint, firstName string, lastName string, affiliation string")
+    pairs = [(1, 2), (2, 3), (2, 4), (2, 5), (3, 6), (5, 6)]
+    fr = spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "followerID bigint, followedID bigint")
+    req = spark.createDataFrame([(0, 1, 2), (1, 1, 2)], "request_id int, viewer bigint, friend bigint")
+    shown = spark.createDataFrame([(0, 1), (0, 2), (0, 6), (0, 6)], "request_id int, id bigint")
+    nodes, edges = G.expand_network(acc, fr, req, shown)
+    # 4 has another affiliation; request 1 shows nothing yet, so the viewer is new as well
+    assert sorted((r.request_id, r.id) for r in nodes.collect()) == [(0, 3), (0, 5), (1, 1), (1, 3), (1, 5)]
+    assert sorted((r.request_id, r.src, r.dst) for r in edges.collect()) == [
+        (0, 2, 3), (0, 2, 5), (0, 6, 3), (0, 6, 5), (1, 2, 1), (1, 2, 3), (1, 2, 5)]
+    none, no_edges = G.expand_network(acc, fr, req.limit(0), shown)
+    assert none.count() == 0 and no_edges.count() == 0
+
+
+def test_star_lays_out_one_affiliation_only(spark):
+    """Every friend of a hub expands the hub: rows are those of the viewer's affiliation."""
+    acc = spark.range(201).selectExpr("id AS userID", "'F' AS firstName", "string(id) AS lastName",
+                                      "string(id % 50) AS affiliation")
+    fr = spark.range(1, 201).selectExpr("explode(array(struct(0L AS followerID, id AS followedID), "
+                                        "struct(id AS followerID, 0L AS followedID))) AS p").select("p.*")
+    req = spark.range(1, 201).selectExpr("id AS request_id", "id AS viewer", "0L AS friend")
+    cand = G._candidates(acc, fr, req)
+    assert cand.count() == 200 * 4
+
+
 def test_keep_sourceless_keeps_floor_value(demo, spark):
     # node 5 only points into the graph: it has no in-edge, so it drops out
     # after round 1 by default (D2) and stays at d with keep_sourceless
