@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from plexus.session import ensure_checkpoint_dir
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -14,3 +17,28 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str) -> DataFrame:
+    """Add ``out``: the place (long, from 1) of each row within its group.
+
+    ``row_number`` over a group sorts all of it in one task.  Here rows are
+    range-partitioned by group and order, so a large group covers several
+    ranges; each range numbers its own rows, and a row's place is that number
+    plus the group's rows in earlier ranges.  What is gathered per group is one
+    count per range.  The ranges are checkpointed before they are read twice,
+    since a range chosen anew would not fit the counts.  ``order`` should have
+    no ties: those are broken arbitrarily.  Null groups form one group."""
+    ensure_checkpoint_dir(df.sparkSession)
+    ranges = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    local = ranges.withColumn("_n", F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order)).cast("long"))
+    counts = ranges.groupBy("_range", *group).agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).select(
+        F.col("_range").alias("_r"), *keys, "_before").where("_before > 0")
+    same = F.col("_range") == F.col("_r")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return local.join(offsets, same, "left").select(
+        *[local[c] for c in df.columns], (F.col("_n") + F.coalesce("_before", F.lit(0))).alias(out))

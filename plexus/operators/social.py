@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.functions.timefmt import chat_time_label
+from plexus.operators.common import number_rows
 
 ACCOUNT_FIELDS = ("username", "firstName", "lastName", "affiliation")
 
-# ---- fixed values: text of the status post after an affiliation edit -----
+# ---- fixed values: fields that a sign-up form must fill, text of the status post after an affiliation edit -----
+SIGN_UP_FIELDS = ("username", "firstName", "lastName", "email", "password", "affiliation", "birthday")
 AFFILIATION_POST = " has updated their affiliation to: "
 # ---------------------------------------------------------------------------
 
@@ -74,6 +76,20 @@ def register_accounts(new: DataFrame, accounts: DataFrame, seq: str = "seq",
             .withColumn("status", status).select(*new.columns, "status"))
 
 
+def sign_up(new: DataFrame, accounts: DataFrame, seq: str = "seq", required=SIGN_UP_FIELDS):
+    """S3: accounts after a batch of sign-ups, ``new(userID, ...)`` with an id
+    of its own per row.  Every field of ``required`` must be a column; a row
+    that lacks one, or whose name is taken or claimed by an earlier row, joins
+    nothing.  An account keeps the columns that ``accounts`` has, null where
+    the form has no such field.
+    Returns (accounts after, status per sign-up)."""
+    status = register_accounts(new, accounts, seq, required)
+    joined = status.where(F.col("status") == "accepted").select(
+        *[(F.col(c) if c in new.columns else F.lit(None)).cast(accounts.schema[c].dataType).alias(c)
+          for c in accounts.columns])
+    return accounts.unionByName(joined), status
+
+
 def update_accounts(changes: DataFrame, accounts: DataFrame, seq: str = "seq"):
     """Apply profile edits.  An empty or null field keeps the old value,
     also one that an earlier change of the batch set; a new username must not
@@ -123,48 +139,54 @@ def fan_out_posts(posts: DataFrame) -> DataFrame:
     return posts.withColumn("owner", F.explode(F.array_distinct(F.array("userID", "creatorID"))))
 
 
-def top_k_per_group(df: DataFrame, keys, order: list[Column], k: int | None) -> DataFrame:
+def top_k_per_group(df: DataFrame, keys, order: list[Column], k: int | None,
+                    pos: str | None = None) -> DataFrame:
     """Rows ranked within each group by ``order`` (unique tie-break expected);
-    keep rank <= k.  ``row_number() <= k`` is planned as a window group
+    keep rank <= k, as column ``pos`` when named.  ``row_number() <= k`` is planned as a window group
     limit, ranked partially before the shuffle, so a hot group costs k rows
     per map task."""
     if k is None:
-        return df
+        return number_rows(df, list(keys), order, pos) if pos else df
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    top = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    return top.withColumn(pos, F.col("_rn").cast("long")).drop("_rn") if pos else top.drop("_rn")
 
 
-def wall_feed(posts: DataFrame, accounts: DataFrame, k: int | None = 20) -> DataFrame:
+def wall_feed(posts: DataFrame, accounts: DataFrame, k: int | None = 20, positions: bool = False) -> DataFrame:
     """Newest k posts on every wall (own posts and posts made on it),
     with separate owner and creator names (the cap is applied before the
-    name joins)."""
+    name joins).  ``positions`` adds ``pos``, from 1 for the newest."""
     fan = fan_out_posts(posts)
-    top = top_k_per_group(fan, ["owner"], [F.desc("ts"), F.asc("postID")], k)
+    top = top_k_per_group(fan, ["owner"], [F.desc("ts"), F.asc("postID")], k, "pos" if positions else None)
     out = enrich_users(top, accounts, "userID", "owner_", ("username", "firstName", "lastName"))
     return enrich_users(out, accounts, "creatorID", "creator_", ("username", "firstName", "lastName"))
 
 
-def home_feed(posts: DataFrame, friends: DataFrame, accounts: DataFrame, k: int = 20) -> DataFrame:
+def home_feed(posts: DataFrame, friends: DataFrame, accounts: DataFrame, k: int = 20,
+              positions: bool = False) -> DataFrame:
     """For every user, the newest k posts created by their friends.
 
     A user's top k can only hold each friend's own newest k posts, so posts
     are cut to k per creator before the fan-out to followers; the fan-out
-    is then at most k rows per friendship."""
+    is then at most k rows per friendship.  ``positions`` adds ``pos``."""
     own = top_k_per_group(posts, ["creatorID"], [F.desc("ts"), F.asc("postID")], k)
     f = friends.select(F.col("followerID").alias("viewer"), F.col("followedID").alias("creatorID"))
     cand = own.join(f, "creatorID")
-    top = top_k_per_group(cand, ["viewer"], [F.desc("ts"), F.asc("postID")], k)
+    top = top_k_per_group(cand, ["viewer"], [F.desc("ts"), F.asc("postID")], k, "pos" if positions else None)
     return enrich_users(top, accounts, "creatorID", "creator_", ("username", "firstName", "lastName"))
 
 
-def comment_threads(comments: DataFrame, accounts: DataFrame) -> DataFrame:
+def comment_threads(comments: DataFrame, accounts: DataFrame, positions: bool = False) -> DataFrame:
     """Comments with their author, newest first within each post.
 
     The order is a global sort on (postID, ts desc, commentID): range
     partitioning splits a hot post's comments over many tasks, where a
-    per-post window would put them all in one."""
+    per-post window would put them all in one.  ``positions`` adds ``pos``
+    within the post (``number_rows``) and leaves the order to it."""
+    if positions:
+        comments = number_rows(comments, ["postID"], [F.desc("ts"), F.asc("commentID")], "pos")
     out = enrich_users(comments, accounts, "creatorID", "author_", ("username", "firstName", "lastName"))
-    return out.orderBy("postID", F.desc("ts"), "commentID")
+    return out if positions else out.orderBy("postID", F.desc("ts"), "commentID")
 
 
 # ------------------------------------------------------------ likes / S10
@@ -311,13 +333,19 @@ def pending_requests(requests: DataFrame, accepts: DataFrame, friends: DataFrame
     return accept_requests(accepts, waiting, friends, id_col)[1]
 
 
-def notification_feed(notifications: DataFrame, accounts: DataFrame, k: int | None = None) -> DataFrame:
-    """Notifications with the sender's username, newest first per
-    recipient (rank column ``pos`` only when capped to k)."""
+def notification_feed(notifications: DataFrame, accounts: DataFrame, k: int | None = None,
+                      positions: bool = False) -> DataFrame:
+    """Notifications with the sender's username.  ``pos`` is the place per
+    recipient, newest first (ties by sender, then ``seq`` where there is one);
+    it is there when capped to k or when ``positions`` asks for it, and without
+    it the rows come in no order."""
+    order = [F.desc("ts"), F.asc("senderID"), *([F.asc("seq")] if "seq" in notifications.columns else [])]
     n = notifications
     if k is not None:
-        w = Window.partitionBy("recipientID").orderBy(F.desc("ts"), F.asc("senderID"))
+        w = Window.partitionBy("recipientID").orderBy(*order)
         n = n.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
+    elif positions:
+        n = number_rows(n, ["recipientID"], order, "pos")
     return enrich_users(n, accounts, "senderID", "sender_", ("username",))
 
 
@@ -363,13 +391,16 @@ def may_open_chats(requests: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def chat_transcripts(messages: DataFrame, as_of: Column | None = None,
-                     tz: str = "UTC", order=("chatID", "ts", "message_id")) -> DataFrame:
+                     tz: str = "UTC", order=("chatID", "ts", "message_id"), positions: bool = False) -> DataFrame:
     """All messages of each chat, oldest first, whoever wrote them, with a
     display-time label relative to the ``as_of`` date (when given; needs a
-    ``ts`` column).  Who may read a chat is ``may_open_chats``."""
+    ``ts`` column).  Who may read a chat is ``may_open_chats``.  ``positions``
+    adds ``pos`` within the chat by the rest of ``order`` instead of sorting."""
     msgs = messages
     if as_of is not None:
         msgs = msgs.withColumn("time_label", chat_time_label(F.col("ts"), as_of, tz))
+    if positions:
+        return number_rows(msgs, [order[0]], [F.asc(c) for c in order[1:]], "pos")
     return msgs.orderBy(*order)
 
 
@@ -379,3 +410,13 @@ def create_chat_rows(new: DataFrame) -> DataFrame:
     rows = new.select("chatID", F.col("creatorID").alias("userID"), "seq") \
         .unionByName(new.select("chatID", F.col("inviteeID").alias("userID"), "seq"))
     return rows.withColumn("op", F.lit("put"))
+
+
+def open_chats(new: DataFrame, accounts: DataFrame):
+    """new(chatID, creatorID, inviteeID, seq) -> (rooms(userID, chatID),
+    members(chatID, userID, firstName, lastName)), one row per person and chat,
+    also where someone invites themselves or an invitation is repeated; names
+    are null for unknown people, and rows without a person are left out."""
+    rooms = create_chat_rows(new).where(F.col("userID").isNotNull()).select("userID", "chatID").distinct()
+    names = enrich_users(rooms, accounts, "userID", "", ("firstName", "lastName"))
+    return rooms, names.select("chatID", "userID", "firstName", "lastName")

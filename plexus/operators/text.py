@@ -116,11 +116,14 @@ def merge_index(rows: DataFrame) -> DataFrame:
 
 
 def write_keyword_index(index: DataFrame, path: str, buckets: int | None = None) -> None:
-    """T5 sink: parquet partitioned by the keyword's first letter and
-    clustered by keyword, so a lookup reads one directory."""
+    """T5 text-style sink: parquet partitioned by the keyword's first letter,
+    sorted by keyword.  Rows are dealt to ``buckets`` tasks by ranges of
+    (letter, keyword, headline), so one keyword's rows may fill many files.
+    ``sources/keyword_index.py`` has the layout that searches read."""
+    keys = ["k0", "keyword", "headline"]
     out = index.withColumn("k0", F.substring("keyword", 1, 1))
-    out = out.repartition(buckets, "k0", "keyword") if buckets else out.repartition("k0", "keyword")
-    out.sortWithinPartitions("keyword", "headline").write.mode("overwrite").partitionBy("k0").parquet(path)
+    out = out.repartitionByRange(buckets, *keys) if buckets else out.repartitionByRange(*keys)
+    out.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("k0").parquet(path)
 
 
 def news_table(news: DataFrame, order_col: str = "seq") -> DataFrame:

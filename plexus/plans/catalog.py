@@ -20,6 +20,7 @@ from plexus.operators import text as T
 from plexus.plans import rank_sql
 from plexus.session import scratch_path
 from plexus.sources.edges import read_edge_list
+from plexus.sources.keyword_index import search_stored, store_index
 from plexus.sources.news import read_news
 from plexus.sources.sinks import write_edge_list, write_news_json, write_report
 from plexus.streaming import jobs as X
@@ -326,6 +327,45 @@ def q_search_news(spark, sf):
     return T.search_news(b.search_queries, T.build_keyword_index(b.news, stem=True), stem=True)
 
 
+@register("search_stored_index", _search_sql(True))
+def q_search_stored_index(spark, sf):
+    """The index is written first, in two parts as it would grow, then searched."""
+    b = Bindings(spark, sf)
+    path = scratch_path(spark, "keyword_index")
+    odd = F.pmod("seq", F.lit(2)) == 1
+    store_index(T.build_keyword_index(b.news.where(odd)), path)
+    store_index(T.build_keyword_index(b.news.where(~odd)), path, append=True)
+    return search_stored(b.search_queries, path)
+
+
+@register("stem_tokens", _TOKENS_SQL + """,
+places AS (SELECT headline, unnest(l) AS t, generate_subscripts(l, 1) AS pos FROM (
+    SELECT headline, regexp_extract_all(concat_ws(' ', headline, authors, short_description), '(\\p{L}+)', 1) AS l FROM news)),
+kept AS (SELECT headline, lower(t) AS token, pos FROM places WHERE regexp_full_match(t, '[a-zA-Z]+') AND t NOT IN """
+          + _STOP_SQL + f"""),
+stems AS ({stem_sql("SELECT DISTINCT token AS word FROM kept")}),
+firsts AS (SELECT headline, stem, min(pos) AS pos FROM kept JOIN stems ON token = word GROUP BY headline, stem),
+lists AS (SELECT headline, string_agg(stem, ' ' ORDER BY pos) AS stems FROM firsts GROUP BY headline)
+SELECT n.headline, coalesce(l.stems, '') AS stems FROM news n LEFT JOIN lists l USING (headline)""")
+def q_stem_tokens(spark, sf):
+    rows = T.stem_tokens(T.tokenize(Bindings(spark, sf).news))
+    return rows.select("headline", F.array_join("stems", " ").alias("stems"))
+
+
+# conversations are mostly no letters-only searches, part names are
+_TYPED_SQL = """search_queries AS (SELECT concat_ws(':', conv_id, turn) AS query_id, text AS query FROM conversations
+  WHERE role = 'user' AND regexp_full_match(text, '[A-Za-z ]+')
+  UNION ALL SELECT 'part:' || p_partkey, p_name FROM part WHERE regexp_full_match(p_name, '[A-Za-z ]+'))"""
+
+
+@register("query_keywords_letters", "WITH " + _TYPED_SQL + _queries_sql(True)
+          + "\nSELECT query_id, CAST(pos AS INTEGER) AS pos, keyword FROM kw")
+def q_query_keywords_letters(spark, sf):
+    b = Bindings(spark, sf)
+    names = b.table("part").select(F.concat(F.lit("part:"), "p_partkey").alias("query_id"), F.col("p_name").alias("query"))
+    return T.parse_queries(b.search_queries.unionByName(names), letters_only=True)
+
+
 @register("search_news_articles", f"""SELECT r.*, n.category, n.authors
 FROM ({_search_sql(False)}) r JOIN ({SQL_VIEWS["news"]}) n ON n.headline = r.headline AND n.link = r.url""")
 def q_search_news_articles(spark, sf):
@@ -407,6 +447,45 @@ def q_register_accounts(spark, sf):
     return S.register_accounts(_signups(b), b.accounts).select("seq", "username", "status")
 
 
+_SIGN_UP_SQL = with_views("accounts") + """,
+forms AS (SELECT s_name AS username, 'Supplier' AS firstName, substr(s_name, 10) AS lastName,
+    CASE WHEN s_suppkey % 7 = 0 THEN ' ' ELSE 'Trade' END AS affiliation, s_suppkey AS seq FROM supplier
+  UNION ALL SELECT c_name, 'Customer', substr(c_name, 10), c_mktsegment, c_custkey + 1000000000 FROM customer
+  UNION ALL SELECT p_brand, p_type, p_name, CASE WHEN p_size > 10 THEN p_brand END, p_partkey + 2000000000 FROM part),
+whole AS (SELECT *, 5000000000 + seq AS userID FROM forms
+          WHERE trim(username) <> '' AND trim(firstName) <> '' AND trim(lastName) <> '' AND trim(affiliation) <> ''),
+taken AS (SELECT * FROM whole WHERE username NOT IN (SELECT username FROM accounts)),
+joined AS (SELECT * FROM taken QUALIFY row_number() OVER (PARTITION BY username ORDER BY seq) = 1),
+after AS (SELECT userID, username, firstName, lastName, affiliation FROM accounts
+          UNION ALL SELECT userID, username, firstName, lastName, affiliation FROM joined)
+"""
+
+
+def _sign_up(b: Bindings):
+    t = {"supplier": "s_suppkey", "customer": "c_custkey", "part": "p_partkey"}
+    own = {"supplier": F.when(F.col("s_suppkey") % 7 == 0, " ").otherwise("Trade"), "customer": F.col("c_mktsegment"),
+           "part": F.when(F.col("p_size") > 10, F.col("p_brand"))}
+    aff = [b.table(n).select((F.col(k) + i * 1000000000).alias("seq"), own[n].alias("affiliation"))
+           for i, (n, k) in enumerate(t.items())]
+    forms = _signups(b).join(aff[0].unionByName(aff[1]).unionByName(aff[2]), "seq")
+    return S.sign_up(forms.withColumn("userID", F.col("seq") + 5000000000), b.accounts,
+                     required=("username", "firstName", "lastName", "affiliation"))
+
+
+@register("sign_up_accounts", _SIGN_UP_SQL + "SELECT * FROM after")
+def q_sign_up_accounts(spark, sf):
+    return _sign_up(Bindings(spark, sf))[0]
+
+
+@register("sign_up_prefixes", _SIGN_UP_SQL + """
+SELECT DISTINCT lower(substr(username, 1, CAST(n AS INTEGER))) AS prefix, userID
+FROM (SELECT username, userID, unnest(range(1, length(username) + 1)) AS n FROM joined)""")
+def q_sign_up_prefixes(spark, sf):
+    """The name-search rows that the sign-ups add."""
+    b = Bindings(spark, sf)
+    return T.name_prefixes(_sign_up(b)[0].join(b.accounts.select("userID"), "userID", "left_anti"))
+
+
 _FAN_SQL = with_views("posts") + """,
 fan AS (SELECT userID AS owner, * FROM posts UNION ALL
         SELECT creatorID AS owner, * FROM posts WHERE creatorID <> userID)
@@ -454,6 +533,13 @@ def q_comment_threads(spark, sf):
     return S.comment_threads(b.comments, b.accounts)
 
 
+@register("comment_thread_positions", with_views("comments") + """
+SELECT postID, commentID, row_number() OVER (PARTITION BY postID ORDER BY ts DESC, commentID) AS pos FROM comments""")
+def q_comment_thread_positions(spark, sf):
+    b = Bindings(spark, sf)
+    return S.comment_threads(b.comments, b.accounts, positions=True).select("postID", "commentID", "pos")
+
+
 _LIKES_SQL = with_views("like_log") + """,
 cur AS (SELECT postID, userID, ts FROM (SELECT *, row_number() OVER (PARTITION BY postID, userID ORDER BY seq DESC) AS rn
         FROM like_log) WHERE rn = 1 AND op <> 'delete')
@@ -544,6 +630,32 @@ def q_notification_feed(spark, sf):
     return S.notification_feed(b.notifications, b.accounts)
 
 
+@register("notification_positions", with_views("accounts", "notifications") + """
+SELECT n.*, a.username AS sender_username, row_number() OVER (
+    PARTITION BY n.recipientID ORDER BY n.ts DESC, n.senderID, n.seq) AS pos
+FROM notifications n LEFT JOIN accounts a ON a.userID = n.senderID""")
+def q_notification_positions(spark, sf):
+    b = Bindings(spark, sf)
+    return S.notification_feed(b.notifications, b.accounts, positions=True)
+
+
+@register("wall_positions", _FAN_SQL + """
+SELECT owner, postID, pos FROM (
+  SELECT owner, postID, row_number() OVER (PARTITION BY owner ORDER BY ts DESC, postID) AS pos FROM fan) WHERE pos <= 20""")
+def q_wall_positions(spark, sf):
+    b = Bindings(spark, sf)
+    return S.wall_feed(b.posts, b.accounts, k=20, positions=True).select("owner", "postID", "pos")
+
+
+@register("home_positions", with_views("friends", "posts") + """
+SELECT viewer, postID, pos FROM (SELECT f.followerID AS viewer, p.postID,
+    row_number() OVER (PARTITION BY f.followerID ORDER BY p.ts DESC, p.postID) AS pos
+  FROM posts p JOIN friends f ON f.followedID = p.creatorID) WHERE pos <= 20""")
+def q_home_positions(spark, sf):
+    b = Bindings(spark, sf)
+    return S.home_feed(b.posts, b.friends, b.accounts, k=20, positions=True).select("viewer", "postID", "pos")
+
+
 _ROSTER_SQL = with_views("accounts", "memberships") + """,
 roster AS (SELECT m.chatID, m.userID, a.firstName || ' ' || a.lastName AS label
            FROM memberships m LEFT JOIN accounts a USING (userID))
@@ -575,6 +687,12 @@ def q_chat_transcripts(spark, sf):
     return S.chat_transcripts(b.messages, as_of, "UTC")
 
 
+@register("chat_transcript_positions", with_views("messages") + """
+SELECT chatID, message_id, row_number() OVER (PARTITION BY chatID ORDER BY ts, message_id) AS pos FROM messages""")
+def q_chat_transcript_positions(spark, sf):
+    return S.chat_transcripts(Bindings(spark, sf).messages, positions=True).select("chatID", "message_id", "pos")
+
+
 @register("may_open_chats", with_views("memberships", "messages") + """
 SELECT DISTINCT g.userID AS viewer, g.chatID FROM messages g
 WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.chatID = g.chatID AND m.userID = g.userID)""")
@@ -601,6 +719,29 @@ def q_create_chat_rows(spark, sf):
     return S.create_chat_rows(new)
 
 
+_NEW_CHATS_SQL = with_views("accounts") + """,
+made AS (SELECT event_id AS chatID, user_id AS userID FROM events WHERE event_type = 'purchase'
+  UNION SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events WHERE event_type = 'purchase')
+"""
+
+
+def _new_chats(b: Bindings):
+    e = b._events_k().where(F.col("event_type") == "purchase")
+    return S.open_chats(e.select(F.col("event_id").alias("chatID"), F.col("user_id").alias("creatorID"),
+                                 F.col("k").alias("inviteeID"), F.col("event_id").alias("seq")), b.accounts)
+
+
+@register("new_chat_rooms", _NEW_CHATS_SQL + "SELECT userID, chatID FROM made")
+def q_new_chat_rooms(spark, sf):
+    return _new_chats(Bindings(spark, sf))[0]
+
+
+@register("new_chat_members", _NEW_CHATS_SQL + """
+SELECT m.chatID, m.userID, a.firstName, a.lastName FROM made m LEFT JOIN accounts a USING (userID)""")
+def q_new_chat_members(spark, sf):
+    return _new_chats(Bindings(spark, sf))[1]
+
+
 # ---------------------------------------------------------- sources / sinks
 # Round trips through the text formats the reference reads: data Spark
 # derives from the given tables is written, then read back by the reader.

@@ -51,6 +51,45 @@ def test_register_accounts(spark):
     assert st == {1: "accepted", 2: "duplicate_in_batch", 3: "username_taken", 4: "missing:firstName"}
 
 
+def test_sign_up_fills_accounts(spark):
+    accounts = spark.createDataFrame([(1, "taken", "T", "Mail")], "userID long, username string, firstName string, email string")
+    new = spark.createDataFrame([(10, "x", "A", "m", "p", 1), (11, "x", "C", "m", "p", 2), (12, "taken", "E", "m", "p", 3),
+                                 (13, "y", "G", "m", None, 4), (14, "z", "H", "  ", "p", 5)],
+                                "userID long, username string, firstName string, email string, password string, seq long")
+    after, status = S.sign_up(new, accounts, required=("username", "firstName", "email", "password"))
+    assert after.columns == accounts.columns
+    assert sorted(map(tuple, after.collect())) == [(1, "taken", "T", "Mail"), (10, "x", "A", "m")]
+    assert {r.seq: r.status for r in status.collect()} == {
+        1: "accepted", 2: "duplicate_in_batch", 3: "username_taken", 4: "missing:password", 5: "missing:email"}
+
+
+def test_open_chats_names_both_people(spark):
+    acc = spark.createDataFrame([(1, "A", "a"), (2, "B", "b")], "userID long, firstName string, lastName string")
+    new = spark.createDataFrame([(7, 1, 2, 1), (7, 1, 2, 2), (8, 2, 2, 3), (9, 1, 5, 4), (10, 1, None, 5)],
+                                "chatID long, creatorID long, inviteeID long, seq long")
+    rooms, members = S.open_chats(new, acc)
+    assert sorted(map(tuple, rooms.collect())) == [(1, 7), (1, 9), (1, 10), (2, 7), (2, 8), (5, 9)]
+    assert sorted(map(tuple, members.collect()), key=repr) == sorted(
+        [(7, 1, "A", "a"), (7, 2, "B", "b"), (8, 2, "B", "b"), (9, 1, "A", "a"), (9, 5, None, None), (10, 1, "A", "a")], key=repr)
+
+
+def test_positions_of_a_hot_group_span_ranges(spark):
+    from plexus.operators.common import number_rows
+
+    df = spark.range(6000).selectExpr("if(id % 3 < 2, 1L, if(id % 2 = 0, id, null)) AS g", "(id * 7919) % 6007 AS v", "id AS pos_in")
+    out = number_rows(df.repartition(7), ["g"], [F.desc("v")], "pos")
+    got = sorted(((r.g or -1), r.v, r.pos) for r in out.collect())
+    groups, want = {}, []
+    for r in df.collect():
+        groups.setdefault(r.g or -1, []).append(r.v)
+    for g, vs in groups.items():
+        want += [(g, v, i + 1) for i, v in enumerate(sorted(vs, reverse=True))]
+    assert got == sorted(want) and out.columns == ["g", "v", "pos_in", "pos"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(_range" in plan         # no window over a whole group's rows
+    assert number_rows(df.limit(0), ["g"], [F.desc("v")], "pos").count() == 0
+
+
 def test_update_accounts(spark):
     accounts = spark.createDataFrame([(1, "ann", "Ann", "Lee", "X"), (2, "bob", "Bob", "Ray", "Y")],
                                      "userID long, username string, firstName string, lastName string, "
