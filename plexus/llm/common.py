@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -70,6 +71,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, budget: int = 4 << 20
             yield batch.slice(start)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "8m"):
+    """While it lasts, Spark hands texts to Python in batches of at most ``rows``
+    rows and about ``size`` (or one longer row), so that what a task holds
+    outside the heap doesn't depend on how long texts are; then the session's
+    own settings are put back.  Only for jobs that run within it."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The strings of a column, null as empty."""
     return [x or "" for x in batch.column(column).to_pylist()]

@@ -207,6 +207,11 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, id
     component and share ``kept``; a null id joins a component but never names
     one unless all its ids are null.  An empty table gives no rows.  Two
     different sets share a 64-bit ``cid`` with a chance of n^2 / 2^65."""
+    with common.arrow_batches(docs.sparkSession):  # all Python work below is done when it ends
+        return _groups(docs, width, percent, id_col, text_col)
+
+
+def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     source = common.id_and_text(docs, id_col, text_col)
     sets = document_sets(docs, width, id_col, text_col)
     classes = common.stored(sets.filter("cid is not null").groupBy("cid").agg(
