@@ -37,6 +37,7 @@ ROWS, BANDS, BATCH = 4, 32, 16  # a pair of similarity 0.8 misses all bands with
 HASHES = ROWS * BANDS
 MISS = 1e-7
 STARS = 5  # rounds of comparisons with a bucket's least member
+PICKS = 4  # pairs of each class in the first round of what is left; each round takes as many times more
 SALTS = 32  # tasks that the classes of one large component are spread over
 
 
@@ -231,7 +232,7 @@ def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
     crowded = crowds.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("band", "cid", "n", F.coalesce("root", "cid").alias("root"))
     mixed = crowded.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1").select("band")
     members = common.stored(crowded.join(mixed, "band", "left_semi").select("cid", "n", "root").distinct(), "mixed-members")
-    links = links.union(_links(prefix_pairs(members, texts, width, percent), classes, texts, width, percent))
+    links = _pair_links(common.stored(prefix_pairs(members, texts, width, percent), "prefix-pairs"), links, roots, classes, texts, width, percent)
     roots = common.stored(components(links), "roots")
     # Components of one class keep their own id; a large one's rows are spread over salts.
     least = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node").groupBy("root").agg(F.min("rep").alias("least"))
@@ -255,9 +256,7 @@ def _star_links(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: i
     left, found, roots = stars, None, None
     for _ in range(STARS):
         if roots is not None:
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-            left = left.join(known[0], "a", "left").join(known[1], "b", "left").filter(
-                F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+            left = _different(left, roots)
         picked = common.stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "star-pairs")
         new = _links(picked, classes, texts, width, percent)
         found = new if found is None else found.union(new)
@@ -268,6 +267,29 @@ def _star_links(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: i
     return found, roots
 
 
+def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose ends lie in different components."""
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return pairs.join(known[0], "a", "left").join(known[1], "b", "left").filter(
+        F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _pair_links(pairs: DataFrame, found: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``found`` and the links among the stored ``pairs``, but for pairs whose
+    ends earlier links connect.  Each round compares ``PICKS`` times as many
+    pairs per class as the one before, chosen by hash, and then leaves out what
+    has come together; it ends when no pair is left, so none is dropped."""
+    left, picks = pairs, PICKS
+    while not left.isEmpty():
+        few = Window.partitionBy("b").orderBy(F.xxhash64("a", "b"), "a")
+        picked = common.stored(left.withColumn("k", F.row_number().over(few)).filter(F.col("k") <= picks).select("a", "b"), "picked-pairs")
+        found = found.union(_links(picked, classes, texts, width, percent))
+        roots = common.stored(components(found), "pair-roots")
+        left = common.stored(_different(left.join(picked, ["a", "b"], "left_anti"), roots), "pairs-left")
+        picks *= PICKS
+    return found
+
+
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     alive = common.stored(bayes_survivors(pairs, classes, percent), "survivors")
     return common.stored(confirmed(alive, texts, width, percent), "links")
