@@ -21,6 +21,7 @@ from plexus.plans import rank_sql
 from plexus.session import scratch_path
 from plexus.sources.edges import read_edge_list
 from plexus.sources.keyword_index import search_stored, store_index
+from plexus.sources.name_index import add_names, name_changes, search_stored_users, stored_names
 from plexus.sources.news import read_news
 from plexus.sources.sinks import write_edge_list, write_news_json, write_report
 from plexus.streaming import jobs as X
@@ -51,6 +52,12 @@ def _r6(df: DataFrame, col: str = "rank") -> DataFrame:
     return df.withColumn(col, F.round(col, 6))
 
 
+def _tied(ranks: DataFrame) -> DataFrame:
+    """Ranks that differ by less than the noise of summing in another order are
+    ties (by node id); only what is shown is rounded to 6 places."""
+    return ranks.withColumn("rank", F.round("rank", rank_sql.TIE_PLACES))
+
+
 # ------------------------------------------------------------------ graph
 
 @register("edge_stats", with_views("edges") + """,
@@ -116,15 +123,15 @@ def q_rank_history(spark, sf):
 
 @register("top_ranked", rank_sql.top_sql(RANK_ROUNDS, TOP_K, True))
 def q_top_ranked(spark, sf):
-    ranks = _r6(G.social_rank(Bindings(spark, sf).edges, max_iters=RANK_ROUNDS, delta=None))
-    return G.top_ranked(ranks, TOP_K)
+    ranks = G.social_rank(Bindings(spark, sf).edges, max_iters=RANK_ROUNDS, delta=None)
+    return _r6(G.top_ranked(_tied(ranks), TOP_K))
 
 
 @register("compare_top", rank_sql.compare_sql(RANK_ROUNDS, TOP_K))
 def q_compare_top(spark, sf):
     e = Bindings(spark, sf).edges
-    a = _r6(G.social_rank(e, max_iters=RANK_ROUNDS, delta=None, back_links=True))
-    b = _r6(G.social_rank(e, max_iters=RANK_ROUNDS, delta=None, back_links=False))
+    a = _tied(G.social_rank(e, max_iters=RANK_ROUNDS, delta=None, back_links=True))
+    b = _tied(G.social_rank(e, max_iters=RANK_ROUNDS, delta=None, back_links=False))
     return G.compare_top(a, b, TOP_K)
 
 
@@ -486,6 +493,49 @@ def q_sign_up_prefixes(spark, sf):
     return T.name_prefixes(_sign_up(b)[0].join(b.accounts.select("userID"), "userID", "left_anti"))
 
 
+_NEW_NAMES_SQL = _SIGN_UP_SQL + """,
+named AS (
+  SELECT c.c_custkey AS userID, coalesce(p.c_name, c.c_name) AS username
+  FROM customer c LEFT JOIN customer p ON p.c_custkey = CASE WHEN c.c_custkey % 2 = 1 THEN c.c_custkey + 1 ELSE c.c_custkey - 1 END
+  UNION ALL SELECT j.userID, j.username || ' ' || CAST(j.userID % 7 AS VARCHAR) FROM joined j ANTI JOIN accounts a USING (userID)),
+prefixes AS (SELECT DISTINCT substr(lower(username), 1, CAST(n AS INTEGER)) AS prefix, userID
+  FROM (SELECT username, userID, unnest(range(1, length(username) + 1)) AS n FROM named))
+"""
+
+
+def _kept_names(spark, sf) -> tuple[str, DataFrame]:
+    """A stored name index after four batches, and the accounts then: all accounts;
+    a batch of sign-ups; every two neighbouring customers swap names; who signed
+    up takes a longer name."""
+    b, path = Bindings(spark, sf), scratch_path(spark, "names")
+    start = b.accounts.select("userID", "username")
+    joined = _sign_up(b)[0].select("userID", "username")
+    joined = joined.join(start.select("userID"), "userID", "left_anti").checkpoint(eager=True)
+    k = F.col("userID")
+    partner = start.select(F.when(k % 2 == 1, k + 1).otherwise(k - 1).alias("userID"), F.col("username").alias("other"))
+    swapped = start.join(partner, "userID", "left").select("userID", F.coalesce("other", "username").alias("username"))
+    longer = joined.select("userID", F.concat_ws(" ", "username", (k % 7).cast("string")).alias("username"))
+    none = start.limit(0)
+    batches = [(none, start, start), (none, joined, joined), (start, swapped, start), (joined, longer, joined)]
+    for epoch, (before, after, users) in enumerate(batches):
+        add_names(name_changes(before, after, users), path, epoch, fanout=2 if epoch < 3 else 4)
+    return path, swapped.unionByName(longer)
+
+
+@register("name_index_upkeep", _NEW_NAMES_SQL + "SELECT prefix, userID FROM prefixes")
+def q_name_index_upkeep(spark, sf):
+    return stored_names(spark, _kept_names(spark, sf)[0])
+
+
+@register("user_search_upkeep", _NEW_NAMES_SQL.rstrip() + f""",
+user_searches AS ({SQL_VIEWS["user_searches"]})
+SELECT q.query_id, p.userID, a.username
+FROM user_searches q JOIN prefixes p ON lower(q.query) = p.prefix JOIN named a ON a.userID = p.userID""")
+def q_user_search_upkeep(spark, sf):
+    path, accounts = _kept_names(spark, sf)
+    return search_stored_users(Bindings(spark, sf).user_searches, path, accounts)
+
+
 _FAN_SQL = with_views("posts") + """,
 fan AS (SELECT userID AS owner, * FROM posts UNION ALL
         SELECT creatorID AS owner, * FROM posts WHERE creatorID <> userID)
@@ -771,10 +821,9 @@ def q_top_report(spark, sf):
 @register("top_report_line", rank_sql.rank_cte(RANK_ROUNDS, True) + f"""
 SELECT 'top {TOP_K} nodes: [' || string_agg('(' || CAST(node AS VARCHAR) || ', ' || CAST(r AS VARCHAR) || ')',
     ', ' ORDER BY r DESC, node) || ']' AS line
-FROM (SELECT node, round(rank, 6) AS r FROM r{RANK_ROUNDS} ORDER BY round(rank, 6) DESC, node LIMIT {TOP_K})""")
+FROM (SELECT node, round(rank, 6) AS r FROM r{RANK_ROUNDS} ORDER BY {rank_sql.BY_RANK} LIMIT {TOP_K})""")
 def q_top_report_line(spark, sf):
-    ranks = _r6(G.social_rank(Bindings(spark, sf).edges, max_iters=RANK_ROUNDS, delta=None))
-    return G.top_report_line(ranks, TOP_K)
+    return G.top_report_line(q_top_ranked(spark, sf), TOP_K)
 
 
 def _account_changes(b: Bindings) -> DataFrame:
@@ -867,7 +916,7 @@ def q_stream_like_state(spark, sf):
 @register("stream_like_counts", _LIKES_SQL + "SELECT postID, count(*) AS n_likes FROM cur GROUP BY postID")
 def q_stream_like_counts(spark, sf):
     files = X.out_of_order_files(spark, sf, "events", "ts")
-    return S.like_summary(X.run_like_state(spark, files, max_files=1))
+    return X.run_like_counts(spark, files, max_files=1, fanout=2)
 
 
 @register("stream_friend_requests", with_views("notifications") +

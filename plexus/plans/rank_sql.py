@@ -9,6 +9,8 @@ from __future__ import annotations
 from plexus.sources.bindings import with_views
 
 D = 0.15
+TIE_PLACES = 10  # ranks are O(1) to O(10^3); sums in another order differ far below this
+BY_RANK = f"round(rank, {TIE_PLACES}) DESC, node"
 
 
 def _prep(back_links: bool) -> str:
@@ -51,7 +53,7 @@ def history_sql(rounds: int, back_links: bool = True) -> str:
 def top_sql(rounds: int, k: int, back_links: bool = True) -> str:
     return rank_cte(rounds, back_links) + (
         f"SELECT node, round(rank, 6) AS rank FROM r{rounds} "
-        f"ORDER BY round(rank, 6) DESC, node LIMIT {k}")
+        f"ORDER BY {BY_RANK} LIMIT {k}")
 
 
 def compare_sql(rounds: int, k: int) -> str:
@@ -68,8 +70,8 @@ b{i} AS MATERIALIZED (SELECT wb.dst AS node,
     CAST({D} AS DOUBLE) + CAST({1 - D} AS DOUBLE) * sum(b{i - 1}.rank * wb.w) AS rank
   FROM wb JOIN b{i - 1} ON wb.src = b{i - 1}.node GROUP BY wb.dst)"""
     body += f""",
-ta AS (SELECT node FROM r{rounds} ORDER BY round(rank, 6) DESC, node LIMIT {k}),
-tb AS (SELECT node FROM b{rounds} ORDER BY round(rank, 6) DESC, node LIMIT {k})
+ta AS (SELECT node FROM r{rounds} ORDER BY {BY_RANK} LIMIT {k}),
+tb AS (SELECT node FROM b{rounds} ORDER BY {BY_RANK} LIMIT {k})
 SELECT coalesce(ta.node, tb.node) AS node,
   CASE WHEN ta.node IS NOT NULL AND tb.node IS NOT NULL THEN 'both'
        WHEN ta.node IS NOT NULL THEN 'only_first' ELSE 'only_second' END AS membership

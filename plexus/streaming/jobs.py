@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from plexus.operators import social as S
 from plexus.operators import text as T
 from plexus.session import scratch_path
+from plexus.sources import epochs
 from plexus.sources.bindings import Bindings
 
 
@@ -88,6 +89,61 @@ def like_changes(spark: SparkSession, sink: str) -> DataFrame:
     return rows.select(*LIKE_KEYS, "seq", F.when(F.col("put"), "put").otherwise("delete").alias("op"), "ts")
 
 
+LIKE_DELTAS = "postID long, delta long"
+
+
+def _like_step(key, frames, state):
+    """One (postID, userID) in one micro-batch: the state is its newest operation
+    (seq, put).  A late, older operation changes nothing; what does change is the
+    post's count, by one."""
+    seq, put = state.get if state.exists else (None, False)
+    was = put
+    for f in frames:
+        newest = f.loc[f["seq"].idxmax()]
+        if seq is None or newest["seq"] > seq:
+            seq, put = int(newest["seq"]), bool(newest["put"])
+    state.update((seq, put))
+    if put != was:
+        post = pd.array([key[0]], dtype="Int64")
+        yield pd.DataFrame({"postID": post, "delta": [1 if put else -1]})
+
+
+def _sum_deltas(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("postID").agg(F.sum("delta").alias("delta")).where("delta != 0")
+
+
+def _write_sorted(*keys: str):
+    def write(rows: DataFrame, path: str) -> None:
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    return write
+
+
+def stream_like_counts(like_log: DataFrame, sink: str, checkpoint: str, fanout: int = 4) -> StreamingQuery:
+    """Like counts kept up to date.  Keyed state holds the newest operation
+    per (postID, userID); each micro-batch writes what it adds to or takes from
+    a post's count, summed per post, to an epoch folder, and merges full blocks
+    of folders.  ``like_counts`` sums those; no change row is read again.  Rows
+    without seq never are the newest and those without userID count for nobody,
+    as in the batch job; a null postID is a post of its own."""
+    put = F.coalesce(F.col("op") != "delete", F.lit(False))
+    log = like_log.where("seq is not null and userID is not null").select(*LIKE_KEYS, "seq", put.alias("put"))
+    deltas = log.groupBy(*LIKE_KEYS).applyInPandasWithState(
+        _like_step, LIKE_DELTAS, "seq long, put boolean", "append", GroupStateTimeout.NoTimeout)
+    store = _write_sorted("postID")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        store(_sum_deltas(batch), f"{sink}/epoch={epoch}")
+        epochs.merge_epochs(batch.sparkSession, sink, LIKE_DELTAS, _sum_deltas, store, fanout)
+
+    return (deltas.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def like_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """(postID, n_likes) of the posts that have likes, from the deltas of X2."""
+    return _sum_deltas(epochs.read_epochs(spark, sink, LIKE_DELTAS)).withColumnRenamed("delta", "n_likes")
+
+
 # ------------------------------------------------------------------ X3
 
 def stream_friend_requests(requests: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
@@ -161,12 +217,22 @@ def streamed_requests(spark: SparkSession, sink: str, friends: DataFrame, pendin
 
 # ------------------------------------------------------------------ X4
 
-def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool = True) -> StreamingQuery:
+KEYWORDS = "keyword string, headline string, url string"
+
+
+def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool = True,
+                         fanout: int | None = None) -> StreamingQuery:
     """Every micro-batch of articles is tokenized, stemmed and indexed
     (T3-T5) and written to a folder of its own, which a repeated batch
-    overwrites.  Earlier folders aren't read again; ``grown_index`` reads them."""
+    overwrites.  With ``fanout``, full blocks of folders are merged into larger
+    ones, sorted by (keyword, headline); else earlier folders aren't read again.
+    ``grown_index`` reads what is there."""
+    store = _write_sorted("keyword", "headline")
+
     def write(batch: DataFrame, epoch: int) -> None:
         T.build_keyword_index(batch, stem=stem).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+        if fanout:
+            epochs.merge_epochs(batch.sparkSession, sink, KEYWORDS, lambda rows: T.merge_index(rows.drop("epoch")), store, fanout)
 
     return (news.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -175,7 +241,7 @@ def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool
 def grown_index(spark: SparkSession, sink: str) -> DataFrame:
     """The index X4 has written: (keyword, headline, url), one row per (keyword,
     headline), however the articles were cut into batches."""
-    return T.merge_index(spark.read.parquet(sink))
+    return T.merge_index(epochs.read_epochs(spark, sink, KEYWORDS).drop("epoch"))
 
 
 # ------------------------------------------------- batch-equivalent runs
@@ -200,17 +266,27 @@ def run_message_log(spark: SparkSession, folder: str, accounts: DataFrame) -> Da
     return spark.read.parquet(sink).drop("dt")
 
 
+def _like_log(events: DataFrame) -> DataFrame:
+    return events.select(F.col("event_id").alias("seq"),
+                         F.when(F.col("event_type") == "error", "delete").otherwise("put").alias("op"),
+                         F.get_json_object("props", "$.k").cast("bigint").alias("postID"),
+                         F.col("user_id").alias("userID"), F.col("ts"))
+
+
 def run_like_state(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    ev = file_stream(spark, folder, "events", max_files)
-    log = ev.select(F.col("event_id").alias("seq"),
-                    F.when(F.col("event_type") == "error", "delete").otherwise("put").alias("op"),
-                    F.get_json_object("props", "$.k").cast("bigint").alias("postID"),
-                    F.col("user_id").alias("userID"), F.col("ts"))
+    log = _like_log(file_stream(spark, folder, "events", max_files))
     sink = scratch_path(spark, "x2-sink")
     run_available(stream_like_state(log, sink, scratch_path(spark, "x2-ck")))
     return S.apply_changes(like_changes(spark, sink), LIKE_KEYS, "seq")
 
 
+def run_like_counts(spark: SparkSession, folder: str, max_files: int | None = None, fanout: int = 4) -> DataFrame:
+    log = _like_log(file_stream(spark, folder, "events", max_files))
+    sink = scratch_path(spark, "x2-counts")
+    run_available(stream_like_counts(log, sink, scratch_path(spark, "x2-ck"), fanout))
+    return like_counts(spark, sink)
+
+
 def run_friend_requests(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     ev = file_stream(spark, folder, "events", max_files).where(F.col("event_type") == "signup")
     req = ev.select(F.col("user_id").alias("recipientID"),
@@ -230,12 +306,13 @@ def run_pending_requests(spark: SparkSession, folder: str, b: Bindings, max_file
     return streamed_requests(spark, sink, b.old_friends, b.pending_before)
 
 
-def run_keyword_index(spark: SparkSession, folder: str, stem: bool = True, max_files: int | None = None) -> DataFrame:
+def run_keyword_index(spark: SparkSession, folder: str, stem: bool = True, max_files: int | None = None,
+                      fanout: int | None = None) -> DataFrame:
     d = file_stream(spark, folder, "documents", max_files)
     news = d.select(F.col("source").alias("authors"), F.col("lang").alias("category"),
                     F.lit(None).cast("string").alias("date"), F.col("doc_id").cast("string").alias("headline"),
                     F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("link"),
                     F.col("text").alias("short_description"))
     sink, ck = scratch_path(spark, "x4-sink"), scratch_path(spark, "x4-ck")
-    run_available(stream_keyword_index(news, sink, ck, stem=stem))
+    run_available(stream_keyword_index(news, sink, ck, stem=stem, fanout=fanout))
     return grown_index(spark, sink)
