@@ -9,7 +9,10 @@ survivors are compared on their full shingle sets.
 
 Pairs within a band bucket are not all formed.  First members are compared with
 their buckets' least members, in a few rounds of one pair per class.  What lies
-in one component is not compared again.  Members of one bucket that are still in
+in one component is not compared again.  Buckets that still hold several
+components are then cut at random into cells of a few members, anew in each
+round, whose members are compared with one of the cell: near copies that are not
+all near to the least member come together so.  Members of one bucket that are still in
 different components (texts with a common passage, mostly) are compared only
 if they share a shingle of their prefixes: a class's shingles are ordered by
 how many of these members hold them, rarest first; two sets that reach the
@@ -37,6 +40,7 @@ ROWS, BANDS, BATCH = 4, 32, 16  # a pair of similarity 0.8 misses all bands with
 HASHES = ROWS * BANDS
 MISS = 1e-7
 STARS = 5  # rounds of comparisons with a bucket's least member
+CELLS, CELL = 4, 4  # rounds of comparisons within cells, and members of a cell on average
 PICKS = 4  # pairs of each class in the first round of what is left; each round takes as many times more
 SALTS = 32  # tasks that the classes of one large component are spread over
 
@@ -228,10 +232,9 @@ def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
     stars = common.stored(crowds.filter((F.col("cid") != F.col("hub")) & close(F.col("n"), F.col("hub_n"), percent)).select(
         F.col("hub").alias("a"), F.col("cid").alias("b")).distinct(), "stars")
     links, roots = _star_links(stars, classes, texts, width, percent)
+    links, roots = _cell_links(crowds, links, roots, classes, texts, width, percent)
     # What is left: members of one bucket in different components.
-    crowded = crowds.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("band", "cid", "n", F.coalesce("root", "cid").alias("root"))
-    mixed = crowded.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1").select("band")
-    members = common.stored(crowded.join(mixed, "band", "left_semi").select("cid", "n", "root").distinct(), "mixed-members")
+    members = common.stored(_mixed(crowds, roots).select("cid", "n", "root").distinct(), "mixed-members")
     links = _pair_links(common.stored(prefix_pairs(members, texts, width, percent), "prefix-pairs"), links, roots, classes, texts, width, percent)
     roots = common.stored(components(links), "roots")
     # Components of one class keep their own id; a large one's rows are spread over salts.
@@ -267,6 +270,34 @@ def _star_links(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: i
     return found, roots
 
 
+def _mixed(crowds: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, cid, n, root, members) of the buckets that hold several components."""
+    crowded = crowds.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("band", "cid", "n", F.coalesce("root", "cid").alias("root"))
+    mixed = crowded.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).filter("r0 != r1")
+    return crowded.join(mixed.select("band", "members"), "band")
+
+
+def _cell_links(crowds: DataFrame, found: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
+                percent: int) -> tuple[DataFrame, DataFrame]:
+    """``found`` and the links of ``CELLS`` rounds within random cells of the
+    mixed buckets, with the components then.  A round compares at most ``PICKS``
+    pairs per class; what it leaves is for the next rounds and ``prefix_pairs``."""
+    for turn in range(CELLS):
+        cell = F.pmod(F.xxhash64(F.lit(turn), "cid"), F.ceil(F.col("members") / CELL))
+        cells = common.stored(_mixed(crowds, roots).withColumn("cell", cell), "cells")
+        if cells.isEmpty():
+            break
+        least = F.struct(F.xxhash64(F.lit(turn), "band", "cid").alias("by"), F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+        heads = cells.groupBy("band", "cell").agg(F.min(least).alias("head")).select("band", "cell", "head.a", "head.n_a", "head.root_a")
+        pairs = cells.join(heads, ["band", "cell"]).filter((F.col("root") != F.col("root_a")) & close(F.col("n"), F.col("n_a"), percent))
+        pairs = pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
+        few = Window.partitionBy("b").orderBy(F.xxhash64("a", "b"), "a")
+        picked = common.stored(pairs.withColumn("k", F.row_number().over(few)).filter(F.col("k") <= PICKS).select("a", "b"), "cell-pairs")
+        found = found.union(_links(picked, classes, texts, width, percent))
+        roots = common.stored(components(found), "cell-roots")
+    return found, roots
+
+
 def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Those pairs (a, b) whose ends lie in different components."""
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
