@@ -82,37 +82,70 @@ def stem_tokens(df: DataFrame, key: str = "headline", tokens_col: str = "tokens"
             .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>"))))
 
 
-def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
-                    case_sensitive_stopwords: bool = True) -> DataFrame:
-    """(headline, link, keyword): one row per distinct keyword of an article.
-
-    Same tokens as ``tokenize`` but exploded first, so the ASCII and
-    stop-word tests and lowercasing run as plain (code-generated) column
-    expressions instead of per-element lambdas.  Fields are joined by a
-    space, which no letter run crosses."""
-    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
-    runs = spread(news).select("headline", "link",
-                               F.explode(F.regexp_extract_all(text, F.lit(LETTER_RUN), 1)).alias("t"))
+COMMON_WORDS, COMMON_FROM = 50_000, 50  # words stemmed beforehand, looked for in one article of so many
+
+
+def _stem_in_place(rows: DataFrame, some: DataFrame) -> DataFrame:
+    """Replace column ``token`` by its stem ``keyword``, without a shuffle.
+
+    The most frequent words of ``some`` rows are stemmed once and broadcast, at
+    most ``COMMON_WORDS``; rows of any other word are stemmed where they stand.
+    So the choice of ``some`` bears on speed only, and a vocabulary that grows
+    with the articles is neither shuffled nor gathered."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    common = some.groupBy("token").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON_WORDS)
+    common = stem_column(common.select("token"), "token", "_known").checkpoint(eager=True)
+    known = rows.join(F.broadcast(common), "token").withColumnRenamed("_known", "keyword")
+    rare = stem_column(rows.join(F.broadcast(common), "token", "left_anti"), "token", "keyword")
+    return known.drop("token").unionByName(rare.drop("token"))
+
+
+def _keyword_rows(news: DataFrame, stem: bool, cols, stopwords, case_sensitive_stopwords: bool) -> DataFrame:
+    """(headline, link, keyword), with repeats where words of an article differ
+    in case or share a stem.
+
+    Same tokens as ``tokenize``.  An article's different letter runs are
+    exploded first, so the ASCII and stop-word tests and lowercasing run as
+    plain (code-generated) column expressions instead of per-element lambdas.
+    Fields are joined by a space, which no letter run crosses."""
     probe = F.col("t") if case_sensitive_stopwords else F.lower("t")
-    toks = (runs.where(F.col("t").rlike(ASCII_WORD) & ~probe.isin(*stopwords))
-            .select("headline", "link", F.lower("t").alias("token")).distinct())
+
+    def tokens(articles: DataFrame) -> DataFrame:
+        text = F.concat_ws(" ", *[F.coalesce(F.col(f"_f{i}"), F.lit("")) for i in range(len(cols))])
+        runs = F.array_distinct(F.regexp_extract_all(text, F.lit(LETTER_RUN), 1))
+        rows = articles.select("headline", "link", F.explode(runs).alias("t"))
+        return rows.where(F.col("t").rlike(ASCII_WORD) & ~probe.isin(*stopwords)).select("headline", "link", F.lower("t").alias("token"))
+
+    articles = news.select("headline", "link", *[F.col(c).alias(f"_f{i}") for i, c in enumerate(cols)])
+    rows = tokens(spread(articles))
     if not stem:
-        return toks.withColumnRenamed("token", "keyword")
-    return stem_words(toks).select("headline", "link", "keyword")
+        return rows.withColumnRenamed("token", "keyword")
+    some = articles.where(F.pmod(F.xxhash64("headline", "link"), F.lit(COMMON_FROM)) == 0)
+    return _stem_in_place(rows, tokens(some))
+
+
+def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
+                    case_sensitive_stopwords: bool = True) -> DataFrame:
+    """(headline, link, keyword): one row per distinct keyword of an article."""
+    return _keyword_rows(news, stem, cols, stopwords, case_sensitive_stopwords).distinct()
 
 
-def build_keyword_index(news: DataFrame, stem: bool = True, **kw) -> DataFrame:
+def build_keyword_index(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
+                        case_sensitive_stopwords: bool = True) -> DataFrame:
     """T5: (keyword, headline, url), one row per (keyword, headline); every
     keyword is indexed (no batch-size loss).  Of several articles with that
     headline and keyword the greatest link is kept, so the result doesn't
     depend on the order in which articles come."""
-    rows = document_tokens(news, stem=stem, **kw).select("keyword", "headline", F.col("link").alias("url"))
-    return merge_index(rows)
+    rows = _keyword_rows(news, stem, cols, stopwords, case_sensitive_stopwords)
+    return merge_index(rows.select("keyword", "headline", F.col("link").alias("url")))
 
 
 def merge_index(rows: DataFrame) -> DataFrame:
-    """Index rows, also of several indexes, with one row per (keyword, headline)."""
-    return rows.groupBy("keyword", "headline").agg(F.max("url").alias("url"))
+    """Index rows, also of several indexes, with one row per (keyword, headline).
+    Few rows share a key, so they are dealt by it as they are and sorted once,
+    not reduced before the shuffle, which sorts all of them twice."""
+    dealt = rows.select("keyword", "headline", "url").repartition("keyword", "headline")
+    return dealt.groupBy("keyword", "headline").agg(F.max("url").alias("url"))
 
 
 def write_keyword_index(index: DataFrame, path: str, buckets: int | None = None) -> None:

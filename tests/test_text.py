@@ -157,3 +157,20 @@ def test_one_headline_under_two_links_is_one_index_row_and_one_hit(spark):
     q = spark.createDataFrame([("q", "cats dogs")], "query_id string, query string")
     got = T.search_news(q, index, stem=False, news=news).orderBy("rank").collect()
     assert [(r["rank"], r.headline, r.url, r.date) for r in got] == [(1, "Cats run", "u2", "d2"), (2, "Dogs", "u3", "d1")]
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().sparkPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stems_come_without_a_shuffle_of_words(spark, monkeypatch):
+    """Common words are stemmed by broadcast and rare ones in place, whichever are common."""
+    b = Bindings(spark, SF_SMALL)
+    index = T.build_keyword_index(b.news)
+    assert _shuffles(index)[1].count("Exchange hashpartitioning(") == 1
+    want = set(map(tuple, index.collect()))
+    for words, part in ((5, 1), (50_000, 1), (3, 2)):
+        monkeypatch.setattr(T, "COMMON_WORDS", words)
+        monkeypatch.setattr(T, "COMMON_FROM", part)
+        rows = T.build_keyword_index(b.news).collect()
+        assert len(rows) == len(want) and set(map(tuple, rows)) == want
