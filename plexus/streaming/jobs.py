@@ -10,6 +10,7 @@ checks run them.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,20 +93,40 @@ def like_changes(spark: SparkSession, sink: str) -> DataFrame:
 LIKE_DELTAS = "postID long, delta long"
 
 
+LIKE_BUCKETS = 1 << 12  # states that the (postID, userID) keys are dealt to by hash
+LIKE_ROW = np.dtype([("post", "<i8"), ("user", "<i8"), ("none", "?"), ("seq", "<i8"), ("put", "?")])
+
+
 def _like_step(key, frames, state):
-    """One (postID, userID) in one micro-batch: the state is its newest operation
-    (seq, put).  A late, older operation changes nothing; what does change is the
-    post's count, by one."""
-    seq, put = state.get if state.exists else (None, False)
-    was = put
+    """One bucket of (postID, userID) keys in one micro-batch: the state is the
+    newest operation (seq, put) of each, as sorted rows of ``LIKE_ROW``.  A late,
+    older operation changes nothing; what does change is the post's count."""
+    held = np.frombuffer(bytes(state.get[0]), LIKE_ROW) if state.exists else np.zeros(0, LIKE_ROW)
+    parts = [held]
     for f in frames:
-        newest = f.loc[f["seq"].idxmax()]
-        if seq is None or newest["seq"] > seq:
-            seq, put = int(newest["seq"]), bool(newest["put"])
-    state.update((seq, put))
-    if put != was:
-        post = pd.array([key[0]], dtype="Int64")
-        yield pd.DataFrame({"postID": post, "delta": [1 if put else -1]})
+        new = np.empty(len(f), LIKE_ROW)
+        for name in LIKE_ROW.names:
+            new[name] = f[name].to_numpy()
+        parts.append(new)
+    rows = np.concatenate(parts)
+    old = np.arange(len(rows)) < len(held)
+    # Each key's operations stand together, oldest first; of equal ones the one held comes last.
+    order = np.lexsort((old, rows["seq"], rows["none"], rows["post"], rows["user"]))
+    rows, old = rows[order], old[order]
+    same = (rows[1:][["post", "user", "none"]] == rows[:-1][["post", "user", "none"]]) if len(rows) > 1 else np.zeros(0, bool)
+    first = np.concatenate([[True], ~same])
+    last = np.concatenate([~same, [True]])
+    group = np.cumsum(first) - 1
+    was = np.zeros(group[-1] + 1, np.int64)
+    was[group[old]] = rows["put"][old]
+    newest = rows[last]
+    state.update((newest.tobytes(),))
+    delta = newest["put"].astype(np.int64) - was
+    moved = delta != 0
+    if moved.any():
+        post = pd.array(newest["post"][moved], dtype="Int64")
+        post[newest["none"][moved]] = pd.NA
+        yield pd.DataFrame({"postID": post, "delta": delta[moved]})
 
 
 def _sum_deltas(rows: DataFrame) -> DataFrame:
@@ -120,15 +141,19 @@ def _write_sorted(*keys: str):
 
 def stream_like_counts(like_log: DataFrame, sink: str, checkpoint: str, fanout: int = 4) -> StreamingQuery:
     """Like counts kept up to date.  Keyed state holds the newest operation
-    per (postID, userID); each micro-batch writes what it adds to or takes from
-    a post's count, summed per post, to an epoch folder, and merges full blocks
-    of folders.  ``like_counts`` sums those; no change row is read again.  Rows
+    per (postID, userID), ``LIKE_BUCKETS`` states of many keys each, so that
+    Python is called per bucket, not per key, and a post of many likes is in many
+    of them; each micro-batch writes what it adds to or takes from a post's
+    count, summed per post, to an epoch folder, and merges full blocks of folders.  ``like_counts`` sums those; no change row is read again.  Rows
     without seq never are the newest and those without userID count for nobody,
     as in the batch job; a null postID is a post of its own."""
     put = F.coalesce(F.col("op") != "delete", F.lit(False))
-    log = like_log.where("seq is not null and userID is not null").select(*LIKE_KEYS, "seq", put.alias("put"))
-    deltas = log.groupBy(*LIKE_KEYS).applyInPandasWithState(
-        _like_step, LIKE_DELTAS, "seq long, put boolean", "append", GroupStateTimeout.NoTimeout)
+    log = like_log.where("seq is not null and userID is not null").select(
+        F.pmod(F.xxhash64(*LIKE_KEYS), F.lit(LIKE_BUCKETS)).alias("bucket"),
+        F.coalesce(F.col("postID").cast("long"), F.lit(0)).alias("post"), F.col("userID").cast("long").alias("user"),
+        F.col("postID").isNull().alias("none"), F.col("seq").cast("long").alias("seq"), put.alias("put"))
+    deltas = log.groupBy("bucket").applyInPandasWithState(
+        _like_step, LIKE_DELTAS, "keys binary", "append", GroupStateTimeout.NoTimeout)
     store = _write_sorted("postID")
 
     def write(batch: DataFrame, epoch: int) -> None:

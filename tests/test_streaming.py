@@ -120,3 +120,24 @@ def test_state_is_dropped_on_acceptance(spark, tmp_path):
         q = X.stream_pending_requests(X.request_events(requests, accepts), str(tmp_path / "sink"), str(tmp_path / "check"))
         X.run_available(q)
         assert q.lastProgress.stateOperators[0].numRowsTotal == 1  # the one that nobody accepted
+
+
+def test_like_counts_keep_many_keys_per_state(spark, tmp_path):
+    """Late, repeated and null rows over several batches; the state is at most one row per bucket."""
+    kinds = "postID long, userID long, seq long, op string, ts timestamp"
+    rows = [(p, u, s, op, None) for p in (1, 2, None, 2**60 + 1) for u in range(40) for s, op in ((5, "put"), (9 + u % 3, "delete" if u % 2 else "put"))]
+    late = [(1, 0, 1, "delete", None), (1, 1, 99, "put", None), (None, 2, 99, "delete", None), (2, None, 1, "put", None), (2, 3, None, "put", None), (2, 4, 100, None, None)]
+    sink, check = str(tmp_path / "sink"), str(tmp_path / "check")
+    for part in (rows[::2], rows[1::2], late):
+        spark.createDataFrame(part, kinds).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = X.stream_like_counts(spark.readStream.schema(kinds).parquet(str(tmp_path / "in")), sink, check)
+        X.run_available(q)
+    assert 0 < q.lastProgress.stateOperators[0].numRowsTotal <= X.LIKE_BUCKETS
+    newest = {}
+    for p, u, s, op, _ in rows + late:
+        if u is not None and s is not None and (p, u) not in newest or u is not None and s is not None and s > newest[p, u][0]:
+            newest[p, u] = (s, op is not None and op != "delete")
+    want = {}
+    for (p, _), (_, put) in newest.items():
+        want[p] = want.get(p, 0) + put
+    assert {r.postID: r.n_likes for r in X.like_counts(spark, sink).collect()} == {p: n for p, n in want.items() if n}
