@@ -235,12 +235,27 @@ def name_prefixes(accounts: DataFrame, name_col: str = "username") -> DataFrame:
             .select(F.expr("substring(_name, 1, _n)").alias("prefix"), "userID"))
 
 
+def fresh_prefixes(names: DataFrame, *others: str) -> DataFrame:
+    """(userID, prefix) of every row's ``_name`` but those that one of the names
+    in columns ``others`` has too."""
+    n = F.col("_n")
+    rows = names.where(F.length("_name") > 0).withColumn("_n", F.explode(F.sequence(F.lit(1), F.length("_name"))))
+    rows = rows.withColumn("prefix", F.substring(F.col("_name"), F.lit(1), n))
+    for o in others:
+        rows = rows.where(F.col(o).isNull() | (F.substring(F.col(o), F.lit(1), n) != F.col("prefix")))
+    return rows
+
+
 def build_prefix_index(accounts: DataFrame, name_col: str = "username") -> DataFrame:
     """The prefix index as (prefix, userID) rows, distinct.
 
     Kept long, not as one set per prefix: the one-letter prefixes hold most
-    users, and a set per prefix would gather them into one row."""
-    return name_prefixes(accounts, name_col).distinct()
+    users, and a set per prefix would gather them into one row.  Names are made
+    distinct, not their many prefixes: of a user's names in order, one adds the
+    prefixes that the name before it doesn't have."""
+    names = accounts.select("userID", F.lower(F.col(name_col)).alias("_name")).repartition("userID").distinct()
+    before = F.lag("_name").over(Window.partitionBy("userID").orderBy("_name"))
+    return fresh_prefixes(names.withColumn("_before", before), "_before").select("prefix", "userID")
 
 
 def prefix_sizes(prefix_index: DataFrame) -> DataFrame:

@@ -174,3 +174,14 @@ def test_stems_come_without_a_shuffle_of_words(spark, monkeypatch):
         monkeypatch.setattr(T, "COMMON_FROM", part)
         rows = T.build_keyword_index(b.news).collect()
         assert len(rows) == len(want) and set(map(tuple, rows)) == want
+
+
+def test_prefixes_are_distinct_before_they_are_spelled_out(spark):
+    """No aggregate above the explode; repeated ids, names and nulls as with distinct rows."""
+    acc = spark.createDataFrame([(1, "Ann"), (1, "Ann"), (1, "Anna"), (1, "Bo"), (1, "ANNE"), (2, None), (2, ""), (2, "b"), (None, "ab"),
+                                 (None, "ac"), (3, "\u00e9t\u00e9"), (3, "\U0001f600a"), (3, "\U0001f600b"), (3, "\uffffb")], "userID long, username string")
+    index = T.build_prefix_index(acc)
+    plan = _shuffles(index)[0]
+    assert "HashAggregate" not in plan[:plan.index("Generate explode")]
+    want = T.name_prefixes(acc).distinct()
+    assert sorted(map(str, index.collect())) == sorted(map(str, want.collect()))
