@@ -10,7 +10,7 @@ and a lookup reads the folders of its prefixes only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plexus.operators import text as T
@@ -35,13 +35,33 @@ def prefix_changes(changes: DataFrame) -> DataFrame:
     """(prefix, userID, put) of a batch of ``name_changes``, one row per (prefix,
     userID): a prefix of both names stays.  A null or empty name has no prefixes;
     several changes of one user must be given as one (first name, last name)."""
-    lost = T.name_prefixes(changes, "old_name").withColumn("put", F.lit(False))
-    gained = T.name_prefixes(changes, "new_name").withColumn("put", F.lit(True))
-    return lost.unionByName(gained).groupBy(*NAME_KEYS).agg(F.max("put").alias("put"))
+    name = lambda col, put: changes.select("userID", F.lower(F.col(col)).alias("_name"), F.lit(put).alias("put"))
+    names = name("old_name", False).unionByName(name("new_name", True)).where(F.length("_name") > 0)
+    # A user's names in order: those with one prefix stand together, so only the next ones can have it too.
+    before = Window.partitionBy("userID").orderBy("_name", "put").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("userID").orderBy(F.desc("_name"), F.desc("put")).rowsBetween(Window.unboundedPreceding, -1)
+    new = F.when(F.col("put"), F.col("_name"))
+    names = names.repartition("userID").distinct().select(
+        "userID", "_name", "put", F.last(F.when(~F.col("put"), F.col("_name")), ignorenulls=True).over(before).alias("_old"),
+        F.last(new, ignorenulls=True).over(before).alias("_new"), F.last(new, ignorenulls=True).over(after).alias("_next"))
+    # A new name's prefix counts where it is first met, an old one's also if no new name has it.
+    none = F.lit(None).cast("string")
+    names = names.select("userID", "_name", "put", "_new", F.when(~F.col("put"), F.col("_old")).otherwise(none).alias("_old"),
+                         F.when(~F.col("put"), F.col("_next")).otherwise(none).alias("_next"))
+    return T.fresh_prefixes(names, "_old", "_new", "_next").select(*NAME_KEYS, "put")
+
+
+TASK_ROWS = 2_000_000  # index rows that one task compares
 
 
 def _newest(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*NAME_KEYS).agg(F.max_by("put", "epoch").alias("put"))
+    """The newest row per key.  Files hold many rows a MB, and few share a key:
+    they are dealt by it, into as many tasks as rows ask for, before they are
+    grouped, so that no task holds a table that grows with the index."""
+    spark = rows.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-rows.count() // TASK_ROWS))
+    return rows.repartition(tasks, *NAME_KEYS).groupBy(*NAME_KEYS).agg(F.max_by("put", "epoch").alias("put"))
 
 
 def _writer(parts: int):

@@ -135,3 +135,20 @@ def test_a_name_lookup_reads_the_folders_of_its_prefixes(spark, tmp_path):
     assert found.count() == 11
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "part#" in plan.split("PartitionFilters")[1][:60]
+
+
+def test_prefix_changes_of_users_with_several_names(spark):
+    """One row per (prefix, user); a prefix of any new name stays."""
+    changes = spark.createDataFrame([(1, "Anna", "Ann"), (1, "Annabel", "Bo"), (1, "Zoe", "Ann"), (2, None, "x"), (2, "", "xy"), (3, "xy", None),
+                                     (4, "ab", "ab"), (None, "q", "qr")], "userID long, old_name string, new_name string")
+    got = name_index.prefix_changes(changes)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" not in plan[:plan.index("Generate explode")]
+    want = {}
+    for r in changes.collect():
+        for name, put in ((r.old_name, False), (r.new_name, True)):
+            for n in range(1, len(name or "") + 1):
+                key = (name[:n].lower(), r.userID)
+                want[key] = want.get(key, False) or put
+    rows = got.collect()
+    assert len(rows) == len(want) and {(r.prefix, r.userID): r.put for r in rows} == want
