@@ -226,3 +226,19 @@ def test_top_report_line(demo):
     r = G.social_rank(demo, max_iters=1, delta=None)
     line = G.top_report_line(r.withColumn("rank", F.round("rank", 6)), 3).first().line
     assert line == "top 3 nodes: [(2, 1.283333), (4, 1.283333), (3, 1.0)]"
+
+
+def test_edges_are_sorted_once_not_in_every_round(spark):
+    edges = spark.range(500).selectExpr("id % 50 as src", "id % 73 as dst").distinct()
+    for chunk in (1 << 17, 3):
+        wedges, fanout, ranks, deg = G._prepare(edges, chunk)
+        new = G._round(ranks, wedges, fanout, 0.15, False)
+        keys = ["src", "salt"] if fanout is not None else ["src"]
+        other = spark.range(50).selectExpr("id as src", "cast(id % 2 as int) as salt")
+        plan = wedges.join(other.hint("merge"), keys)._jdf.queryExecution().executedPlan().toString()
+        edge_side = plan[plan.index("SortMergeJoin"):plan.index("InMemoryTableScan")]
+        assert "Sort [" not in edge_side and "Exchange" not in edge_side, edge_side
+        assert new.count() == edges.select("dst").distinct().count()
+        for df in (wedges, fanout, deg):
+            if df is not None:
+                df.unpersist()
