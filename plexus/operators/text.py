@@ -96,8 +96,9 @@ def _stem_in_place(rows: DataFrame, some: DataFrame) -> DataFrame:
     common = some.groupBy("token").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON_WORDS)
     common = stem_column(common.select("token"), "token", "_known").checkpoint(eager=True)
     known = rows.join(F.broadcast(common), "token").withColumnRenamed("_known", "keyword")
-    rare = stem_column(rows.join(F.broadcast(common), "token", "left_anti"), "token", "keyword")
-    return known.drop("token").unionByName(rare.drop("token"))
+    rare = stem_column(rows.join(F.broadcast(common), "token", "left_anti"), "token", "keyword").drop("token")
+    rare = rare.checkpoint(eager=True)  # keeps the stem chain out of the plans that join the index
+    return known.drop("token").unionByName(rare)
 
 
 def _keyword_rows(news: DataFrame, stem: bool, cols, stopwords, case_sensitive_stopwords: bool) -> DataFrame:
