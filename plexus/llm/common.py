@@ -72,15 +72,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, budget: int = 4 << 20
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "8m"):
-    """While it lasts, Spark hands texts to Python in batches of at most ``rows``
-    rows and about ``size`` (or one longer row), so that what a task holds
-    outside the heap doesn't depend on how long texts are; then the session's
-    own settings are put back.  Only for jobs that run within it."""
-    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
-    before = {k: spark.conf.get(k) for k in limits}
+def settings(spark: SparkSession, values: dict[str, str]):
+    """The session has these settings while it lasts, then its own again."""
+    before = {k: spark.conf.get(k) for k in values}
     try:
-        for k, v in limits.items():
+        for k, v in values.items():
             spark.conf.set(k, v)
         yield
     finally:
@@ -88,6 +84,21 @@ def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "8m"):
             spark.conf.set(k, v)
 
 
+def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "8m"):
+    """While it lasts, Spark hands texts to Python in batches of at most ``rows``
+    rows and about ``size`` (or one longer row), so that what a task holds
+    outside the heap doesn't depend on how long texts are; then the session's
+    own settings are put back.  Only for jobs that run within it."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size})
+
+
+def shuffles_freed(spark: SparkSession):
+    """While it lasts, a job's shuffle files go when it ends, not when the
+    driver happens to collect its garbage.  For jobs in many rounds whose
+    tables are ``stored``: nothing reads such a job's shuffles again."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The strings of a column, null as empty."""
     return [x or "" for x in batch.column(column).to_pylist()]

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plexus.llm import common
-from plexus.llm.components import components
+from plexus.llm.components import components, extended
 from plexus.llm.shingles import shingle_sets
 
 ROWS, BANDS, BATCH = 4, 32, 16  # a pair of similarity 0.8 misses all bands with probability 5e-8
@@ -212,7 +212,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, id
     component and share ``kept``; a null id joins a component but never names
     one unless all its ids are null.  An empty table gives no rows.  Two
     different sets share a 64-bit ``cid`` with a chance of n^2 / 2^65."""
-    with common.arrow_batches(docs.sparkSession):  # all Python work below is done when it ends
+    with common.arrow_batches(docs.sparkSession), common.shuffles_freed(docs.sparkSession):  # all Python work below is done when it ends
         return _groups(docs, width, percent, id_col, text_col)
 
 
@@ -231,12 +231,11 @@ def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
     texts = class_texts(source, classes.join(crowds.select("cid").distinct(), "cid", "left_semi"))
     stars = common.stored(crowds.filter((F.col("cid") != F.col("hub")) & close(F.col("n"), F.col("hub_n"), percent)).select(
         F.col("hub").alias("a"), F.col("cid").alias("b")).distinct(), "stars")
-    links, roots = _star_links(stars, classes, texts, width, percent)
-    links, roots = _cell_links(crowds, links, roots, classes, texts, width, percent)
+    roots = _star_roots(stars, classes, texts, width, percent)
+    roots = _cell_roots(crowds, roots, classes, texts, width, percent)
     # What is left: members of one bucket in different components.
     members = common.stored(_mixed(crowds, roots).select("cid", "n", "root").distinct(), "mixed-members")
-    links = _pair_links(common.stored(prefix_pairs(members, texts, width, percent), "prefix-pairs"), links, roots, classes, texts, width, percent)
-    roots = common.stored(components(links), "roots")
+    roots = _pair_roots(common.stored(prefix_pairs(members, texts, width, percent), "prefix-pairs"), roots, classes, texts, width, percent)
     # Components of one class keep their own id; a large one's rows are spread over salts.
     least = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node").groupBy("root").agg(F.min("rep").alias("least"))
     ids = least.join(classes.select(F.col("cid").alias("root"), "rep"), "root").select("root", F.least("least", "rep").alias("component_id"))
@@ -252,22 +251,21 @@ def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
                       F.col("doc_id").eqNullSafe(component).alias("kept"), "cid", "h", "root")
 
 
-def _star_links(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links among the pairs (bucket's least member a, member b) and the
-    components they make.  Each round compares one pair per class whose ends lie
-    in different components; what is left then is for ``prefix_pairs``."""
-    left, found, roots = stars, None, None
+def _star_roots(stars: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The components that links among the pairs (bucket's least member a,
+    member b) make.  Each round compares one pair per class whose ends lie in
+    different components; what is left then is for ``prefix_pairs``."""
+    left, roots = stars, None
     for _ in range(STARS):
         if roots is not None:
             left = _different(left, roots)
         picked = common.stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "star-pairs")
         new = _links(picked, classes, texts, width, percent)
-        found = new if found is None else found.union(new)
-        roots = common.stored(components(found), "star-roots")
+        roots = common.stored(components(new) if roots is None else extended(roots, new), "star-roots")
         left = common.stored(left.join(picked, ["a", "b"], "left_anti"), "star-rest")
         if left.isEmpty():
             break
-    return found, roots
+    return roots
 
 
 def _mixed(crowds: DataFrame, roots: DataFrame) -> DataFrame:
@@ -277,11 +275,10 @@ def _mixed(crowds: DataFrame, roots: DataFrame) -> DataFrame:
     return crowded.join(mixed.select("band", "members"), "band")
 
 
-def _cell_links(crowds: DataFrame, found: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
-                percent: int) -> tuple[DataFrame, DataFrame]:
-    """``found`` and the links of ``CELLS`` rounds within random cells of the
-    mixed buckets, with the components then.  A round compares at most ``PICKS``
-    pairs per class; what it leaves is for the next rounds and ``prefix_pairs``."""
+def _cell_roots(crowds: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``roots`` after the links of ``CELLS`` rounds within random cells of the
+    mixed buckets.  A round compares at most ``PICKS`` pairs per class; what it
+    leaves is for the next rounds and ``prefix_pairs``."""
     for turn in range(CELLS):
         cell = F.pmod(F.xxhash64(F.lit(turn), "cid"), F.ceil(F.col("members") / CELL))
         cells = common.stored(_mixed(crowds, roots).withColumn("cell", cell), "cells")
@@ -293,9 +290,8 @@ def _cell_links(crowds: DataFrame, found: DataFrame, roots: DataFrame, classes:
         pairs = pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
         few = Window.partitionBy("b").orderBy(F.xxhash64("a", "b"), "a")
         picked = common.stored(pairs.withColumn("k", F.row_number().over(few)).filter(F.col("k") <= PICKS).select("a", "b"), "cell-pairs")
-        found = found.union(_links(picked, classes, texts, width, percent))
-        roots = common.stored(components(found), "cell-roots")
-    return found, roots
+        roots = common.stored(extended(roots, _links(picked, classes, texts, width, percent)), "cell-roots")
+    return roots
 
 
 def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -305,8 +301,8 @@ def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _pair_links(pairs: DataFrame, found: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``found`` and the links among the stored ``pairs``, but for pairs whose
+def _pair_roots(pairs: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``roots`` after the links among the stored ``pairs``, but for pairs whose
     ends earlier links connect.  Each round compares ``PICKS`` times as many
     pairs per class as the one before, chosen by hash, and then leaves out what
     has come together; it ends when no pair is left, so none is dropped."""
@@ -314,11 +310,10 @@ def _pair_links(pairs: DataFrame, found: DataFrame, roots: DataFrame, classes: D
     while not left.isEmpty():
         few = Window.partitionBy("b").orderBy(F.xxhash64("a", "b"), "a")
         picked = common.stored(left.withColumn("k", F.row_number().over(few)).filter(F.col("k") <= picks).select("a", "b"), "picked-pairs")
-        found = found.union(_links(picked, classes, texts, width, percent))
-        roots = common.stored(components(found), "pair-roots")
+        roots = common.stored(extended(roots, _links(picked, classes, texts, width, percent)), "pair-roots")
         left = common.stored(_different(left.join(picked, ["a", "b"], "left_anti"), roots), "pairs-left")
         picks *= PICKS
-    return found
+    return roots
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:

@@ -138,3 +138,60 @@ def test_a_large_group_of_near_copies_is_compared_about_once_each(spark, docs, m
     rows = [(k, copy()) for k in range(300)]
     found, tested = compared(spark, docs, rows, monkeypatch)
     assert {r[2] for r in found} == {0} and tested < 2 * len(rows)
+
+
+def test_later_links_join_components_found_before(spark):
+    import random
+
+    from plexus.llm.components import components, extended
+
+    rng = random.Random(5)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(500, 540)] + [(7, 7), (540, 500)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    whole = {tuple(r) for r in components(frame(pairs)).collect()}
+    rng.shuffle(pairs)
+    roots = components(frame(pairs[:100]))
+    for k in range(100, len(pairs), 50):
+        roots = extended(roots, frame(pairs[k:k + 50]))
+    assert sorted(map(tuple, roots.collect())) == sorted(whole)
+    assert sorted(map(tuple, extended(roots, frame([])).collect())) == sorted(whole)
+    leads = {}
+    for a, b in pairs:  # union-find by the least node
+        while a in leads:
+            a = leads[a]
+        while b in leads:
+            b = leads[b]
+        if a != b:
+            leads[max(a, b)] = min(a, b)
+
+    def lead(x):
+        while x in leads:
+            x = leads[x]
+        return x
+
+    assert whole == {(x, lead(x)) for x in leads}
+
+
+def test_rounds_on_few_links_leave_few_files(spark, monkeypatch):
+    """Every round's table had a file per shuffle partition, however few links there were."""
+    import os
+
+    from plexus.llm import components as C
+
+    def parts():
+        base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return sum(f.startswith("part-") for _, _, files in os.walk(base) for f in files)
+
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    links = spark.createDataFrame([(k, k + 1) for k in range(64)], "a long, b long").cache()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        before = parts()
+        few = C.components(links).collect()
+        assert parts() - before <= 24 + 8
+        monkeypatch.setattr(C, "FEW", 0)  # the way of large tables gives the same
+        assert sorted(C.components(links).collect()) == sorted(few) and len(few) == 64
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
