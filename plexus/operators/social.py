@@ -20,6 +20,8 @@ SIGN_UP_FIELDS = ("username", "firstName", "lastName", "email", "password", "aff
 AFFILIATION_POST = " has updated their affiliation to: "
 # ---------------------------------------------------------------------------
 
+FEW_SHARE = 5  # a home feed's bound is found among each friend's newest k / FEW_SHARE posts
+
 
 # ------------------------------------------------------------ S1 / S2
 
@@ -168,11 +170,23 @@ def home_feed(posts: DataFrame, friends: DataFrame, accounts: DataFrame, k: int
 
     A user's top k can only hold each friend's own newest k posts, so posts
     are cut to k per creator before the fan-out to followers; the fan-out
-    is then at most k rows per friendship.  ``positions`` adds ``pos``."""
-    own = top_k_per_group(posts, ["creatorID"], [F.desc("ts"), F.asc("postID")], k)
+    is then at most k rows per friendship.  It is done twice: first with
+    nothing but the order's columns of each friend's newest few posts, whose
+    k-th is no newer than the user's k-th post; then only posts up to that one
+    are fanned out whole.  ``positions`` adds ``pos``."""
+    order = [F.desc("ts"), F.asc("postID")]
+    own = top_k_per_group(posts, ["creatorID"], order, k)
     f = friends.select(F.col("followerID").alias("viewer"), F.col("followedID").alias("creatorID"))
-    cand = own.join(f, "creatorID")
-    top = top_k_per_group(cand, ["viewer"], [F.desc("ts"), F.asc("postID")], k, "pos" if positions else None)
+    few = top_k_per_group(posts.select("creatorID", "ts", "postID"), ["creatorID"], order, -(-k // FEW_SHARE))
+    thin = few.join(f, "creatorID").select("viewer", "ts", "postID")
+    last = top_k_per_group(thin, ["viewer"], order, k, "_k").where(F.col("_k") == k).select(
+        F.col("viewer").alias("_viewer"), F.col("ts").alias("_ts"), F.col("postID").alias("_post"), F.lit(True).alias("_full"))
+    # ts falls with nulls last, then postID rises with nulls first
+    newer = (F.col("ts") > F.col("_ts")) | (F.col("ts").isNotNull() & F.col("_ts").isNull())
+    up_to = F.col("ts").eqNullSafe(F.col("_ts")) & (F.col("postID").isNull() | (F.col("postID") <= F.col("_post")))
+    f = f.join(last, F.col("viewer").eqNullSafe(F.col("_viewer")), "left").drop("_viewer")
+    cand = own.join(f, "creatorID").where(F.col("_full").isNull() | newer | up_to).drop("_ts", "_post", "_full")
+    top = top_k_per_group(cand, ["viewer"], order, k, "pos" if positions else None)
     return enrich_users(top, accounts, "creatorID", "creator_", ("username", "firstName", "lastName"))
 
 
