@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.session import ensure_checkpoint_dir
+from plexus.session import ensure_checkpoint_dir, scratch_path
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -42,3 +42,36 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str)
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     return local.join(offsets, same, "left").select(
         *[local[c] for c in df.columns], (F.col("_n") + F.coalesce("_before", F.lit(0))).alias(out))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared scratch folder and read it back,
+    for tables that several jobs of one query read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+LIST = 1024  # a key of at most so many items, all different, has them as one list
+
+
+def item_lists(items: DataFrame, key: str, item: str) -> DataFrame:
+    """(key, n_items, items) per key of ``items``: the number of its rows and,
+    for a key of at most ``LIST`` rows whose items differ and are not null,
+    their array; null for all other keys, so that no list grows with a hub.
+    Null keys are left out."""
+    items = items.select(key, item).where(F.col(key).isNotNull()).repartition(key)  # one shuffle for all below
+    sizes = items.groupBy(key).agg(F.count("*").alias("n_items"))
+    few = F.when(F.col("n_items") <= LIST, F.col(item))
+    lists = items.join(sizes, key).groupBy(key).agg(F.first("n_items").alias("n_items"), F.collect_set(few).alias("items"))
+    return lists.select(key, "n_items", F.when(F.size("items") == F.col("n_items"), F.col("items")).alias("items"))
+
+
+def listed_items(rows: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str, item: str) -> DataFrame:
+    """``rows`` with one row per ``item`` that both keys have, for rows whose
+    keys have lists in ``left`` and ``right`` (``item_lists`` named by those
+    keys).  The left list travels to the right key as one array, not as a row
+    per item."""
+    some = rows.join(left.select(left_key, F.col("items").alias("_left")), left_key).join(
+        right.select(right_key, F.col("items").alias("_right")), right_key)
+    return some.select(*rows.columns, F.explode(F.array_intersect("_left", "_right")).alias(item))
