@@ -55,7 +55,11 @@ class _Dialect:
         match, i.e. the longest suffix, which is the first in rule order
         because no rule suffix is listed after a shorter suffix of itself."""
         pat = "(" + "|".join(sufs) + ")" + self.end
-        return f"regexp_extract({x}, '{pat}', 1)"
+        find = f"regexp_extract({x}, '{pat}', 1)"
+        if self.name != "spark":
+            return find
+        tails = ", ".join(repr(t) for t in sorted({s[-2:] for s in sufs}))  # most words have none: no regex for them
+        return f"CASE WHEN right({x}, 2) IN ({tails}) THEN {find} ELSE '' END"
 
     @staticmethod
     def cut(x: str, n) -> str:
@@ -63,8 +67,10 @@ class _Dialect:
 
     def mask(self, x: str) -> str:
         if self.name == "spark":
-            return ("regexp_replace(regexp_replace(regexp_replace("
-                    f"{x}, '[aeiou]', 'V'), '([^V])y', '$1V'), '[^V]', 'C')")
+            by_rule = ("regexp_replace(regexp_replace(regexp_replace("
+                       f"{x}, '[aeiou]', 'V'), '([^V])y', '$1V'), '[^V]', 'C')")
+            # letters but y have one class each, wherever they stand
+            return f"CASE WHEN {x} RLIKE '[^a-xz]' THEN {by_rule} ELSE translate({x}, '{LETTERS}', '{LETTER_MASK}') END"
         return ("regexp_replace(regexp_replace(regexp_replace("
                 f"{x}, '[aeiou]', 'V', 'g'), '([^V])y', '\\1V', 'g'), '[^V]', 'C', 'g')")
 
@@ -151,12 +157,20 @@ def _stages(d: _Dialect) -> list[list[tuple[str, str]]]:
     ]
 
 
+# The JVM interprets methods of more than 8000 bytes, and Spark makes one of all
+# projections in a row.  A lambda, here one that gives back the word, is not
+# compiled with its neighbours, so one before every so many stages keeps them short.
+COMPILED = 7
+
+
 def stem_column(df: DataFrame, word_col: str, out_col: str = "stem") -> DataFrame:
     """Add ``out_col`` = Porter stem of lowercase ``word_col``.  Apply it to a
     distinct vocabulary and join back; every step is a JVM expression."""
     keep = [F.col(c) for c in df.columns]
     cur = df.select(*keep, F.col(word_col).alias("w"))
-    for stage in _stages(_Dialect("spark")):
+    for i, stage in enumerate(_stages(_Dialect("spark"))):
+        if i % COMPILED == 0:
+            cur = cur.withColumn("w", F.expr("aggregate(array(), w, (a, x) -> a)"))
         cur = cur.select(*keep, *[F.expr(e).alias(c) for c, e in stage])
     return cur.select(*keep, F.when(F.length(word_col) <= 2, F.col(word_col)).otherwise(F.col("w")).alias(out_col))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.functions.porter import stem_column
-from plexus.operators.common import spread
+from plexus.operators.common import spread, stored
 from plexus.session import ensure_checkpoint_dir
 
 # ---- fixed values: the reference's stop words and fields ----------------
@@ -21,6 +21,7 @@ NEWS_TEXT_FIELDS = ("headline", "authors", "short_description")
 # --------------------------------------------------------------------------
 
 LETTER_RUN = r"(\p{L}+)"
+ASCII_RUN = r"([a-zA-Z]++)(?!\p{L})|\p{L}+"  # the same runs; group 1 only if all letters are ASCII
 ASCII_WORD = r"^[a-zA-Z]+$"
 SEARCH_CAP = 15
 
@@ -85,50 +86,73 @@ def stem_tokens(df: DataFrame, key: str = "headline", tokens_col: str = "tokens"
 COMMON_WORDS, COMMON_FROM = 50_000, 50  # words stemmed beforehand, looked for in one article of so many
 
 
-def _stem_in_place(rows: DataFrame, some: DataFrame) -> DataFrame:
-    """Replace column ``token`` by its stem ``keyword``, without a shuffle.
+def _token_rows(articles: DataFrame, cols, stopwords, case_sensitive_stopwords: bool) -> DataFrame:
+    """(headline, link, token): same tokens as ``tokenize``, with repeats where
+    words of an article differ in case.
 
-    The most frequent words of ``some`` rows are stemmed once and broadcast, at
-    most ``COMMON_WORDS``; rows of any other word are stemmed where they stand.
-    So the choice of ``some`` bears on speed only, and a vocabulary that grows
-    with the articles is neither shuffled nor gathered."""
-    ensure_checkpoint_dir(rows.sparkSession)
+    An article's different letter runs are exploded first, so the stop-word
+    test and lowercasing run as plain (code-generated) column expressions
+    instead of per-element lambdas.  Fields are joined by a space, which no
+    letter run crosses."""
+    probe = F.col("t") if case_sensitive_stopwords else F.lower("t")
+    text = F.concat_ws(" ", *[F.coalesce(F.col(f"_f{i}"), F.lit("")) for i in range(len(cols))])
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(ASCII_RUN), 1))  # '' for runs with other letters
+    rows = articles.select("headline", "link", F.explode(runs).alias("t"))
+    return rows.where((F.col("t") != "") & ~probe.isin(*stopwords)).select("headline", "link", F.lower("t").alias("token"))
+
+
+def _common_stems(some: DataFrame) -> DataFrame:
+    """(token, _known): the stems of the most frequent words of ``some`` rows, at
+    most ``COMMON_WORDS``."""
+    ensure_checkpoint_dir(some.sparkSession)
     common = some.groupBy("token").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON_WORDS)
-    common = stem_column(common.select("token"), "token", "_known").checkpoint(eager=True)
-    known = rows.join(F.broadcast(common), "token").withColumnRenamed("_known", "keyword")
-    rare = stem_column(rows.join(F.broadcast(common), "token", "left_anti"), "token", "keyword").drop("token")
-    rare = rare.checkpoint(eager=True)  # keeps the stem chain out of the plans that join the index
-    return known.drop("token").unionByName(rare)
+    return stem_column(common.select("token"), "token", "_known").checkpoint(eager=True)
 
 
-def _keyword_rows(news: DataFrame, stem: bool, cols, stopwords, case_sensitive_stopwords: bool) -> DataFrame:
-    """(headline, link, keyword), with repeats where words of an article differ
-    in case or share a stem.
+def _stem_in_place(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """Replace column ``token`` by its stem ``keyword``, without a shuffle and in
+    one pass.
 
-    Same tokens as ``tokenize``.  An article's different letter runs are
-    exploded first, so the ASCII and stop-word tests and lowercasing run as
-    plain (code-generated) column expressions instead of per-element lambdas.
-    Fields are joined by a space, which no letter run crosses."""
-    probe = F.col("t") if case_sensitive_stopwords else F.lower("t")
+    ``common`` words are broadcast with their stems; any other word is stemmed
+    where it stands.  So the choice of ``common`` bears on speed only, and a
+    vocabulary that grows with the articles is neither shuffled nor gathered."""
+    kept = [c for c in rows.columns if c != "token"]
+    rare = F.when(F.col("_known").isNull(), F.col("token")).alias("_rare")  # null, and cheap to stem, for common words
+    rows = stem_column(rows.join(F.broadcast(common), "token", "left").select(*kept, "_known", rare), "_rare", "_stem")
+    # What an explode gives is no function of the row to the optimizer, which else
+    # copies the stem chain into filters and partition pruning of joins by keyword.
+    return rows.select(*kept, F.explode(F.array(F.coalesce("_known", "_stem"))).alias("keyword"))
+
+
+def _keyword_rows(news: DataFrame, stem: bool, cols, stopwords, case_sensitive_stopwords: bool):
+    """A function of articles of ``news`` that gives (headline, link, keyword),
+    with repeats where words of an article differ in case or share a stem."""
+    def taken(articles: DataFrame) -> DataFrame:
+        return articles.select("headline", "link", *[F.col(c).alias(f"_f{i}") for i, c in enumerate(cols)])
 
     def tokens(articles: DataFrame) -> DataFrame:
-        text = F.concat_ws(" ", *[F.coalesce(F.col(f"_f{i}"), F.lit("")) for i in range(len(cols))])
-        runs = F.array_distinct(F.regexp_extract_all(text, F.lit(LETTER_RUN), 1))
-        rows = articles.select("headline", "link", F.explode(runs).alias("t"))
-        return rows.where(F.col("t").rlike(ASCII_WORD) & ~probe.isin(*stopwords)).select("headline", "link", F.lower("t").alias("token"))
+        return _token_rows(articles, cols, stopwords, case_sensitive_stopwords)
 
-    articles = news.select("headline", "link", *[F.col(c).alias(f"_f{i}") for i, c in enumerate(cols)])
-    rows = tokens(spread(articles))
     if not stem:
-        return rows.withColumnRenamed("token", "keyword")
-    some = articles.where(F.pmod(F.xxhash64("headline", "link"), F.lit(COMMON_FROM)) == 0)
-    return _stem_in_place(rows, tokens(some))
+        return lambda articles, deal=spread: tokens(deal(taken(articles))).withColumnRenamed("token", "keyword")
+    some = taken(news).where(F.pmod(F.xxhash64("headline", "link"), F.lit(COMMON_FROM)) == 0)
+    common = _common_stems(tokens(some))
+    return lambda articles, deal=spread: _stem_in_place(tokens(deal(taken(articles))), common)
 
 
 def document_tokens(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
                     case_sensitive_stopwords: bool = True) -> DataFrame:
     """(headline, link, keyword): one row per distinct keyword of an article."""
-    return _keyword_rows(news, stem, cols, stopwords, case_sensitive_stopwords).distinct()
+    return _keyword_rows(news, stem, cols, stopwords, case_sensitive_stopwords)(news).distinct()
+
+
+REPEATED = 200_000  # more repeated headlines than this are not told apart from others
+
+
+def _split_repeated(headlines: DataFrame) -> tuple[int, DataFrame]:
+    """The number of the ``headlines(_h)`` and the table itself, stored."""
+    again = stored(headlines, "repeated_headlines")
+    return again.count(), again
 
 
 def build_keyword_index(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELDS, stopwords=STOPWORDS,
@@ -136,9 +160,25 @@ def build_keyword_index(news: DataFrame, stem: bool = True, cols=NEWS_TEXT_FIELD
     """T5: (keyword, headline, url), one row per (keyword, headline); every
     keyword is indexed (no batch-size loss).  Of several articles with that
     headline and keyword the greatest link is kept, so the result doesn't
-    depend on the order in which articles come."""
-    rows = _keyword_rows(news, stem, cols, stopwords, case_sensitive_stopwords)
-    return merge_index(rows.select("keyword", "headline", F.col("link").alias("url")))
+    depend on the order in which articles come.
+
+    An article whose headline no other has is dealt as one row, by headline, and
+    its keywords made distinct where they are.  The keywords of articles that
+    share a headline are dealt one by one."""
+    keywords = _keyword_rows(news, stem, cols, stopwords, case_sensitive_stopwords)
+
+    def indexed(rows: DataFrame) -> DataFrame:
+        return rows.select("keyword", "headline", F.col("link").alias("url"))
+
+    n, again = _split_repeated(news.groupBy(F.col("headline").alias("_h")).agg(F.count("*").alias("_n")).where("_n > 1").select("_h"))
+    if n > REPEATED:
+        return merge_index(indexed(keywords(news)))
+    same = F.col("headline").eqNullSafe(F.col("_h"))
+    once = news.join(F.broadcast(again), same, "left_anti") if n else news
+    index = indexed(keywords(once, lambda articles: articles.repartition("headline"))).distinct()
+    if n:
+        index = index.unionByName(merge_index(indexed(keywords(news.join(F.broadcast(again), same, "left_semi")))))
+    return index
 
 
 def merge_index(rows: DataFrame) -> DataFrame:
@@ -149,6 +189,22 @@ def merge_index(rows: DataFrame) -> DataFrame:
     return dealt.groupBy("keyword", "headline").agg(F.max("url").alias("url"))
 
 
+def merge_indexes(rows: DataFrame, part: str) -> DataFrame:
+    """``merge_index`` for rows of several indexes, each with one row per (keyword,
+    headline), which the number in column ``part`` tells apart: rows of a headline
+    that only one of them has are kept as they are, not dealt."""
+    index = rows.select("keyword", "headline", "url")
+    met = rows.groupBy(F.col("headline").alias("_h")).agg(F.min(part).alias("_a"), F.max(part).alias("_b"))
+    n, again = _split_repeated(met.where("_a < _b").select("_h"))
+    if n == 0:
+        return index
+    if n > REPEATED:
+        return merge_index(index)
+    same = F.col("headline").eqNullSafe(F.col("_h"))
+    return index.join(F.broadcast(again), same, "left_anti").unionByName(
+        merge_index(index.join(F.broadcast(again), same, "left_semi")))
+
+
 def write_keyword_index(index: DataFrame, path: str, buckets: int | None = None) -> None:
     """T5 text-style sink: parquet partitioned by the keyword's first letter,
     sorted by keyword.  Rows are dealt to ``buckets`` tasks by ranges of

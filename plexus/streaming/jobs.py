@@ -266,7 +266,7 @@ def stream_keyword_index(news: DataFrame, sink: str, checkpoint: str, stem: bool
 def grown_index(spark: SparkSession, sink: str) -> DataFrame:
     """The index X4 has written: (keyword, headline, url), one row per (keyword,
     headline), however the articles were cut into batches."""
-    return T.merge_index(epochs.read_epochs(spark, sink, KEYWORDS).drop("epoch"))
+    return T.merge_indexes(epochs.read_epochs(spark, sink, KEYWORDS), "epoch")
 
 
 # ------------------------------------------------- batch-equivalent runs

@@ -185,3 +185,44 @@ def test_prefixes_are_distinct_before_they_are_spelled_out(spark):
     assert "HashAggregate" not in plan[:plan.index("Generate explode")]
     want = T.name_prefixes(acc).distinct()
     assert sorted(map(str, index.collect())) == sorted(map(str, want.collect()))
+
+
+def test_unique_headlines_are_dealt_as_articles(spark, monkeypatch):
+    """Keywords of an article are made distinct without a shuffle of their own; articles that share a
+    headline, or have none, give the greatest link of each keyword."""
+    rows = [("h1", "Cats ran", "u1"), ("h2", "cats Running runs", "u2"), ("h2", "dogs runs", "u3"), ("h2", "dogs runs", "u3"),
+            (None, "the cats", "u4"), (None, "cats the", "u5"), ("h3", None, "u6"), ("h4", "xéy \U0001d400abc abc café Abc2def", None)]
+    news = spark.createDataFrame([(h, "me", t, "c", "d", u) for h, t, u in rows],
+                                 "headline string, authors string, short_description string, category string, date string, link string")
+    want = {}
+    for h, t, u in rows:
+        words = {"me", "h"} & ({"me", "h"} if h else {"me"})
+        words |= {"Cats ran": {"cat", "ran"}, "cats Running runs": {"cat", "run"}, "dogs runs": {"dog", "run"}, "the cats": {"cat"},
+                  "cats the": {"cat"}, None: set()}.get(t, {"abc", "cafe", "def"})
+        for w in words:
+            want[w, h] = max(filter(None, (want.get((w, h)), u)), default=None)
+    want = sorted(((w, h, u) for (w, h), u in want.items()), key=repr)
+    for most in (T.REPEATED, 1):
+        monkeypatch.setattr(T, "REPEATED", most)
+        assert sorted(map(tuple, T.build_keyword_index(news).collect()), key=repr) == want
+    single = T.build_keyword_index(news.where("headline in ('h1', 'h3')"))
+    plan = _shuffles(single)[1]
+    assert "Exchange hashpartitioning(headline" in plan and "SortAggregate" not in plan
+
+
+def test_stem_chain_is_compiled_in_short_methods(spark):
+    """The JVM interprets methods of more than 8000 bytes."""
+    import io
+    import re
+    from contextlib import redirect_stdout
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = io.StringIO()
+        with redirect_stdout(out):
+            stem_column(spark.range(9).selectExpr("concat('x', id) AS word"), "word").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000
