@@ -159,7 +159,7 @@ def _stages(d: _Dialect) -> list[list[tuple[str, str]]]:
 
 # The JVM interprets methods of more than 8000 bytes, and Spark makes one of all
 # projections in a row.  A lambda, here one that gives back the word, is not
-# compiled with its neighbours, so one before every so many stages keeps them short.
+# compiled with its neighbours, so one between every so many stages keeps them short.
 COMPILED = 7
 
 
@@ -169,7 +169,7 @@ def stem_column(df: DataFrame, word_col: str, out_col: str = "stem") -> DataFram
     keep = [F.col(c) for c in df.columns]
     cur = df.select(*keep, F.col(word_col).alias("w"))
     for i, stage in enumerate(_stages(_Dialect("spark"))):
-        if i % COMPILED == 0:
+        if i and i % COMPILED == 0:
             cur = cur.withColumn("w", F.expr("aggregate(array(), w, (a, x) -> a)"))
         cur = cur.select(*keep, *[F.expr(e).alias(c) for c, e in stage])
     return cur.select(*keep, F.when(F.length(word_col) <= 2, F.col(word_col)).otherwise(F.col("w")).alias(out_col))

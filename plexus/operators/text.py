@@ -259,6 +259,29 @@ def posting_heads(index: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
             .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn"))
 
 
+ASKED = 500_000  # keywords that go to every task, to leave out the rows of others before they are sorted
+
+
+def asked_heads(kw: DataFrame, index: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
+    """``posting_heads`` of the keywords in ``kw``."""
+    asked = stored(kw.select("keyword").distinct(), "asked_keywords")
+    if asked.count() <= ASKED:
+        return posting_heads(index.join(F.broadcast(asked), "keyword", "left_semi"), cap)
+    return posting_heads(index, cap).join(asked, "keyword", "left_semi")
+
+
+def leading_keywords(kw: DataFrame, heads: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
+    """The rows of ``kw(query_id, pos, keyword)`` that bear on the first ``cap``
+    answers: those that any article has, up to the query's first keyword with
+    ``cap`` different headlines.  Every headline that only a later keyword finds
+    comes after that one's, so this leaves no answer out."""
+    sizes = heads.groupBy("keyword").agg(F.count_distinct("headline").alias("_n"))
+    found = kw.join(sizes, "keyword")
+    full = found.where(F.col("_n") >= cap).groupBy(F.col("query_id").alias("_q")).agg(F.min("pos").alias("_last"))
+    rows = found.join(full, F.col("query_id").eqNullSafe(F.col("_q")), "left")
+    return rows.where(F.col("_last").isNull() | (F.col("pos") <= F.col("_last"))).select(*kw.columns)
+
+
 def search_news(queries: DataFrame, index: DataFrame, news: DataFrame | None = None,
                 cap: int = SEARCH_CAP, stem: bool = True, parsed: bool = False) -> DataFrame:
     """Answer many searches in one plan.
@@ -268,9 +291,15 @@ def search_news(queries: DataFrame, index: DataFrame, news: DataFrame | None = N
     ``cap`` different headlines per query, ordered by (position, headline).
     Returns (query_id, rank, headline, url) plus article fields when ``news``
     is given (one row per article with this headline and link).
+
+    ``parsed`` says that ``queries`` are ``parse_queries`` rows, which are read
+    several times.  The heads of the keywords asked for are stored once and of
+    each query only the keywords joined that its answers can come from.
     """
-    kw = queries if parsed else parse_queries(queries, stem=stem)
-    hits = kw.join(posting_heads(index, cap), "keyword")
+    ensure_checkpoint_dir(queries.sparkSession)
+    kw = queries if parsed else parse_queries(queries, stem=stem).checkpoint(eager=True)
+    heads = stored(asked_heads(kw, index, cap), "posting_heads")
+    hits = leading_keywords(kw, heads, cap).join(heads, "keyword")
     first = hits.groupBy("query_id", "headline").agg(F.min(F.struct("pos", "url")).alias("f")).select("query_id", "headline", "f.*")
     w = Window.partitionBy("query_id").orderBy("pos", "headline")
     out = (first.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= cap)

@@ -221,8 +221,29 @@ def test_stem_chain_is_compiled_in_short_methods(spark):
     try:
         out = io.StringIO()
         with redirect_stdout(out):
+            news = Bindings(spark, SF_SMALL).news
             stem_column(spark.range(9).selectExpr("concat('x', id) AS word"), "word").explain("codegen")
+            T.asked_heads(news.select(F.col("authors").alias("keyword")), T.build_keyword_index(news)).explain("codegen")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_only_keywords_that_answers_come_from_are_joined(spark):
+    index = spark.createDataFrame(
+        [(w, f"h{i:02d}", f"u{i}") for w, ids in (("common", range(0, 60)), ("mid", range(40, 50)), ("also", range(5, 45)), ("rare", [3])) for i in ids],
+        "keyword string, headline string, url string")
+    q = spark.createDataFrame([("a", "mid common also rare"), ("b", "rare none mid"), ("c", "common also"), (None, "mid rare"), (None, "also common"),
+                               ("d", "none"), ("e", "mid mid rare also common")], "query_id string, query string")
+    kw = T.parse_queries(q, stem=False)
+    led = {(r.query_id, r.keyword) for r in T.leading_keywords(kw, T.posting_heads(index)).collect()}
+    assert led == {("a", "mid"), ("a", "common"), ("b", "rare"), ("b", "mid"), ("c", "common"), (None, "mid"), (None, "also"),
+                   ("e", "mid"), ("e", "rare"), ("e", "also")}
+    hits = kw.join(index, "keyword").groupBy("query_id", "headline").agg(F.min("pos").alias("pos"), F.first("url").alias("url")).collect()
+    want = []
+    for k in {r.query_id for r in hits}:
+        rows = sorted((r.pos, r.headline, r.url) for r in hits if r.query_id == k)[:15]
+        want += [(k, i + 1, h, u) for i, (_, h, u) in enumerate(rows)]
+    got = T.search_news(q, index, stem=False).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
