@@ -259,15 +259,27 @@ def posting_heads(index: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
             .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn"))
 
 
+def merged_heads(rows: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
+    """``posting_heads`` of ``merge_index(rows)``: rows of the first ``cap``
+    headlines of every keyword are found as there, partially before the shuffle,
+    and only those are merged."""
+    w = Window.partitionBy("keyword").orderBy("headline")
+    first = (rows.select("keyword", "headline", "url")
+             .withColumn("_rn", F.dense_rank().over(w)).where(F.col("_rn") <= cap).drop("_rn"))
+    return first.groupBy("keyword", "headline").agg(F.max("url").alias("url"))
+
+
 ASKED = 500_000  # keywords that go to every task, to leave out the rows of others before they are sorted
 
 
-def asked_heads(kw: DataFrame, index: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
-    """``posting_heads`` of the keywords in ``kw``."""
+def asked_heads(kw: DataFrame, index: DataFrame, cap: int = SEARCH_CAP, merged: bool = True) -> DataFrame:
+    """``posting_heads`` of the keywords in ``kw``, or ``merged_heads`` if ``index``
+    holds rows of several writes."""
+    heads = posting_heads if merged else merged_heads
     asked = stored(kw.select("keyword").distinct(), "asked_keywords")
     if asked.count() <= ASKED:
-        return posting_heads(index.join(F.broadcast(asked), "keyword", "left_semi"), cap)
-    return posting_heads(index, cap).join(asked, "keyword", "left_semi")
+        return heads(index.join(F.broadcast(asked), "keyword", "left_semi"), cap)
+    return heads(index, cap).join(asked, "keyword", "left_semi")
 
 
 def leading_keywords(kw: DataFrame, heads: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:

@@ -2,6 +2,7 @@
 read, a hot keyword dealt over many files."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
@@ -75,3 +76,46 @@ def test_empty_index_and_no_queries(spark, tmp_path):
     assert K.search_stored(queries(spark, "a"), path, parts=4).count() == 0
     K.store_index(T.build_keyword_index(articles(spark, 5)), path, parts=4)
     assert K.search_stored(queries(spark, "a").limit(0), path, parts=4).count() == 0
+
+
+def test_heads_of_several_writes_are_cut_before_they_are_merged(spark, tmp_path, monkeypatch):
+    """Repeated and null headlines and links over three writes: the first headlines of each keyword, with the greatest link."""
+    path, found = str(tmp_path / "idx"), []
+    for k in range(3):
+        rows = [(w, None if i == 7 else f"h{i % 23:02d}", None if (i + k) % 5 == 0 else f"u{k}{i:02d}")
+                for w, n in (("a", 40), ("b", 4 + k), ("c", 1)) for i in range(n) if i % 3 != k or w == "c"]
+        K.store_index(spark.createDataFrame(rows, "keyword string, headline string, url string"), path, parts=4, append=k > 0)
+        found += rows
+    want = {}
+    for w, h, u in found:
+        want[w, h] = max(filter(None, (want.get((w, h)), u)), default=None)
+    heads = [(w, h, want[w, h]) for w in ("a", "b") for h in sorted((h for x, h in want if x == w), key=lambda h: h or "")[:5]]
+    words = spark.createDataFrame([("a",), ("b",), ("a",), ("nothing",)], "keyword string")
+    for most in (T.ASKED, 1):
+        monkeypatch.setattr(T, "ASKED", most)
+        got = K.stored_postings(words, path, parts=4, cap=5)
+        assert rows_of(got) == sorted(heads, key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and not re.search(r"Exchange hashpartitioning\(keyword#\d+, headline", plan)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_index_rows_are_computed_once_when_stored(spark, tmp_path):
+    """Dealing by ranges would sample the rows first."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    index = spark.range(5000).selectExpr("concat('k', id % 50) AS keyword", "concat('h', id) AS headline", "'u' AS url")
+    index = index.mapInArrow(count, index.schema)
+    for ranges in (3, 40, None):
+        before = seen.value
+        K.store_index(index, str(tmp_path / f"idx{ranges}"), parts=6, ranges=ranges)
+        assert seen.value - before == 5000
+        assert K.stored_index(spark, str(tmp_path / f"idx{ranges}")).count() == 5000
